@@ -69,39 +69,40 @@ def best_overlapping(
     """
     query = [key, "from_day", "to_day"]
     best = F.min("candidate").alias("candidate")
-    queries = queries.select(*query).distinct()
     spans = intervals.groupBy(key, "start_day", "end_day").agg(best)
     per_key = spans.groupBy(key).agg(
         F.count("*").alias("spans"), F.min("candidate").alias("any_candidate")
     )
-    asked = lookup_join(queries, per_key, [key], hot, "inner")
-    sized = lookup_join(spans, per_key.select(key, "spans"), [key], hot, "inner")
-
-    few = sized.where(f"spans <= {small_key}").drop("spans")
-    paired = lookup_join(asked.where(f"spans <= {small_key}"), few, [key], hot, "inner").where(
-        "start_day <= to_day AND end_day >= from_day"
-    )
-
-    many = (
-        sized.where(f"spans > {small_key}")
-        .selectExpr("*", f"explode({_cells_of('start_day')}) AS start_cell")
-        .selectExpr("*", f"explode({_cells_of(f'({_OPEN} - end_day)')}) AS end_cell")
-        .groupBy(key, "start_cell", "end_cell")
+    is_small = f"spans <= {small_key}"
+
+    # Below, a small key has one cell that holds its intervals as they are; a large
+    # one has cells that hold one candidate and no interval.
+    one_cell = "array(-1)"
+    start_cells = f"CASE WHEN {is_small} THEN {one_cell} ELSE {_cells_of('start_day')} END"
+    end_cells = f"CASE WHEN {is_small} THEN {one_cell} ELSE {_cells_of(f'({_OPEN} - end_day)')} END"
+    cells = (
+        lookup_join(spans, per_key.select(key, "spans"), [key], hot, "inner")
+        .selectExpr("*", f"explode({start_cells}) AS start_cell")
+        .selectExpr("*", f"explode({end_cells}) AS end_cell")
+        .selectExpr(
+            key,
+            "start_cell",
+            "end_cell",
+            "candidate",
+            *[f"CASE WHEN {is_small} THEN {day} END AS {day}" for day in ("start_day", "end_day")],
+        )
+        .groupBy(key, "start_cell", "end_cell", "start_day", "end_day")
         .agg(best)
     )
-    looked_up = (
-        asked.where(f"spans > {small_key}")
-        .selectExpr("*", f"explode({_cells_below('(to_day + 1)')}) AS start_cell")
-        .selectExpr("*", f"explode({_cells_below(f'({_OPEN + 1} - from_day)')}) AS end_cell")
+    start_limits = f"CASE WHEN {is_small} THEN {one_cell} ELSE {_cells_below('(to_day + 1)')} END"
+    end_limits = f"CASE WHEN {is_small} THEN {one_cell} ELSE {_cells_below(f'({_OPEN + 1} - from_day)')} END"
+    asked = (
+        lookup_join(queries.select(*query).distinct(), per_key, [key], hot, "inner")
+        .selectExpr("*", f"explode({start_limits}) AS start_cell")
+        .selectExpr("*", f"explode({end_limits}) AS end_cell")
     )
-    met = lookup_join(looked_up, many, [key, "start_cell", "end_cell"], hot, "inner")
-
-    # Overlapping candidates and each key's overall best meet in one aggregate.
-    overlapping = paired.select(*query, "candidate").unionByName(met.select(*query, "candidate"))
-    anyhow = asked.withColumnRenamed("any_candidate", "candidate").select(*query, "candidate")
-    ranked = overlapping.selectExpr("*", "0 AS rank").unionByName(anyhow.selectExpr("*", "1 AS rank"))
-    return (
-        ranked.groupBy(*query)
-        .agg(F.expr("min(struct(rank, candidate))").alias("best"))
-        .selectExpr(*query, "best.candidate")
+    met = lookup_join(asked, cells, [key, "start_cell", "end_cell"], hot)
+    overlaps = "start_day IS NULL OR (start_day <= to_day AND end_day >= from_day)"
+    return met.groupBy(*query).agg(
+        F.expr(f"coalesce(min(candidate) FILTER (WHERE {overlaps}), min(any_candidate))").alias("candidate")
     )

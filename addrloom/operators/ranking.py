@@ -1,21 +1,19 @@
-"""Best row per key, as an aggregate that combines before the shuffle."""
+"""Best row per key."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def best_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """One row per key: the one whose ``order`` expressions are smallest.
+    """One row per key: the one that comes first by the ``order`` expressions.
 
     The other columns break ties, NULL before any value, so the result does not
-    depend on the layout of the data. ``min`` of a struct keeps at most one row
-    per key and map task ahead of the exchange, also where a single key holds a
-    large share of the rows.
+    depend on the layout of the data. Spark plans the filter on the row number as a
+    group limit on both sides of the exchange: a map task passes on at most one row
+    per key, also where a single key holds a large share of the rows.
     """
-    carried = [column for column in df.columns if column not in keys]
-    sort = [f"{key} AS order_{i}" for i, key in enumerate(order)]
-    candidate = f"min(struct({', '.join([*sort, *carried])}))"
-    best = df.groupBy(*keys).agg(F.expr(candidate).alias("best"))
-    return best.selectExpr(*[name if name in keys else f"best.{name}" for name in df.columns])
+    ties = [F.col(column) for column in df.columns if column not in keys]
+    ranked = Window.partitionBy(*keys).orderBy(*[F.expr(key) for key in order], *ties)
+    return df.withColumn("best_rank", F.row_number().over(ranked)).where("best_rank = 1").drop("best_rank")

@@ -23,6 +23,7 @@ from addrloom.functions.text import (
 from addrloom.operators.overlap import best_overlapping, day_or_first, day_or_open
 from addrloom.operators.ranking import best_per_key
 from addrloom.operators.skew import NO_HOT_KEYS, HotKeys, find_hot_keys, lookup_join
+from addrloom.operators.staging import staged
 
 TABLES = ("street_descriptor", "blpu", "lpi", "delivery_point", "organisation", "classification")
 
@@ -266,14 +267,19 @@ def _business_variants(named: DataFrame, label: str) -> DataFrame:
     )
 
 
+def _occupied(distinct: DataFrame, organisation: DataFrame, hot: HotKeys) -> DataFrame:
+    """Addresses of the properties that have had an occupier; most have not."""
+    return lookup_join(distinct, organisation.select("uprn").distinct(), ["uprn"], hot, "left_semi")
+
+
 def business_current(
     organisation: DataFrame, distinct: DataFrame, hot: HotKeys | None = None
 ) -> DataFrame:
     """Names still in place, before the best current address of their property."""
     if hot is None:
-        hot = find_hot_keys(organisation.select("uprn"))
+        hot = find_hot_keys(organisation.select("uprn").union(distinct.select("uprn")))
     names = occupier_names(organisation).where("end_date IS NULL")
-    best = lpi_best_current(distinct)
+    best = lpi_best_current(_occupied(distinct, organisation, hot))
     return _business_variants(lookup_join(names, best, ["uprn"], hot, "inner"), "BUSINESS_CURRENT")
 
 
@@ -299,8 +305,7 @@ def business_historical(
         )
     )
     carried = ["base_address", "postcode", *PROPERTY]
-    occupied = lookup_join(distinct, names.select("uprn").distinct(), ["uprn"], hot, "left_semi")
-    intervals = occupied.selectExpr(
+    intervals = _occupied(distinct, organisation, hot).selectExpr(
         "uprn",
         f"{day_or_first('start_date')} AS start_day",
         f"{day_or_open('end_date')} AS end_day",
@@ -317,6 +322,8 @@ def business_historical(
 def business_variants(
     organisation: DataFrame, distinct: DataFrame, hot: HotKeys | None = None
 ) -> DataFrame:
+    if hot is None:
+        hot = find_hot_keys(organisation.select("uprn").union(distinct.select("uprn")))
     return business_current(organisation, distinct, hot).unionByName(
         business_historical(organisation, distinct, hot)
     )
@@ -395,7 +402,7 @@ def combine_and_dedupe(
     """
     if hot is None:
         hot = find_hot_keys(variants.select("uprn"))
-    deduped = dedup_variants(variants)
+    deduped = staged(dedup_variants(variants))
     first = f"struct({ranks.source_rank('source')}, {ranks.nulls_last('variant_label')}, address_concat)"
     primaries = deduped.groupBy("uprn").agg(
         F.max("is_primary").alias("has_primary"),
@@ -416,7 +423,11 @@ def abp_flatfile(
     excluded_statuses: Iterable[int] = ranks.DEFAULT_EXCLUDED_STATUSES,
     crowding: Crowding | None = None,
 ) -> DataFrame:
-    """Deduplicated address variants from the six record tables, as one lazy plan."""
+    """Deduplicated address variants from the six record tables.
+
+    The distinct addresses, which four steps read, and the deduplicated variants, which
+    two read, are staged.
+    """
     lacking = sorted(set(TABLES) - set(tables))
     if lacking:
         raise ValueError(f"missing record tables: {', '.join(lacking)}")
@@ -429,8 +440,7 @@ def abp_flatfile(
     base = lpi_base(
         tables["lpi"], tables["blpu"], tables["street_descriptor"], excluded_statuses, crowding
     )
-    # All stages below read the same columns of one aggregate, so they share its exchanges.
-    distinct = lpi_distinct(base, also=["level"])
+    distinct = staged(lpi_distinct(base, also=["level"]))
     parts = [
         lpi_variants(distinct),
         business_variants(tables["organisation"], distinct, crowding.uprn),

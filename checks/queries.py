@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from addrloom.functions import ranks, text
 from addrloom.operators.skew import find_hot_keys
+from addrloom.operators.staging import staged
 from addrloom.plans import abp, inspection, ngd
 from addrloom.sinks.parquet import sorted_output
 from addrloom.sources import records
@@ -50,6 +51,10 @@ def _lpi_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return abp.lpi_distinct(_lpi_base(spark, sf_dir))
 
 
+def _staged_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return staged(_lpi_distinct(spark, sf_dir))
+
+
 def _finished(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derived.read(spark, sf_dir, "finished_flatfile")
 
@@ -285,13 +290,13 @@ def occupier_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def business_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     organisation = derived.read(spark, sf_dir, "organisation")
-    return abp.business_current(organisation, _lpi_distinct(spark, sf_dir))
+    return abp.business_current(organisation, _staged_distinct(spark, sf_dir))
 
 
 @query
 def business_historical(spark: SparkSession, sf_dir: str) -> DataFrame:
     organisation = derived.read(spark, sf_dir, "organisation")
-    return abp.business_historical(organisation, _lpi_distinct(spark, sf_dir))
+    return abp.business_historical(organisation, _staged_distinct(spark, sf_dir))
 
 
 @query
@@ -301,13 +306,13 @@ def business_historical_crowded(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = _tables(spark, sf_dir)
     base = abp.lpi_base(lpi, tables["blpu"], tables["street_descriptor"], ())
     organisation = derived.read(spark, sf_dir, "organisation_crowded")
-    return abp.business_historical(organisation, abp.lpi_distinct(base))
+    return abp.business_historical(organisation, staged(abp.lpi_distinct(base)))
 
 
 @query
 def business_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     organisation = derived.read(spark, sf_dir, "organisation")
-    return abp.business_variants(organisation, _lpi_distinct(spark, sf_dir))
+    return abp.business_variants(organisation, _staged_distinct(spark, sf_dir))
 
 
 @query
@@ -340,7 +345,7 @@ def dedup_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 def combine_and_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only names and mail, so that properties without a primary variant occur."""
     tables = _tables(spark, sf_dir)
-    distinct = abp.lpi_distinct(_lpi_base(spark, sf_dir))
+    distinct = _staged_distinct(spark, sf_dir)
     variants = abp.business_current(tables["organisation"], distinct).unionByName(
         abp.delivery_variants(tables["delivery_point"])
     )
