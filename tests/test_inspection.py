@@ -45,7 +45,7 @@ def test_uplift(flat):
 
 def test_top_keys(flat):
     assert [row["unique_id"] for row in inspection.top_keys(flat, 2).collect()] == [1003, 1001]
-    assert [row["unique_id"] for row in inspection.top_keys(flat, 5, F.col("source") == "LPI").collect()] == [1001, 1003]
+    assert [row["unique_id"] for row in inspection.top_keys(flat, 5, F.col("source") == "LPI").collect()] == [1003, 1001]
     assert inspection.top_key_at_offset(flat, 1).first()["unique_id"] == 1001
     assert inspection.top_key_at_offset(flat, 9).first() is None
     with pytest.raises(ValueError):
