@@ -101,7 +101,7 @@ def normalise_address(address: str) -> str:
 
 def floor_number(floor: str) -> str:
     """The first of the comma-separated levels where it is a whole number, else NULL."""
-    first = f"split_part({floor}, ',', 1)"
+    first = f"substring_index({floor}, ',', 1)"
     return rf"CASE WHEN {first} RLIKE r'^-?[0-9]+\z' THEN try_cast({first} AS INT) END"
 
 
@@ -110,11 +110,11 @@ def floor_word(floor: str) -> str:
 
 
 def without_bom(line: str) -> str:
-    return rf"regexp_replace({line}, r'^\x{{FEFF}}', '')"
+    return f"CASE WHEN startswith({line}, '\\uFEFF') THEN substring({line}, 2) ELSE {line} END"
 
 
 def record_identifier(line: str) -> str:
-    return f"trim(BOTH '\"' FROM split_part({line}, ',', 1))"
+    return f"trim(BOTH '\"' FROM substring_index({line}, ',', 1))"
 
 
 def clean_name(name: str) -> str:

@@ -22,7 +22,13 @@ from addrloom.functions.text import (
 )
 from addrloom.operators.overlap import best_overlapping, day_or_first, day_or_open
 from addrloom.operators.ranking import best_per_key
-from addrloom.operators.skew import NO_HOT_KEYS, HotKeys, find_hot_keys, lookup_join
+from addrloom.operators.skew import (
+    NO_HOT_KEYS,
+    ROWS_PER_TASK,
+    HotKeys,
+    find_hot_keys,
+    lookup_join,
+)
 from addrloom.operators.staging import staged
 
 TABLES = ("street_descriptor", "blpu", "lpi", "delivery_point", "organisation", "classification")
@@ -91,11 +97,11 @@ class Crowding:
     usrn: HotKeys = NO_HOT_KEYS
 
 
-def find_crowding(tables: dict[str, DataFrame]) -> Crowding:
-    uprns = [tables[name].select("uprn") for name in ("lpi", "delivery_point", "organisation")]
+def find_crowding(tables: dict[str, DataFrame], rows_per_task: int = ROWS_PER_TASK) -> Crowding:
+    uprns = [tables[name].select("uprn") for name in ("blpu", "lpi", "delivery_point", "organisation")]
     return Crowding(
-        uprn=find_hot_keys(reduce(DataFrame.union, uprns)),
-        usrn=find_hot_keys(tables["lpi"].select("usrn")),
+        uprn=find_hot_keys(reduce(DataFrame.union, uprns), rows_per_task),
+        usrn=find_hot_keys(tables["lpi"].select("usrn"), rows_per_task),
     )
 
 
@@ -107,14 +113,18 @@ def used_streets(lpi: DataFrame) -> DataFrame:
     return lpi.where("usrn IS NOT NULL").select("usrn", "language").distinct()
 
 
+# Streets are ranked before they are limited to the used ones: that leaves one row per
+# key for the join, however many descriptors a street has.
+
+
 def best_street_by_language(street_descriptor: DataFrame, used: DataFrame) -> DataFrame:
-    wanted = street_descriptor.join(used, ["usrn", "language"], "left_semi")
-    return best_per_key(wanted, ["usrn", "language"], ranks.latest_valid())
+    keys = ["usrn", "language"]
+    return best_per_key(street_descriptor, keys, ranks.latest_valid()).join(used, keys, "left_semi")
 
 
 def best_street_any(street_descriptor: DataFrame, used: DataFrame) -> DataFrame:
-    wanted = street_descriptor.join(used.select("usrn").distinct(), ["usrn"], "left_semi")
-    return best_per_key(wanted, ["usrn"], ranks.latest_valid())
+    best = best_per_key(street_descriptor, ["usrn"], ranks.latest_valid())
+    return best.join(used.select("usrn").distinct(), ["usrn"], "left_semi")
 
 
 def street_lookup(street_descriptor: DataFrame, used: DataFrame) -> DataFrame:
@@ -138,8 +148,14 @@ def parents_with_children(blpu: DataFrame) -> DataFrame:
     return blpu.where("parent_uprn IS NOT NULL").selectExpr("parent_uprn AS uprn").distinct()
 
 
-def postal_properties(blpu: DataFrame) -> DataFrame:
-    """What a variant carries of its property; those marked as not postal are left out."""
+def postal_properties(blpu: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+    """What a variant carries of its property; those marked as not postal are left out.
+
+    Copies of a property's row say nothing more and are dropped, so that they do not
+    multiply its addresses.
+    """
+    if hot is None:
+        hot = find_hot_keys(blpu.select("uprn"))
     parents = parents_with_children(blpu).selectExpr("uprn", "true AS has_children")
     carried = [
         "uprn",
@@ -149,10 +165,11 @@ def postal_properties(blpu: DataFrame) -> DataFrame:
         "parent_uprn",
     ]
     code = ranks.hierarchy_code("parent_uprn", "has_children")
+    postal = blpu.where("NOT addressbase_postal <=> 'N'").selectExpr(*carried)
     return (
-        blpu.where("NOT addressbase_postal <=> 'N'")
-        .join(parents, ["uprn"], "left")
-        .selectExpr(*carried, f"{code} AS hierarchy_level")
+        lookup_join(postal, parents, ["uprn"], hot)
+        .selectExpr(*postal.columns, f"{code} AS hierarchy_level")
+        .distinct()
     )
 
 
@@ -178,7 +195,10 @@ def lpi_base(
     in place of its components.
     """
     if crowding is None:
-        crowding = Crowding(uprn=find_hot_keys(lpi.select("uprn")), usrn=find_hot_keys(lpi.select("usrn")))
+        crowding = Crowding(
+            uprn=find_hot_keys(lpi.select("uprn").union(blpu.select("uprn"))),
+            usrn=find_hot_keys(lpi.select("usrn")),
+        )
     kept = lpi.where("uprn IS NOT NULL").where(
         ranks.status_is_included("logical_status", excluded_statuses)
     )
@@ -206,7 +226,7 @@ def lpi_base(
         f"{rendered_base_address(*places)} AS base_address",
         f"{ranks.logical_status_rank('logical_status')} AS status_rank",
     )
-    return lookup_join(rendered, postal_properties(blpu), ["uprn"], crowding.uprn, "inner")
+    return lookup_join(rendered, postal_properties(blpu, crowding.uprn), ["uprn"], crowding.uprn, "inner")
 
 
 def lpi_distinct(base: DataFrame, also: Iterable[str] = ()) -> DataFrame:

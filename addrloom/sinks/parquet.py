@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from addrloom.functions.ranks import chunk_of
@@ -45,22 +45,28 @@ def write_flatfile(
     compression: str = "zstd",
     compression_level: int = 9,
     overwrite: bool = False,
-) -> bool:
-    """Write a flatfile; returns False where one exists and ``overwrite`` is not set.
+) -> int | None:
+    """Write a flatfile and return its rows, counted as they are written.
 
-    With several chunks, rows of a key share a ``chunk=n`` folder, counted from 1. A
-    chunk may hold several files; their union is the unchunked result.
+    Returns None where one exists and ``overwrite`` is not set. With several chunks,
+    rows of a key share a ``chunk=n`` folder, counted from 1. A chunk may hold several
+    files; their union is the unchunked result.
     """
     if not overwrite and has_output(df.sparkSession, path):
-        return False
-    if chunks > 1:
-        df = df.selectExpr("*", f"{chunk_of('unique_id', chunks)} + 1 AS chunk")
+        return None
     by = ["chunk"] if chunks > 1 else []
+    if by:
+        df = df.selectExpr("*", f"{chunk_of('unique_id', chunks)} + 1 AS chunk")
     if sort:
         df = sorted_output(df, by)
-    writer = parquet_writer(df, compression, compression_level).mode("overwrite")
+    elif by:
+        # Files of even size: small parts of a chunk are put together, large ones split.
+        df = df.hint("rebalance", *by)
+    written = Observation()
+    counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
+    writer = parquet_writer(counted, compression, compression_level).mode("overwrite")
     writer.partitionBy(*by).parquet(path)
-    return True
+    return written.get["rows"]
 
 
 @dataclass(frozen=True)

@@ -6,7 +6,7 @@ start from one text. Every table reads all rows of the table it comes from.
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -315,10 +315,20 @@ def record_line(columns: dict[str, str]) -> str:
     return " || ',' || ".join(_as_field(column, kind) for column, kind in columns.items())
 
 
+@lru_cache(maxsize=64)
+def _given(application: str, path: str) -> DataFrame:
+    """A given table; its schema is looked up once per application."""
+    return SparkSession.active().read.parquet(path)
+
+
+def given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return _given(spark.sparkContext.applicationId, f"{sf_dir}/{table}.parquet")
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A derived table as a DataFrame."""
     parts = [
-        spark.read.parquet(f"{sf_dir}/{table}.parquet").selectExpr(
+        given(spark, sf_dir, table).selectExpr(
             *[f"{expression} AS {column}" for column, expression in columns.items()]
         )
         for table, columns in TABLES[name]

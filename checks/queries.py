@@ -78,7 +78,7 @@ def component_address(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def normalise_address(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    documents = derived.given(spark, sf_dir, "documents")
     return documents.selectExpr("doc_id", f"{text.normalise_address('text')} AS normalised")
 
 
@@ -210,8 +210,7 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         columns = records.schema_columns(records.SCHEMAS[name])
         table = derived.read(spark, sf_dir, name)
         parts.append(table.select(F.expr(derived.record_line(columns)).alias("value")))
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
-    region = spark.read.parquet(f"{sf_dir}/region.parquet")
+    nation, region = derived.given(spark, sf_dir, "nation"), derived.given(spark, sf_dir, "region")
     header = F.concat(F.lit('\ufeff10,"'), "n_name", F.lit('",7655'))
     parts.append(nation.select(header.alias("value")))
     parts.append(region.selectExpr("'\"99\",0,' || CAST(r_regionkey AS STRING) || ',2024-01-01' AS value"))
@@ -369,12 +368,7 @@ def abp_flatfile_all_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def abp_flatfile_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = _tables(spark, sf_dir)
-    uprns = [tables[name].select("uprn") for name in ("lpi", "delivery_point", "organisation")]
-    crowding = abp.Crowding(
-        uprn=find_hot_keys(reduce(DataFrame.union, uprns), TEST_ROWS_PER_TASK),
-        usrn=find_hot_keys(tables["lpi"].select("usrn"), TEST_ROWS_PER_TASK),
-    )
-    return abp.abp_flatfile(tables, crowding=crowding)
+    return abp.abp_flatfile(tables, crowding=abp.find_crowding(tables, TEST_ROWS_PER_TASK))
 
 
 # Reports -----------------------------------------------------------------------

@@ -1,0 +1,47 @@
+import zipfile
+
+from addrloom.build import build_abp, build_ngd_from_archives, build_ngd_from_folder
+from addrloom.plans.inspection import flatfile
+from tests.test_ngd import ALTERNATE, ALTERNATIVE, CORE, OUTPUT, PREBUILD, ROYAL, built, frame, royal
+from tests.test_records import BLPU, LPI
+
+FEATURES = {
+    "add_gb_builtaddress": (CORE, built()),
+    "add_gb_builtaddress_altadd": (ALTERNATE, ALTERNATIVE),
+    "add_gb_prebuildaddress": (CORE, PREBUILD),
+    "add_gb_royalmailaddress": (ROYAL, royal()),
+}
+
+
+def listing(df):
+    return sorted(map(tuple, df.select(OUTPUT).collect()), key=repr)
+
+
+def test_archives_and_folder_give_the_same(spark, tmp_path):
+    archives = []
+    for stem, (columns, row) in FEATURES.items():
+        frame(spark, columns, row).write.parquet(str(tmp_path / "tables" / f"{stem}.parquet"))
+        path = tmp_path / f"{stem}.zip"
+        values = ",".join(f'"{row[name]}"' if row.get(name) else "" for name in columns)
+        with zipfile.ZipFile(path, "w") as archive:
+            archive.writestr(f"{stem}.csv", f"{','.join(columns)}\n{values}\n")
+        archives.append(str(path))
+    one, two = str(tmp_path / "one"), str(tmp_path / "two")
+    from_folder = build_ngd_from_folder(spark, str(tmp_path / "tables"), one, chunks=2)
+    from_archives = build_ngd_from_archives(spark, archives, str(tmp_path / "work"), two)
+    assert from_folder.records == from_archives.records == 7
+    assert listing(flatfile(spark, one)) == listing(flatfile(spark, two))
+    again = build_ngd_from_folder(spark, str(tmp_path / "tables"), one)
+    assert again == from_folder
+
+
+def test_mixed_records(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "part.csv").write_text(f"{LPI}\n{BLPU}\n")
+    metadata = build_abp(spark, str(tmp_path / "raw"), str(tmp_path / "work"), str(tmp_path / "out"))
+    assert metadata.records == 2
+    rows = flatfile(spark, str(tmp_path / "out")).collect()
+    assert {(row["address_concat"], row["source"]) for row in rows} == {
+        ('FLAT "A" 12', "LPI"),
+        ('FIRST FLAT "A" 12', "CUSTOM_LEVEL"),
+    }

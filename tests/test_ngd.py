@@ -162,9 +162,10 @@ def test_hot_keys_change_nothing(sources):
     assert rows_of(ngd.ngd_flatfile(sources, excluded=(), hot=hot)) == expected()
 
 
-def test_chunks_together_are_the_whole(spark, sources, tmp_path):
+@pytest.mark.parametrize("sort", [True, False])
+def test_chunks_together_are_the_whole(spark, sources, tmp_path, sort):
     flatfile = ngd.ngd_flatfile(sources, excluded=())
-    assert write_flatfile(flatfile, str(tmp_path / "out"), chunks=3)
+    assert write_flatfile(flatfile, str(tmp_path / "out"), chunks=3, sort=sort) == 11
     stored = spark.read.parquet(str(tmp_path / "out"))
     assert rows_of(stored.drop("chunk").select(OUTPUT)) == expected()
     per_key = stored.groupBy("unique_id").agg(F.countDistinct("chunk").alias("n"))
@@ -175,9 +176,9 @@ def test_chunks_together_are_the_whole(spark, sources, tmp_path):
 def test_output_is_sorted_compressed_and_kept(spark, sources, tmp_path):
     path = str(tmp_path / "out")
     flatfile = ngd.ngd_flatfile(sources, excluded=())
-    assert write_flatfile(flatfile, path)
-    assert not write_flatfile(flatfile, path)
-    assert write_flatfile(flatfile, path, overwrite=True)
+    assert write_flatfile(flatfile, path) == 11
+    assert write_flatfile(flatfile, path) is None
+    assert write_flatfile(flatfile, path, overwrite=True) == 11
     import pyarrow.parquet as pq
 
     order = []
