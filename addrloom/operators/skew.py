@@ -14,6 +14,10 @@ ROWS_PER_TASK = 2_000_000
 # Bounds the list kept on the driver; keys beyond it are the smaller ones and are
 # left to adaptive execution, which splits skewed join partitions at run time.
 LISTED_KEYS = 1_000
+# Size of the frequent-item sketches, and how many of them meet in the last task. A key
+# is sure to be found if it has more than about a 30,000th of all rows.
+_TRACKED_KEYS = 100_000
+_SKETCHES = 1_000
 
 
 @dataclass(frozen=True)
@@ -41,24 +45,37 @@ NO_HOT_KEYS = HotKeys()
 
 
 def find_hot_keys(keys: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> HotKeys:
-    """Count a one-column DataFrame and list the values too frequent for one task.
+    """List the values of a one-column DataFrame that are too frequent for one task.
 
-    Runs one job now: a count per value that combines before its shuffle. At most
-    ``LISTED_KEYS`` rows reach the driver.
+    Runs one job now. Each task reduces its rows to a sketch of bounded size, so no keys
+    are shuffled; the sketches meet in two steps and at most ``LISTED_KEYS`` values reach
+    the driver.
     """
     (key,) = keys.columns
-    crowded = (
-        keys.groupBy(key)
-        .count()
-        .where(f"count > {rows_per_task}")
-        .orderBy(F.desc("count"), key)
-        .limit(LISTED_KEYS)
-        .collect()
+    sketch = f"approx_top_k_accumulate({key}, {_TRACKED_KEYS}) FILTER (WHERE {key} IS NOT NULL)"
+    combined = f"approx_top_k_combine(sketch, {_TRACKED_KEYS})"
+    found = (
+        keys.selectExpr(key, f"spark_partition_id() % {_SKETCHES} AS part")
+        .groupBy("part")
+        .agg(F.expr(sketch).alias("sketch"), F.count_if(F.col(key).isNull()).alias("missing"))
+        .groupBy(F.lit("all"))
+        .agg(F.expr(combined).alias("sketch"), F.sum("missing").alias("missing"))
+        .selectExpr("missing", f"approx_top_k_estimate(sketch, {LISTED_KEYS}) AS frequent")
+        .first()
     )
-    groups = {row[0]: -(-row[1] // rows_per_task) for row in crowded}
+    if found is None:
+        return NO_HOT_KEYS
+
+    def groups_for(rows: int) -> int:
+        return max(1, -(-rows // rows_per_task))
+
     return HotKeys(
-        groups={value: count for value, count in groups.items() if value is not None},
-        null_groups=groups.get(None, 1),
+        groups={
+            entry["item"]: groups_for(entry["count"])
+            for entry in found["frequent"]
+            if entry["count"] > rows_per_task
+        },
+        null_groups=groups_for(found["missing"]),
     )
 
 

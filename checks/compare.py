@@ -49,7 +49,7 @@ def differences(con: duckdb.DuckDBPyConnection, name: str, result: DataFrame) ->
 
 def main(arguments: list[str]) -> int:
     sf_dir = arguments[0] if arguments else "/root/testdata/sf0.01"
-    names = arguments[1:] or list(QUERIES)
+    names = arguments[1:] or list(ORACLES)
     spark = (
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")

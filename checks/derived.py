@@ -282,6 +282,18 @@ TABLES: dict[str, list[tuple[str, dict[str, str]]]] = {
             },
         )
     ],
+    "faulty_lines": [
+        (
+            "events",
+            {
+                "number": "CASE WHEN event_id % 7 = 0 THEN 'NO' || CAST(event_id AS STRING) ELSE CAST(event_id AS STRING) END",
+                "day": "CASE WHEN event_id % 5 = 0 THEN '2024-13-01' WHEN event_id % 5 = 1 THEN '' ELSE '2024-02-01' END",
+                "line": "'31,I,' || CASE WHEN event_id % 7 = 0 THEN 'NO' || CAST(event_id AS STRING) ELSE CAST(event_id AS STRING) END "
+                "|| ',1,\"K\",\"' || event_type || '\",,' || CASE WHEN event_id % 5 = 0 THEN '2024-13-01' "
+                "WHEN event_id % 5 = 1 THEN '' ELSE '2024-02-01' END || ',,,'",
+            },
+        )
+    ],
     "finished_flatfile": [
         (
             "orders",

@@ -6,6 +6,8 @@ joins where those go by cells, unions where those explode.
 
 from __future__ import annotations
 
+import re
+
 from addrloom.sources import records
 from checks import derived
 
@@ -473,6 +475,10 @@ _FINAL: dict[str, str] = {
     "output_sorted": "SELECT * FROM flatfile_default",
     **{f"split_records_{name}": _split(name) for name in derived.RECORD_TABLES},
     "split_records_counts": _record_counts(),
+    "malformed_values": "SELECT 'organisation' AS record_type, line, 'pro_order' AS column_name, number AS text "
+    "FROM faulty_lines WHERE TRY_CAST(number AS BIGINT) IS NULL UNION ALL "
+    "SELECT 'organisation', line, 'start_date', day FROM faulty_lines "
+    "WHERE day <> '' AND TRY_CAST(day AS DATE) IS NULL",
     "used_streets": "SELECT * FROM used",
     "parents_with_children": "SELECT * FROM parents",
     "best_street_by_language": "SELECT * FROM street_by_language",
@@ -513,8 +519,6 @@ _FINAL: dict[str, str] = {
 
 def _needed(statement: str) -> list[str]:
     """The expressions a statement uses, directly or through others, in their order."""
-    import re
-
     found: set[str] = set()
     queue = [statement]
     while queue:

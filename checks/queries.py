@@ -233,6 +233,13 @@ def split_records_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.record_counts(_lines(spark, sf_dir))
 
 
+@query
+def malformed_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of which some have text in a number's place and some a day that is no date."""
+    lines = derived.read(spark, sf_dir, "faulty_lines")
+    return records.malformed_values(lines.selectExpr("line AS value"))
+
+
 @query
 def used_streets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return abp.used_streets(derived.read(spark, sf_dir, "lpi"))
@@ -413,3 +420,24 @@ def key_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 def key_variants_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     wanted = ["unique_id", "postcode", "source", "absent_column"]
     return inspection.key_variants(_finished(spark, sf_dir), 7, F.col("is_primary"), wanted)
+
+
+# Picked at random or without order, so there is no SQL to check these against.
+
+
+@query
+def random_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inspection.random_key(_finished(spark, sf_dir), seed=1)
+
+
+@query
+def random_large_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inspection.random_large_key(_finished(spark, sf_dir), 100, "source = 'LPI'", seed=1)
+
+
+@query
+def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inspection.inspect_variants(_finished(spark, sf_dir), sample_limit=5).sample_rows
+
+
+UNCHECKED = {"random_key", "random_large_key", "sample_rows"}

@@ -28,6 +28,14 @@ def test_find_hot_keys_lists_null_apart(spark):
     hot = find_hot_keys(df, rows_per_task=10)
     assert hot.groups == {7: 3} and hot.null_groups == 2
     assert not find_hot_keys(df, rows_per_task=100)
+    assert not find_hot_keys(df.where("false"))
+    assert find_hot_keys(df.where("k IS NULL"), rows_per_task=10).null_groups == 2
+
+
+def test_hot_keys_are_found_among_more_keys_than_are_tracked(spark):
+    df = spark.range(600_000).selectExpr("CASE WHEN id % 4 = 0 THEN -1 ELSE id END AS k")
+    hot = find_hot_keys(df, rows_per_task=100_000)
+    assert hot.groups == {-1: 2} and hot.null_groups == 1
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi"])
