@@ -117,22 +117,25 @@ def used_streets(lpi: DataFrame) -> DataFrame:
 # key for the join, however many descriptors a street has.
 
 
-def best_street_by_language(street_descriptor: DataFrame, used: DataFrame) -> DataFrame:
+def best_street_by_language(street_descriptor: DataFrame, used: DataFrame | None = None) -> DataFrame:
+    """The best descriptor per street and language, if given of used pairs only."""
     keys = ["usrn", "language"]
-    return best_per_key(street_descriptor, keys, ranks.latest_valid()).join(used, keys, "left_semi")
+    best = best_per_key(street_descriptor, keys, ranks.latest_valid())
+    return best if used is None else best.join(used, keys, "left_semi")
 
 
-def best_street_any(street_descriptor: DataFrame, used: DataFrame) -> DataFrame:
+def best_street_any(street_descriptor: DataFrame, used: DataFrame | None = None) -> DataFrame:
+    """The best descriptor per street in any language, if given of used streets only."""
     best = best_per_key(street_descriptor, ["usrn"], ranks.latest_valid())
-    return best.join(used.select("usrn").distinct(), ["usrn"], "left_semi")
+    return best if used is None else best.join(used.select("usrn").distinct(), ["usrn"], "left_semi")
 
 
 def street_lookup(street_descriptor: DataFrame, used: DataFrame) -> DataFrame:
     """Street texts for every used pair: in its language, else per column in any language."""
-    same = best_street_by_language(street_descriptor, used).selectExpr(
+    same = best_street_by_language(street_descriptor).selectExpr(
         "usrn", "language", *[f"{name} AS same_{name}" for name in _STREET_TEXT]
     )
-    anyhow = best_street_any(street_descriptor, used).selectExpr(
+    anyhow = best_street_any(street_descriptor).selectExpr(
         "usrn", *[f"{name} AS any_{name}" for name in _STREET_TEXT]
     )
     found = used.join(same, ["usrn", "language"], "left").join(anyhow, ["usrn"], "left")

@@ -109,25 +109,36 @@ def record_counts(lines: DataFrame) -> DataFrame:
     )
 
 
+def _of_type(rid: str, value: str) -> str:
+    return f"CASE WHEN rid = '{rid}' THEN {value} END"
+
+
+def _parsed(known: DataFrame, schemas: dict[str, str]) -> DataFrame:
+    """Kept lines with one struct of text fields per record type, that of its own type filled."""
+    structs = [
+        f"{_of_type(rid, _fields(schema_columns(schemas[name])))} AS {name}"
+        for rid, name in KEPT_RECORDS.items()
+    ]
+    return known.where(_IS_KEPT).selectExpr("rid", "line", *structs)
+
+
 def malformed_values(lines: DataFrame, schemas: dict[str, str] = SCHEMAS) -> DataFrame:
-    """Values that do not fit their type, with their table, column and line."""
-    known = identified(lines)
-    parts = []
+    """Values that do not fit their type, with their table, column and line, in one pass."""
+
+    def misfit(table: str, column: str, kind: str) -> str:
+        text = f"{table}.{column}"
+        found = f"struct('{table}' AS record_type, '{column}' AS column_name, {text} AS text)"
+        return f"CASE WHEN {text} IS NOT NULL AND try_cast({text} AS {kind}) IS NULL THEN {found} END"
+
+    checks = []
     for rid, name in KEPT_RECORDS.items():
         columns = schema_columns(schemas[name])
-        checks = [
-            f"CASE WHEN f.{column} IS NOT NULL AND try_cast(f.{column} AS {kind}) IS NULL "
-            f"THEN struct('{column}' AS column_name, f.{column} AS text) END"
-            for column, kind in columns.items()
-            if kind != "string"
-        ]
-        fields = known.where(f"rid = '{rid}'").selectExpr("line", f"{_fields(columns)} AS f")
-        parts.append(
-            fields.selectExpr(
-                f"'{name}' AS record_type", "line", f"inline(array_compact(array({', '.join(checks)})))"
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
+        misfits = [misfit(name, column, kind) for column, kind in columns.items() if kind != "string"]
+        checks.append(f"WHEN '{rid}' THEN array_compact(array({', '.join(misfits)}))")
+    found = f"inline(CASE rid {' '.join(checks)} END)"
+    return _parsed(identified(lines), schemas).selectExpr("line", found).select(
+        "record_type", "line", "column_name", "text"
+    )
 
 
 @dataclass(frozen=True)
@@ -162,19 +173,11 @@ def write_record_tables(
         F.count_if(F.expr(_IS_KEPT)).alias("kept"),
         F.count_if(F.expr(f"rid IN ({listed(IGNORED_RECORDS)})")).alias("ignored"),
     )
-    columns = {name: (rid, schema_columns(schemas[name])) for rid, name in KEPT_RECORDS.items()}
-
-    def of_type(rid: str, value: str, name: str) -> str:
-        return f"CASE WHEN rid = '{rid}' THEN {value} END AS {name}"
-
-    parsed = counted.where(_IS_KEPT).selectExpr(
-        "rid", *[of_type(rid, _fields(kinds), name) for name, (rid, kinds) in columns.items()]
-    )
-    typed = parsed.selectExpr(
+    typed = _parsed(counted, schemas).selectExpr(
         "rid",
         *[
-            of_type(rid, f"struct({', '.join(_typed(name, kinds))})", name)
-            for name, (rid, kinds) in columns.items()
+            f"{_of_type(rid, f'struct({", ".join(_typed(name, schema_columns(schemas[name])))})')} AS {name}"
+            for rid, name in KEPT_RECORDS.items()
         ],
     )
     parquet_writer(typed, compression, compression_level).mode("overwrite").partitionBy("rid").parquet(path)

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import lru_cache, reduce
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from addrloom.functions import ranks, text
 from addrloom.operators.skew import find_hot_keys
-from addrloom.operators.staging import staged
+from addrloom.operators.staging import staged, staging_folder
 from addrloom.plans import abp, inspection, ngd
 from addrloom.sinks.parquet import sorted_output
 from addrloom.sources import records
@@ -203,13 +204,12 @@ def output_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Record tables -----------------------------------------------------------------
 
 
-def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _derived_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The derived record tables as mixed text, with header and trailer lines among them."""
     parts = []
     for name in derived.RECORD_TABLES:
-        columns = records.schema_columns(records.SCHEMAS[name])
-        table = derived.read(spark, sf_dir, name)
-        parts.append(table.select(F.expr(derived.record_line(columns)).alias("value")))
+        line = derived.record_line(records.schema_columns(records.SCHEMAS[name]))
+        parts.append(derived.read(spark, sf_dir, name).selectExpr(f"{line} AS value"))
     nation, region = derived.given(spark, sf_dir, "nation"), derived.given(spark, sf_dir, "region")
     header = F.concat(F.lit('\ufeff10,"'), "n_name", F.lit('",7655'))
     parts.append(nation.select(header.alias("value")))
@@ -217,6 +217,24 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+@lru_cache(maxsize=8)
+def _raw_folder(application: str, sf_dir: str) -> str | None:
+    """The lines as CSV files in the shared folder, written once per application."""
+    spark = SparkSession.active()
+    folder = staging_folder(spark)
+    if folder is None:
+        return None
+    path = f"{folder.rstrip('/')}/raw-{uuid4().hex}"
+    as_they_are = {"sep": "\x1f", "quote": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    _derived_lines(spark, sf_dir).write.options(**as_they_are).csv(path)
+    return path
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = _raw_folder(spark.sparkContext.applicationId, sf_dir)
+    return _derived_lines(spark, sf_dir) if folder is None else records.read_lines(spark, folder)
+
+
 def _register_split(name: str) -> None:
     def split(spark: SparkSession, sf_dir: str) -> DataFrame:
         return records.split_records(_lines(spark, sf_dir))[name]
