@@ -101,7 +101,9 @@ def best_overlapping(
         .selectExpr("*", f"explode({start_limits}) AS start_cell")
         .selectExpr("*", f"explode({end_limits}) AS end_cell")
     )
-    met = lookup_join(asked, cells, [key, "start_cell", "end_cell"], hot)
+    # Queries and spans are distinct, so the calendar bounds those of a cell; only the one
+    # cell of a small key, with its few spans, can meet all queries of a hot key.
+    met = lookup_join(asked, cells, [key, "start_cell", "end_cell"], hot, where="start_cell = -1")
     overlaps = "start_day IS NULL OR (start_day <= to_day AND end_day >= from_day)"
     return met.groupBy(*query).agg(
         F.expr(f"coalesce(min(candidate) FILTER (WHERE {overlaps}), min(any_candidate))").alias("candidate")

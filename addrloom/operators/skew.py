@@ -29,6 +29,7 @@ class HotKeys:
 
     groups: dict = field(default_factory=dict)
     null_groups: int = 1
+    rows_per_task: int = ROWS_PER_TASK
 
     def __bool__(self) -> bool:
         return bool(self.groups) or self.null_groups > 1
@@ -76,22 +77,29 @@ def find_hot_keys(keys: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> HotKey
             if entry["count"] > rows_per_task
         },
         null_groups=groups_for(found["missing"]),
+        rows_per_task=rows_per_task,
     )
 
 
 def lookup_join(
-    big: DataFrame, lookup: DataFrame, on: list[str], hot: HotKeys, how: str = "left"
+    big: DataFrame,
+    lookup: DataFrame,
+    on: list[str],
+    hot: HotKeys,
+    how: str = "left",
+    where: str = "true",
 ) -> DataFrame:
     """Join ``big`` to ``lookup``; rows of hot values of ``on[0]`` are spread over groups.
 
     Without hot keys this is a plain join and its partitioning can be reused. With
     them, each hot row picks one group from its own content and map partition (the
     same again if the task is retried, while copies in other partitions pick others)
-    and the lookup rows of that key are repeated once per group.
+    and the lookup rows of that key are repeated once per group. They should be few
+    per key; ``where``, a condition on the join columns, limits the spreading to such.
     """
     if not hot:
         return big.join(lookup, on, how)
-    count = hot.group_count(on[0])
+    count = f"CASE WHEN {where} THEN {hot.group_count(on[0])} ELSE 1 END"
     spread = f"pmod(xxhash64({', '.join(big.columns)}, spark_partition_id()), {count})"
     group = f"CASE WHEN ({count}) > 1 THEN CAST({spread} AS INT) ELSE 0 END AS join_group"
     grouped = big.selectExpr("*", group)

@@ -427,11 +427,11 @@ _CTES |= _lpi_stages("lpi_crowded", "1, 3, 6, 8", "crowded")
 _COUNTS = "SELECT unique_id, count(*) AS variant_count FROM finished_flatfile"
 
 
-def _split(name):
-    """Empty text is read back as NULL."""
+def _read_back(name):
+    """A record table after it has been text: empty text is NULL."""
     columns = records.schema_columns(records.SCHEMAS[name])
     read = [f"nullif({c}, '') AS {c}" if kind == "string" else c for c, kind in columns.items()]
-    return f"SELECT {_list(read)} FROM {name}"
+    return f"SELECT {_list(read)} FROM ({derived.sql(name)})"
 
 
 def _record_counts():
@@ -473,7 +473,7 @@ _FINAL: dict[str, str] = {
     "ngd_flatfile_hot_keys": "SELECT * FROM flatfile_default",
     "ngd_flatfile_chunked": "SELECT * FROM flatfile_default",
     "output_sorted": "SELECT * FROM flatfile_default",
-    **{f"split_records_{name}": _split(name) for name in derived.RECORD_TABLES},
+    **{f"split_records_{name}": _read_back(name) for name in derived.RECORD_TABLES},
     "split_records_counts": _record_counts(),
     "malformed_values": "SELECT 'organisation' AS record_type, line, 'pro_order' AS column_name, number AS text "
     "FROM faulty_lines WHERE TRY_CAST(number AS BIGINT) IS NULL UNION ALL "
@@ -492,6 +492,7 @@ _FINAL: dict[str, str] = {
     "business_current": _current("names", "full"),
     "business_historical": _historical("names", "full"),
     "business_historical_crowded": _historical("names_crowded", "crowded"),
+    "business_historical_hot_keys": _historical("names_crowded", "crowded"),
     "business_variants": _every(_current("names", "full"), _historical("names", "full")),
     "best_delivery_point": "SELECT * FROM best_mail",
     "delivery_variants": "SELECT * FROM mail",
@@ -502,6 +503,7 @@ _FINAL: dict[str, str] = {
     "abp_flatfile": _whole("live"),
     "abp_flatfile_all_statuses": _whole("full"),
     "abp_flatfile_hot_keys": _whole("live"),
+    "abp_flatfile_from_raw": _whole("live"),
     "variants_per_key": f"{_COUNTS} GROUP BY unique_id",
     "variant_statistics": "SELECT count(*) AS total_uprns, sum(variant_count)::BIGINT AS total_variants, "
     "avg(variant_count) AS mean_variants, median(variant_count) AS median_variants, "
@@ -529,8 +531,12 @@ def _needed(statement: str) -> list[str]:
     return [name for name in _CTES if name in found]
 
 
+_FROM_TEXT = {name: _read_back(name) for name in derived.RECORD_TABLES}
+
+
 def oracle(name: str) -> str:
-    ctes = ", ".join(f"{cte} AS ({_CTES[cte]})" for cte in _needed(_FINAL[name]))
+    used = _CTES | _FROM_TEXT if name == "abp_flatfile_from_raw" else _CTES
+    ctes = ", ".join(f"{cte} AS ({used[cte]})" for cte in _needed(_FINAL[name]))
     return f"WITH {ctes} {_FINAL[name]}" if ctes else _FINAL[name]
 
 

@@ -235,6 +235,15 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _derived_lines(spark, sf_dir) if folder is None else records.read_lines(spark, folder)
 
 
+@lru_cache(maxsize=8)
+def _record_folder(application: str, sf_dir: str) -> str:
+    """The record tables split from the written lines, once per application."""
+    spark = SparkSession.active()
+    path = f"{_raw_folder(application, sf_dir)}-tables"
+    records.write_record_tables(_lines(spark, sf_dir), path)
+    return path
+
+
 def _register_split(name: str) -> None:
     def split(spark: SparkSession, sf_dir: str) -> DataFrame:
         return records.split_records(_lines(spark, sf_dir))[name]
@@ -323,14 +332,24 @@ def business_historical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return abp.business_historical(organisation, _staged_distinct(spark, sf_dir))
 
 
-@query
-def business_historical_crowded(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _crowded(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Few properties with very many names and addresses each."""
-    lpi = derived.read(spark, sf_dir, "lpi_crowded")
     tables = _tables(spark, sf_dir)
+    lpi = derived.read(spark, sf_dir, "lpi_crowded")
     base = abp.lpi_base(lpi, tables["blpu"], tables["street_descriptor"], ())
-    organisation = derived.read(spark, sf_dir, "organisation_crowded")
-    return abp.business_historical(organisation, staged(abp.lpi_distinct(base)))
+    return derived.read(spark, sf_dir, "organisation_crowded"), staged(abp.lpi_distinct(base))
+
+
+@query
+def business_historical_crowded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return abp.business_historical(*_crowded(spark, sf_dir))
+
+
+@query
+def business_historical_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    organisation, distinct = _crowded(spark, sf_dir)
+    hot = find_hot_keys(organisation.select("uprn"), TEST_ROWS_PER_TASK)
+    return abp.business_historical(organisation, distinct, hot)
 
 
 @query
@@ -396,6 +415,15 @@ def abp_flatfile_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return abp.abp_flatfile(tables, crowding=abp.find_crowding(tables, TEST_ROWS_PER_TASK))
 
 
+@query
+def abp_flatfile_from_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the mixed text lines to the flatfile, through the written record tables."""
+    if staging_folder(spark) is None:
+        return abp.abp_flatfile(records.split_records(_lines(spark, sf_dir)))
+    folder = _record_folder(spark.sparkContext.applicationId, sf_dir)
+    return abp.abp_flatfile(records.read_record_tables(spark, folder))
+
+
 # Reports -----------------------------------------------------------------------
 
 
