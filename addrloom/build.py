@@ -10,7 +10,7 @@ from addrloom.functions.ranks import DEFAULT_EXCLUDED_STATUSES
 from addrloom.plans.abp import abp_flatfile
 from addrloom.plans.ngd import DEFAULT_EXCLUDED, ngd_flatfile
 from addrloom.sinks.parquet import OutputMetadata, output_metadata, write_flatfile
-from addrloom.sources.features import convert_zipped_features, wanted_archives
+from addrloom.sources.features import convert_zipped_features, read_zipped_lines, wanted_archives
 from addrloom.sources.records import read_lines, read_record_tables, write_record_tables
 from addrloom.sources.tables import read_features
 
@@ -42,7 +42,7 @@ def build_ngd_from_archives(
     return output_metadata(spark, output)
 
 
-def build_abp(
+def build_abp_from_folder(
     spark: SparkSession,
     raw: str,
     work: str,
@@ -55,3 +55,19 @@ def build_abp(
     write_record_tables(read_lines(spark, raw), work, overwrite=overwrite_tables)
     write_flatfile(abp_flatfile(read_record_tables(spark, work), excluded_statuses), output, **options)
     return output_metadata(spark, output)
+
+
+def build_abp_from_archives(
+    spark: SparkSession,
+    archives: Iterable[str],
+    work: str,
+    output: str,
+    excluded_statuses: Iterable[int] = DEFAULT_EXCLUDED_STATUSES,
+    overwrite_tables: bool = False,
+    **options,
+) -> OutputMetadata:
+    """Flatfile of the mixed-record CSV members of ZIP archives, split into tables at ``work`` first."""
+    lines = read_zipped_lines(spark, wanted_archives(archives, "abp"))
+    write_record_tables(lines, work, overwrite=overwrite_tables)
+    write_flatfile(abp_flatfile(read_record_tables(spark, work), excluded_statuses), output, **options)
+    return output_metadata(spark, output)

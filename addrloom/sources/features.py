@@ -1,9 +1,10 @@
-"""Per-feature CSV files with a header, as they are or inside ZIP archives."""
+"""Per-feature CSV files with a header, and the CSV members of ZIP archives."""
 
 from __future__ import annotations
 
 import csv
 import io
+import itertools
 import zipfile
 from collections.abc import Iterable, Iterator
 from pathlib import PurePosixPath
@@ -117,6 +118,17 @@ def _read_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     yield frame(stem, rows)
 
 
+def _read_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Stream the lines of each member in small batches."""
+    for batch in batches:
+        for path, member in zip(batch["archive"], batch["member"]):
+            with _open_archive(path) as stream, zipfile.ZipFile(stream) as archive:
+                with archive.open(member) as raw:
+                    text = io.TextIOWrapper(raw, encoding="utf-8")
+                    while lines := list(itertools.islice(text, _RECORDS_PER_BATCH)):
+                        yield pd.DataFrame({"value": [line.rstrip("\n") for line in lines]})
+
+
 def archive_members(spark: SparkSession, archives: Iterable[str]) -> DataFrame:
     """The CSV members of each archive with their header, one task per archive."""
     archives = list(archives)
@@ -158,6 +170,14 @@ def read_zipped_features(
     return records, {stem: header for stem, (_, _, header) in wanted.items()}
 
 
+def read_zipped_lines(spark: SparkSession, archives: Iterable[str]) -> DataFrame:
+    """Lines of all CSV members of the archives, streamed side by side, one task each."""
+    members = [tuple(row)[:2] for row in archive_members(spark, archives).collect()]
+    listed = spark.createDataFrame(members, "archive string, member string")
+    spread = listed.repartitionByRange(max(len(members), 1), "archive", "member")
+    return spread.mapInPandas(_read_lines, "value string")
+
+
 def convert_zipped_features(
     spark: SparkSession,
     archives: Iterable[str],

@@ -1,6 +1,11 @@
 import zipfile
 
-from addrloom.build import build_abp, build_ngd_from_archives, build_ngd_from_folder
+from addrloom.build import (
+    build_abp_from_archives,
+    build_abp_from_folder,
+    build_ngd_from_archives,
+    build_ngd_from_folder,
+)
 from addrloom.plans.inspection import flatfile
 from tests.test_ngd import ALTERNATE, ALTERNATIVE, CORE, OUTPUT, PREBUILD, ROYAL, built, frame, royal
 from tests.test_records import BLPU, LPI
@@ -38,10 +43,24 @@ def test_archives_and_folder_give_the_same(spark, tmp_path):
 def test_mixed_records(spark, tmp_path):
     (tmp_path / "raw").mkdir()
     (tmp_path / "raw" / "part.csv").write_text(f"{LPI}\n{BLPU}\n")
-    metadata = build_abp(spark, str(tmp_path / "raw"), str(tmp_path / "work"), str(tmp_path / "out"))
+    metadata = build_abp_from_folder(
+        spark, str(tmp_path / "raw"), str(tmp_path / "work"), str(tmp_path / "out")
+    )
     assert metadata.records == 2
     rows = flatfile(spark, str(tmp_path / "out")).collect()
     assert {(row["address_concat"], row["source"]) for row in rows} == {
         ('FLAT "A" 12', "LPI"),
         ('FIRST FLAT "A" 12', "CUSTOM_LEVEL"),
     }
+
+
+def test_mixed_records_in_archives(spark, tmp_path):
+    archives = []
+    for name, line in {"AddressBasePremium_1": LPI, "AddressBasePremium_2": BLPU}.items():
+        path = tmp_path / f"{name}.zip"
+        with zipfile.ZipFile(path, "w") as archive:
+            archive.writestr(f"data/{name}.csv", f"\ufeff10,header\r\n{line}\r\n")
+            archive.writestr("notes.txt", "24,not read\n")
+        archives.append(str(path))
+    metadata = build_abp_from_archives(spark, archives, str(tmp_path / "work"), str(tmp_path / "out"), sort=False)
+    assert metadata.records == 2
