@@ -39,6 +39,24 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(moved)}
 
 
+# Letters and numbers that Unicode 16 added, as the tokenizers library knows
+# them and Python's tables may not yet.
+LATER_LETTERS = (
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85),
+    (0x10EC2, 0x10EC4), (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5), (0x113B7, 0x113B7),
+    (0x113D1, 0x113D1), (0x113D3, 0x113D3), (0x11BC0, 0x11BE0), (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16D40, 0x16D6C),
+    (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0),
+)
+LATER_NUMBERS = (
+    (0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9),
+    (0x1E5F1, 0x1E5FA),
+)
+
+
+def _within(code: int, ranges: tuple) -> bool:
+    return any(first <= code <= last for first, last in ranges)
+
+
 def _ranges(test: Callable[[str], bool]) -> str:
     """A character class body of all characters that pass the test."""
     parts, start = [], None
@@ -56,8 +74,8 @@ def _ranges(test: Callable[[str], bool]) -> str:
 def splitter() -> re.Pattern:
     """The byte-level split into words, numbers, signs and white space."""
     kind = unicodedata.category
-    letter = _ranges(lambda c: kind(c)[0] == "L")
-    number = _ranges(lambda c: kind(c)[0] == "N")
+    letter = _ranges(lambda c: kind(c)[0] == "L" or kind(c) == "Cn" and _within(ord(c), LATER_LETTERS))
+    number = _ranges(lambda c: kind(c)[0] == "N" or kind(c) == "Cn" and _within(ord(c), LATER_NUMBERS))
     space = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
     return re.compile(
         rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+| ?[^{space}{letter}{number}]+"

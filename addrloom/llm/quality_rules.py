@@ -1,5 +1,7 @@
 """Quality rules on repetition: how much of a text lies in n-grams and lines it repeats.
 
+Beside them stand a least number of words and a largest number of marks per word.
+
 Words are the runs of ``[^\\x20\\x09-\\x0D]``. Each word becomes a 64-bit number and every
 n-gram a polynomial of its words, rolled from one length to the next in numpy:
 ``H[n][i] = H[n-1][i] * base + word[i+n-1]``. An n-gram can only repeat where the shorter
@@ -28,7 +30,9 @@ class RepetitionLimits:
 
     min_words: int = 50
     max_repeat_words_percent: int = 50
-    # Shares of characters inside n-grams that occur twice or more, by n.
+    # Marks like ``#`` and ``|`` per word.
+    symbols_per_word: float = 0.5
+    # Shares of characters inside n-grams that occurred before in the text, by n.
     ngram_chars: dict[int, float] = field(
         default_factory=lambda: {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
     )
@@ -36,15 +40,18 @@ class RepetitionLimits:
     line_chars: float = 0.20
 
 
-def _repeated(values: np.ndarray) -> np.ndarray:
-    """Which values occur twice or more."""
-    order = np.argsort(values, kind="stable")
-    sorted_ = values[order]
-    same = sorted_[1:] == sorted_[:-1]
-    out = np.zeros(len(values), bool)
-    out[order[1:][same]] = True
-    out[order[:-1][same]] = True
-    return out
+def _repeated(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which values occur twice or more, and which occurred before."""
+    again, later = np.zeros(len(values), bool), np.zeros(len(values), bool)
+    sorted_ = np.sort(values)
+    if (sorted_[1:] == sorted_[:-1]).any():
+        order = np.argsort(values, kind="stable")
+        sorted_ = values[order]
+        same = sorted_[1:] == sorted_[:-1]
+        later[order[1:][same]] = True
+        again |= later
+        again[order[:-1][same]] = True
+    return again, later
 
 
 def _covered(starts: np.ndarray, n: int, words: int) -> np.ndarray:
@@ -55,10 +62,10 @@ def _covered(starts: np.ndarray, n: int, words: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def ngram_coverage(words: list[bytes], lengths: list[int]) -> dict[int, np.ndarray]:
-    """For each n of ``lengths`` (ascending, from 3) the words inside repeated n-grams."""
+def ngram_coverage(words: list[bytes], lengths: list[int]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """For each n of ``lengths`` (ascending) the words inside repeated n-grams: with and without the first ones."""
     values = np.fromiter(map(hash, words), np.int64, len(words)).view(np.uint64)
-    found: dict[int, np.ndarray] = {}
+    found = {}
     starts, rolled, n = np.arange(len(words)), values, 1
     for length in lengths:
         while n < length:
@@ -66,11 +73,10 @@ def ngram_coverage(words: list[bytes], lengths: list[int]) -> dict[int, np.ndarr
             starts = starts[fits]
             rolled = rolled[fits] * _BASE + values[starts + n]
             n += 1
-        if len(rolled):
-            sorted_ = np.sort(rolled)
-            again = _repeated(rolled) if (sorted_[1:] == sorted_[:-1]).any() else np.zeros(len(rolled), bool)
-            starts, rolled = starts[again], rolled[again]
-        found[length] = _covered(starts, length, len(words))
+        again, later = _repeated(rolled)
+        after_first = _covered(starts[later], length, len(words))
+        starts, rolled = starts[again], rolled[again]
+        found[length] = _covered(starts, length, len(words)), after_first
     return found
 
 
@@ -92,15 +98,16 @@ def measure(data: bytes | None, limits: RepetitionLimits) -> tuple:
         else:
             seen.add(line)
     cover = ngram_coverage(words, [3, *sorted(limits.ngram_chars)])
-    n_repeat_words = int(cover[3].sum())
+    n_repeat_words = int(cover[3][0].sum())
     worst = 0.0
     within = True
     if n_repeat_words:
         chars = np.fromiter((len(w.translate(None, _NOT_FIRST_BYTES)) for w in words), np.int64, len(words))
         for n, most in limits.ngram_chars.items():
-            share = int(chars[cover[n]].sum()) / word_chars
+            share = int(chars[cover[n][1]].sum()) / word_chars
             worst = max(worst, share)
             within &= share <= most
+    within &= n_symbols <= limits.symbols_per_word * len(words)
     line_share = dup_line_chars / word_chars if word_chars else 0.0
     within &= n_dup_lines <= limits.line_share * n_lines and line_share <= limits.line_chars
     failed = len(words) < limits.min_words or 100 * n_repeat_words > limits.max_repeat_words_percent * len(words)

@@ -8,11 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from addrloom.llm.bpe import round_trip
 from addrloom.llm.exact_dedup import exact_groups
+from addrloom.llm.line_dedup import common_line_digests
 from addrloom.llm.packing import packed_sequences
+from addrloom.llm.quality_classifier import quality_scores
 from addrloom.llm.quality_rules import repetition_measures
+from addrloom.llm.repeats import repeat_digests
 from addrloom.llm.rows import find_library
 from addrloom.llm.secret_scan import secret_spans
 from addrloom.llm.simhash import near_duplicate_classes
+from addrloom.llm.token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,7 +36,35 @@ _on_documents("op3_bpe_round_trip", round_trip)
 _on_documents("op4_exact_dedup", exact_groups)
 _on_documents("op5_best_fit_packing", packed_sequences)
 _on_documents("op6_secret_scan", secret_spans)
+_on_documents("op7_line_dedup", common_line_digests)
+_on_documents("op9_repeated_passages", repeat_digests)
+_on_documents("op10_token_counts", token_counts)
 
+
+def op8_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    find_library(spark)
+    return quality_scores(*(spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels")))
+
+
+QUERIES["op8_compression_classifier"] = op8_compression_classifier
+
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+ORACLES["op7_line_dedup"] = f"""
+WITH lines AS (
+    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i
+    FROM documents
+), keyed AS (
+    SELECT *, translate(trim(line, {_BLANKS}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines
+), common AS (
+    SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+), marked AS (
+    SELECT k.*, c.key IS NOT NULL AS gone FROM keyed k LEFT JOIN common c USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
 ORACLES["op4_exact_dedup"] = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
