@@ -156,10 +156,10 @@ def _blocks(length: int, anchor: int):
 
 
 def suffix_array(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order of the suffixes at ``starts`` and the common prefix of each with the one before.
+    """Order of the suffixes at ``starts`` and the common prefix of each with the one before."""
     n, longest = len(data), int((ends - starts).max())
-    padded = np.concatenate([data, np.zeros(2 * longest + 16, np.uint8)])
-    words = np.zeros(n + longest + 8, np.uint64)
+    padded = np.concatenate([data, np.zeros(2 * longest + 24, np.uint8)])
+    words = np.zeros(n + 2 * longest + 16, np.uint64)
     for j in range(8):
         words |= padded[j : j + len(words)].astype(np.uint64) << np.uint64(56 - 8 * j)
     ranks = {8: np.unique(words, return_inverse=True)[1].astype(np.int64)}
