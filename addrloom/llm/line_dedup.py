@@ -78,6 +78,7 @@ def drop_bitmaps(
         .agg(F.count_if("first").alias("documents"), F.min(place).alias("kept_place"))
         .where(F.col("documents") >= min_documents)
     )
+    counted = staged(counted)  # two plain exchanges below: Spark can split a crowded line
     if keep_first:
         gone = hashes.join(counted, "line_hash").where(~place.eqNullSafe(F.col("kept_place")))
     else:

@@ -48,6 +48,55 @@ def op8_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["op8_compression_classifier"] = op8_compression_classifier
 
+_WORD = r"[^\x20\x09-\x0D]+"
+_SHARES = {5: 15, 6: 14, 7: 13, 8: 12, 9: 11, 10: 10}
+ORACLES["op1_repetition_rules"] = f"""
+WITH texts AS (
+    SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS words FROM documents
+), sizes AS (
+    SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(list_sum(list_transform(words, lambda w: length(w))), 0)::BIGINT AS word_chars,
+           length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols
+    FROM texts
+), lines AS (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM texts
+), said AS (
+    SELECT *, row_number() OVER (PARTITION BY doc_id, line ORDER BY i) > 1 AS again FROM lines WHERE regexp_matches(line, '{_WORD}')
+), line_counts AS (
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE again) AS n_dup_lines,
+           coalesce(sum(list_sum(list_transform(regexp_extract_all(line, '{_WORD}'), lambda w: length(w)))) FILTER (WHERE again), 0) AS chars
+    FROM said GROUP BY doc_id
+), grams AS (
+    SELECT doc_id, n, i, array_to_string(words[i:i + n - 1], ' ') AS gram
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM texts), (SELECT unnest([3, 5, 6, 7, 8, 9, 10]) AS n)
+    WHERE i + n - 1 <= len(words)
+), marked AS (
+    SELECT *, count(*) OVER (PARTITION BY doc_id, n, gram) > 1 AS again,
+           row_number() OVER (PARTITION BY doc_id, n, gram ORDER BY i) > 1 AS later FROM grams
+), covered AS (
+    SELECT doc_id, n, place, bool_or(later) AS later
+    FROM (SELECT doc_id, n, later, unnest(range(i, i + n)) AS place FROM marked WHERE again) GROUP BY ALL
+), shares AS (
+    SELECT c.doc_id, n, count(*) AS n_covered, coalesce(sum(length(words[place])) FILTER (WHERE later), 0) AS chars
+    FROM covered c JOIN texts USING (doc_id) GROUP BY ALL
+), repeats AS (
+    SELECT doc_id, coalesce(max(n_covered) FILTER (WHERE n = 3), 0) AS n_repeat_words,
+           coalesce(max(chars / word_chars) FILTER (WHERE n > 3), 0) AS worst,
+           coalesce(bool_and(chars / word_chars <= (map {_SHARES}[n]) / 100) FILTER (WHERE n > 3), true) AS within
+    FROM shares JOIN sizes USING (doc_id) GROUP BY doc_id
+), measured AS (
+    SELECT doc_id, n_words, word_chars, n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+           n_words < 50 OR 100 * coalesce(n_repeat_words, 0) > 50 * n_words AS base_failed,
+           coalesce(within, true) AND coalesce(n_dup_lines <= 0.3 * n_lines AND chars / word_chars <= 0.2, true)
+               AND n_symbols <= 0.5 * n_words AS within,
+           coalesce(worst, 0)::DOUBLE AS worst_ngram_share,
+           CASE WHEN word_chars > 0 THEN coalesce(chars, 0) / word_chars ELSE 0 END::DOUBLE AS dup_line_char_share
+    FROM sizes LEFT JOIN line_counts USING (doc_id) LEFT JOIN repeats USING (doc_id)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, within AND NOT base_failed AS kept,
+       worst_ngram_share, dup_line_char_share
+FROM measured
+"""
+
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 ORACLES["op7_line_dedup"] = f"""
 WITH lines AS (

@@ -101,7 +101,7 @@ def assignments(data: bytes) -> list[tuple[bytes, list[tuple[str, bytes, int, in
         while term := _TERM.match(data, at):
             group = term.lastgroup
             text, (start, end) = term.group(group), term.span(group)
-            plain = group == "bare" and _IDENTIFIER.match(text) and not any(0x30 <= b <= 0x39 for b in text)
+            plain = group == "bare" and _IDENTIFIER.match(text)
             terms.append(("name" if plain else "literal", text, start, end))
             plus = _PLUS.match(data, term.end())
             if not plus:
