@@ -27,6 +27,9 @@ _FIRST_DAY = -719162
 # and gives a query at most this many partners.
 SMALL_KEY = 64
 
+# Cells that can meet more than 2^20 distinct queries of a key are split like the key.
+SPREAD_FROM = 20
+
 
 def day_or_first(date: str) -> str:
     """Day number of an interval's start; NULL has always begun."""
@@ -58,14 +61,21 @@ def _cells_below(limit: str) -> str:
 
 
 def best_overlapping(
-    queries: DataFrame, intervals: DataFrame, key: str, hot: HotKeys, small_key: int = SMALL_KEY
+    queries: DataFrame,
+    intervals: DataFrame,
+    key: str,
+    hot: HotKeys,
+    small_key: int = SMALL_KEY,
+    spread_from: int = SPREAD_FROM,
 ) -> DataFrame:
     """For each distinct query the smallest ``candidate`` of its key, overlapping ones first.
 
     ``queries`` holds the key, ``from_day`` and ``to_day``; ``intervals`` the key,
     ``start_day``, ``end_day`` and an orderable ``candidate``. If none overlaps, the
     best of the key is taken; keys without intervals give no row. Returns the distinct
-    queries with their ``candidate``.
+    queries with their ``candidate``. ``small_key`` and ``spread_from`` steer the work and
+    not the result: keys of at most so many spans are joined directly, and cells of more
+    than so many levels (about 2 to that power of queries) are spread for hot keys.
     """
     query = [key, "from_day", "to_day"]
     best = F.min("candidate").alias("candidate")
@@ -101,9 +111,12 @@ def best_overlapping(
         .selectExpr("*", f"explode({start_limits}) AS start_cell")
         .selectExpr("*", f"explode({end_limits}) AS end_cell")
     )
-    # Queries and spans are distinct, so the calendar bounds those of a cell; only the one
-    # cell of a small key, with its few spans, can meet all queries of a hot key.
-    met = lookup_join(asked, cells, [key, "start_cell", "end_cell"], hot, where="start_cell = -1")
+    # Queries are distinct, so a cell of levels a and b meets at most 2^(a + b) of them. Where
+    # that may be many, and in the one cell of a small key, a hot key's queries are spread;
+    # there are few such cells, so that they can be repeated per group.
+    levels = f"shiftright(start_cell, {_BITS + 1}) + shiftright(end_cell, {_BITS + 1})"
+    where = f"start_cell = -1 OR {levels} > {spread_from}"
+    met = lookup_join(asked, cells, [key, "start_cell", "end_cell"], hot, where=where)
     overlaps = "start_day IS NULL OR (start_day <= to_day AND end_day >= from_day)"
     return met.groupBy(*query).agg(
         F.expr(f"coalesce(min(candidate) FILTER (WHERE {overlaps}), min(any_candidate))").alias("candidate")

@@ -7,24 +7,17 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from addrloom.functions.text import listed
 
 # A key with more rows than one task should hold is split into groups of about this size.
 ROWS_PER_TASK = 2_000_000
-# Bounds the list kept on the driver; keys beyond it are the smaller ones and are
-# left to adaptive execution, which splits skewed join partitions at run time.
-LISTED_KEYS = 1_000
-# Size of the frequent-item sketches, and how many of them meet in the last task. A key
-# is sure to be found if it has more than about a 30,000th of all rows.
-_TRACKED_KEYS = 100_000
-_SKETCHES = 1_000
 
 
 @dataclass(frozen=True)
 class HotKeys:
     """How many groups each crowded value of a key column is split into.
 
-    It only steers where rows go; a missing or needless entry changes no result.
+    There are at most rows / rows_per_task of them. It only steers where rows go; a missing
+    or needless entry changes no result.
     """
 
     groups: dict = field(default_factory=dict)
@@ -34,51 +27,29 @@ class HotKeys:
     def __bool__(self) -> bool:
         return bool(self.groups) or self.null_groups > 1
 
-    def group_count(self, key: str) -> str:
-        named = ""
-        if self.groups:
-            entries = listed(part for entry in self.groups.items() for part in entry)
-            named = f"WHEN {key} IN ({listed(self.groups)}) THEN element_at(map({entries}), {key})"
-        return f"CASE WHEN {key} IS NULL THEN {self.null_groups} {named} ELSE 1 END"
+    def counted(self, df: DataFrame, key: str, where: str) -> DataFrame:
+        """``df`` with the number of groups of its key in ``join_groups``, 1 where not ``where``."""
+        kind = df.schema[key].dataType.simpleString()
+        table = df.sparkSession.createDataFrame(list(self.groups.items()), f"hot_key {kind}, hot_groups int")
+        # Small by its bound: some bytes for as many rows as fill a task.
+        met = df.join(F.broadcast(table), F.col(key) == F.col("hot_key"), "left")
+        groups = f"CASE WHEN NOT ({where}) THEN 1 WHEN {key} IS NULL THEN {self.null_groups} ELSE coalesce(hot_groups, 1) END"
+        return met.selectExpr(*[f"`{name}`" for name in df.columns], f"{groups} AS join_groups")
 
 
 NO_HOT_KEYS = HotKeys()
 
 
 def find_hot_keys(keys: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> HotKeys:
-    """List the values of a one-column DataFrame that are too frequent for one task.
+    """All values of a one-column DataFrame that are too frequent for one task.
 
-    Runs one job now. Each task reduces its rows to a sketch of bounded size, so no keys
-    are shuffled; the sketches meet in two steps and at most ``LISTED_KEYS`` values reach
-    the driver.
+    Runs one job now: an exact count per value, summed in the map tasks first, so that
+    a crowded value is a row per task.
     """
     (key,) = keys.columns
-    sketch = f"approx_top_k_accumulate({key}, {_TRACKED_KEYS}) FILTER (WHERE {key} IS NOT NULL)"
-    combined = f"approx_top_k_combine(sketch, {_TRACKED_KEYS})"
-    found = (
-        keys.selectExpr(key, f"spark_partition_id() % {_SKETCHES} AS part")
-        .groupBy("part")
-        .agg(F.expr(sketch).alias("sketch"), F.count_if(F.col(key).isNull()).alias("missing"))
-        .groupBy(F.lit("all"))
-        .agg(F.expr(combined).alias("sketch"), F.sum("missing").alias("missing"))
-        .selectExpr("missing", f"approx_top_k_estimate(sketch, {LISTED_KEYS}) AS frequent")
-        .first()
-    )
-    if found is None:
-        return NO_HOT_KEYS
-
-    def groups_for(rows: int) -> int:
-        return max(1, -(-rows // rows_per_task))
-
-    return HotKeys(
-        groups={
-            entry["item"]: groups_for(entry["count"])
-            for entry in found["frequent"]
-            if entry["count"] > rows_per_task
-        },
-        null_groups=groups_for(found["missing"]),
-        rows_per_task=rows_per_task,
-    )
+    counted = keys.groupBy(key).count().where(F.col("count") > rows_per_task).collect()
+    groups = {row[0]: -(-row[1] // rows_per_task) for row in counted}
+    return HotKeys(groups, groups.pop(None, 1), rows_per_task)
 
 
 def lookup_join(
@@ -99,11 +70,9 @@ def lookup_join(
     """
     if not hot:
         return big.join(lookup, on, how)
-    count = f"CASE WHEN {where} THEN {hot.group_count(on[0])} ELSE 1 END"
-    spread = f"pmod(xxhash64({', '.join(big.columns)}, spark_partition_id()), {count})"
-    group = f"CASE WHEN ({count}) > 1 THEN CAST({spread} AS INT) ELSE 0 END AS join_group"
-    grouped = big.selectExpr("*", group)
-    repeated = lookup.where(f"{on[0]} IS NOT NULL").selectExpr(
-        "*", f"explode(sequence(0, ({count}) - 1)) AS join_group"
-    )
+    spread = f"pmod(xxhash64({', '.join(big.columns)}, spark_partition_id()), join_groups)"
+    group = f"CASE WHEN join_groups > 1 THEN CAST({spread} AS INT) ELSE 0 END AS join_group"
+    grouped = hot.counted(big, on[0], where).selectExpr("*", group).drop("join_groups")
+    known = hot.counted(lookup.where(f"{on[0]} IS NOT NULL"), on[0], where)
+    repeated = known.selectExpr("*", "explode(sequence(0, join_groups - 1)) AS join_group").drop("join_groups")
     return grouped.join(repeated, [*on, "join_group"], how).drop("join_group")

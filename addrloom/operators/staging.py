@@ -20,11 +20,13 @@ def _local_folder() -> str:
     return folder
 
 
-def staging_folder(spark: SparkSession) -> str | None:
+def staging_folder(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder. Only a local session gets one of its own."""
     folder = spark.conf.get(FOLDER_SETTING, None)
-    if folder is None and spark.sparkContext.master.startswith("local"):
+    if folder is None and spark.sparkContext.master.startswith("local") and "cluster" not in spark.sparkContext.master:
         folder = _local_folder()
+    if folder is None:
+        raise RuntimeError(f"set {FOLDER_SETTING} to a folder that the driver and all executors share")
     return folder
 
 
@@ -32,12 +34,9 @@ def staged(df: DataFrame) -> DataFrame:
     """Write the rows to the shared folder and go on from there.
 
     Later steps read only the columns they need, and the loss of an executor repeats
-    no earlier step. Runs one job now. A cluster that names no folder goes on with
-    the rows as they are, computed again by each reader.
+    no earlier step. Runs one job now.
     """
     folder = staging_folder(df.sparkSession)
-    if folder is None:
-        return df
     path = f"{folder.rstrip('/')}/staged-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

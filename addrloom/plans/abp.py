@@ -20,7 +20,7 @@ from addrloom.functions.text import (
     named_address,
     normalise_address,
 )
-from addrloom.operators.overlap import best_overlapping, day_or_first, day_or_open
+from addrloom.operators.overlap import SMALL_KEY, SPREAD_FROM, best_overlapping, day_or_first, day_or_open
 from addrloom.operators.ranking import best_per_key
 from addrloom.operators.skew import (
     NO_HOT_KEYS,
@@ -130,17 +130,20 @@ def best_street_any(street_descriptor: DataFrame, used: DataFrame | None = None)
     return best if used is None else best.join(used.select("usrn").distinct(), ["usrn"], "left_semi")
 
 
-def street_lookup(street_descriptor: DataFrame, used: DataFrame) -> DataFrame:
-    """Street texts for every used pair: in its language, else per column in any language."""
-    same = best_street_by_language(street_descriptor).selectExpr(
-        "usrn", "language", *[f"{name} AS same_{name}" for name in _STREET_TEXT]
-    )
-    anyhow = best_street_any(street_descriptor).selectExpr(
-        "usrn", *[f"{name} AS any_{name}" for name in _STREET_TEXT]
+def street_lookup(street_descriptor: DataFrame) -> DataFrame:
+    """One row per street: its best texts of any language, and the best ones by language.
+
+    Both come from one exchange by street.
+    """
+    dealt = street_descriptor.where("usrn IS NOT NULL").repartition("usrn")
+    by_language = best_street_by_language(dealt)
+    order = [*ranks.latest_valid(), *[c for c in street_descriptor.columns if c != "usrn"]]
+    keyed = [f"{value} AS key_{i}" for i, value in enumerate(order)]
+    texts = f"struct({', '.join(f'{name} AS {alias}' for name, alias in _STREET_TEXT.items())})"
+    return by_language.groupBy("usrn").agg(
+        F.expr(f"min(struct({', '.join(keyed)}, {texts} AS texts)).texts").alias("any_language"),
+        F.expr(f"map_from_entries(collect_list(struct(language, {texts} AS texts)) FILTER (WHERE language IS NOT NULL))").alias("by_language"),
     )
-    found = used.join(same, ["usrn", "language"], "left").join(anyhow, ["usrn"], "left")
-    texts = [f"coalesce(same_{name}, any_{name}) AS {alias}" for name, alias in _STREET_TEXT.items()]
-    return found.selectExpr("usrn", "language", *texts)
 
 
 # Identifiers -------------------------------------------------------------------
@@ -151,29 +154,31 @@ def parents_with_children(blpu: DataFrame) -> DataFrame:
     return blpu.where("parent_uprn IS NOT NULL").selectExpr("parent_uprn AS uprn").distinct()
 
 
-def postal_properties(blpu: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+def postal_properties(blpu: DataFrame) -> DataFrame:
     """What a variant carries of its property; those marked as not postal are left out.
 
     Copies of a property's row say nothing more and are dropped, so that they do not
-    multiply its addresses.
+    multiply its addresses. Each row of the one scan speaks for its property and for its
+    parent, which it shows to have children; one exchange by property brings both together.
     """
-    if hot is None:
-        hot = find_hot_keys(blpu.select("uprn"))
-    parents = parents_with_children(blpu).selectExpr("uprn", "true AS has_children")
-    carried = [
-        "uprn",
-        "postcode_locator AS postcode",
-        "blpu_state",
-        "addressbase_postal AS postal_address_code",
-        "parent_uprn",
-    ]
-    code = ranks.hierarchy_code("parent_uprn", "has_children")
-    postal = blpu.where("NOT addressbase_postal <=> 'N'").selectExpr(*carried)
-    return (
-        lookup_join(postal, parents, ["uprn"], hot)
-        .selectExpr(*postal.columns, f"{code} AS hierarchy_level")
-        .distinct()
+    carried = {
+        "postcode": "postcode_locator",
+        "blpu_state": "blpu_state",
+        "postal_address_code": "addressbase_postal",
+        "parent_uprn": "parent_uprn",
+    }
+    row = f"struct({', '.join(f'{value} AS {name}' for name, value in carried.items())})"
+    own = f"struct(uprn, IF(NOT addressbase_postal <=> 'N', {row}, NULL) AS own, false AS is_parent)"
+    parent = f"struct(parent_uprn AS uprn, IF(false, {row}, NULL) AS own, true AS is_parent)"
+    said = blpu.selectExpr(f"inline(array({own}, {parent}))")
+    per_uprn = (
+        said.where("own IS NOT NULL OR (is_parent AND uprn IS NOT NULL)")
+        .groupBy("uprn")
+        .agg(F.collect_set("own").alias("rows"), F.max("is_parent").alias("has_children"))
     )
+    code = ranks.hierarchy_code("parent_uprn", "has_children")
+    rows = per_uprn.selectExpr("uprn", "has_children", "inline(rows)")
+    return rows.selectExpr("uprn", *carried, f"{code} AS hierarchy_level")
 
 
 def _object(prefix: str) -> str:
@@ -190,31 +195,22 @@ def lpi_base(
     blpu: DataFrame,
     street_descriptor: DataFrame,
     excluded_statuses: Iterable[int] = ranks.DEFAULT_EXCLUDED_STATUSES,
-    crowding: Crowding | None = None,
+    crowding: Crowding = Crowding(),
 ) -> DataFrame:
     """Identifiers of postal properties with their rendered base address.
 
     The text is rendered before the join by property, so that join moves one address
     in place of its components.
     """
-    if crowding is None:
-        crowding = Crowding(
-            uprn=find_hot_keys(lpi.select("uprn").union(blpu.select("uprn"))),
-            usrn=find_hot_keys(lpi.select("usrn")),
-        )
     kept = lpi.where("uprn IS NOT NULL").where(
         ranks.status_is_included("logical_status", excluded_statuses)
     )
-    # A language may be missing, and such a row still finds its street in any language.
-    language_key = ["language IS NULL AS language_missing", "coalesce(language, '') AS language_key"]
-    streets = street_lookup(street_descriptor, used_streets(kept)).selectExpr("*", *language_key)
-    located = lookup_join(
-        kept.selectExpr("*", *language_key),
-        streets.drop("language"),
-        ["usrn", "language_missing", "language_key"],
-        crowding.usrn,
-    )
+    located = lookup_join(kept, street_lookup(street_descriptor), ["usrn"], crowding.usrn)
     places = list(_STREET_TEXT.values())
+    # A text that the street lacks in the row's language is taken in any language.
+    located = located.selectExpr(
+        "*", *[f"coalesce(element_at(by_language, language).{name}, any_language.{name}) AS {name}" for name in places]
+    )
     rendered = located.selectExpr(
         "uprn",
         "lpi_key",
@@ -229,7 +225,7 @@ def lpi_base(
         f"{rendered_base_address(*places)} AS base_address",
         f"{ranks.logical_status_rank('logical_status')} AS status_rank",
     )
-    return lookup_join(rendered, postal_properties(blpu, crowding.uprn), ["uprn"], crowding.uprn, "inner")
+    return lookup_join(rendered, postal_properties(blpu), ["uprn"], crowding.uprn, "inner")
 
 
 def lpi_distinct(base: DataFrame, also: Iterable[str] = ()) -> DataFrame:
@@ -296,26 +292,27 @@ def _occupied(distinct: DataFrame, organisation: DataFrame, hot: HotKeys) -> Dat
 
 
 def business_current(
-    organisation: DataFrame, distinct: DataFrame, hot: HotKeys | None = None
+    organisation: DataFrame, distinct: DataFrame, hot: HotKeys = NO_HOT_KEYS
 ) -> DataFrame:
     """Names still in place, before the best current address of their property."""
-    if hot is None:
-        hot = find_hot_keys(organisation.select("uprn").union(distinct.select("uprn")))
     names = occupier_names(organisation).where("end_date IS NULL")
     best = lpi_best_current(_occupied(distinct, organisation, hot))
     return _business_variants(lookup_join(names, best, ["uprn"], hot, "inner"), "BUSINESS_CURRENT")
 
 
 def business_historical(
-    organisation: DataFrame, distinct: DataFrame, hot: HotKeys | None = None
+    organisation: DataFrame,
+    distinct: DataFrame,
+    hot: HotKeys = NO_HOT_KEYS,
+    small_key: int = SMALL_KEY,
+    spread_from: int = SPREAD_FROM,
 ) -> DataFrame:
     """Names that have ended, before the best address valid in their time, else any.
 
+    ``small_key`` and ``spread_from`` are those of ``best_overlapping``; no result depends on them.
     Each name asks for the address whose validity overlaps its own; see
     ``operators.overlap`` for how that avoids pairing names with addresses.
     """
-    if hot is None:
-        hot = find_hot_keys(organisation.select("uprn").union(distinct.select("uprn")))
     names = (
         occupier_names(organisation)
         .where("end_date IS NOT NULL")
@@ -334,7 +331,7 @@ def business_historical(
         f"{day_or_open('end_date')} AS end_day",
         f"struct(status_rank, {ranks.last_updated()} AS age, {', '.join(carried)}) AS candidate",
     )
-    found = best_overlapping(names, intervals, "uprn", hot)
+    found = best_overlapping(names, intervals, "uprn", hot, small_key, spread_from)
     # Names go back to the answer of their query. A hot property may ask many queries, so
     # what counts here is how many names share one.
     query = ["query", "uprn", "from_day", "to_day"]
@@ -349,12 +346,10 @@ def business_historical(
 
 
 def business_variants(
-    organisation: DataFrame, distinct: DataFrame, hot: HotKeys | None = None
+    organisation: DataFrame, distinct: DataFrame, hot: HotKeys = NO_HOT_KEYS, small_key: int = SMALL_KEY
 ) -> DataFrame:
-    if hot is None:
-        hot = find_hot_keys(organisation.select("uprn").union(distinct.select("uprn")))
     return business_current(organisation, distinct, hot).unionByName(
-        business_historical(organisation, distinct, hot)
+        business_historical(organisation, distinct, hot, small_key)
     )
 
 
@@ -423,14 +418,12 @@ def combine_and_dedupe(
     variants: DataFrame,
     classification_best: DataFrame,
     delivery_best: DataFrame,
-    hot: HotKeys | None = None,
+    hot: HotKeys = NO_HOT_KEYS,
 ) -> DataFrame:
     """The flatfile: deduplicated variants, a primary for each property, code and postal key.
 
     Where no variant of a property is primary, the first by source, label and address is.
     """
-    if hot is None:
-        hot = find_hot_keys(variants.select("uprn"))
     deduped = staged(dedup_variants(variants))
     first = f"struct({ranks.source_rank('source')}, {ranks.nulls_last('variant_label')}, address_concat)"
     primaries = deduped.groupBy("uprn").agg(
@@ -451,11 +444,13 @@ def abp_flatfile(
     tables: dict[str, DataFrame],
     excluded_statuses: Iterable[int] = ranks.DEFAULT_EXCLUDED_STATUSES,
     crowding: Crowding | None = None,
+    small_key: int = SMALL_KEY,
 ) -> DataFrame:
     """Deduplicated address variants from the six record tables.
 
     The distinct addresses, which four steps read, and the deduplicated variants, which
-    two read, are staged.
+    two read, are staged. Unless ``crowding`` is given, crowded keys are counted first.
+    ``small_key`` is that of ``best_overlapping``.
     """
     lacking = sorted(set(TABLES) - set(tables))
     if lacking:
@@ -472,7 +467,7 @@ def abp_flatfile(
     distinct = staged(lpi_distinct(base, also=["level"]))
     parts = [
         lpi_variants(distinct),
-        business_variants(tables["organisation"], distinct, crowding.uprn),
+        business_variants(tables["organisation"], distinct, crowding.uprn, small_key),
         delivery_variants(tables["delivery_point"]),
         level_variants(distinct),
     ]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -100,28 +101,42 @@ def _listing_order(df: DataFrame) -> list[Column]:
     return [key for name, key in order.items() if name in df.columns]
 
 
+def _of_key(df: DataFrame, key: int | None) -> Column:
+    """Whether a row has the key. Rows without a key are a group of their own."""
+    kind = df.schema["unique_id"].dataType
+    return F.col("unique_id").eqNullSafe(F.lit(key).cast(kind))
+
+
 def key_variants(
     df: DataFrame,
-    key: int,
+    key: int | None,
     condition: Column | str | None = None,
     columns: list[str] | None = None,
 ) -> DataFrame:
     """All rows of one key, primary first, then by source, label and address."""
-    rows = _matching(df.where(F.col("unique_id") == key), condition)
+    rows = _matching(df.where(_of_key(df, key)), condition)
     return report_columns(rows.orderBy(*_listing_order(df)), columns)
 
 
-def _chosen(picked: DataFrame) -> int:
+def _chosen(picked: DataFrame) -> int | None:
     row = picked.first()
     if row is None:
         raise LookupError("no matching records in the flatfile")
     return row["unique_id"]
 
 
+def _shuffled(seed: int | None, *columns: str) -> Column:
+    """An order that looks random and follows from the seed and the values alone, not from
+    where the rows lie."""
+    seed = random.randrange(1 << 31) if seed is None else seed
+    texts = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in columns]
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), *texts))
+
+
 def random_key(df: DataFrame, seed: int | None = None, columns: list[str] | None = None) -> DataFrame:
-    """All rows of a key picked at random."""
+    """All rows of a key picked at random; the rows without a key count as one."""
     keys = df.select("unique_id").distinct()
-    return key_variants(df, _chosen(keys.orderBy(F.rand(seed)).limit(1)), columns=columns)
+    return key_variants(df, _chosen(keys.orderBy(_shuffled(seed, "unique_id")).limit(1)), columns=columns)
 
 
 def random_large_key(
@@ -132,22 +147,32 @@ def random_large_key(
     columns: list[str] | None = None,
 ) -> DataFrame:
     """The matching rows of a key picked at random among the ``top_n`` largest."""
-    largest = top_keys(df, top_n, condition)
-    return key_variants(df, _chosen(largest.orderBy(F.rand(seed)).limit(1)), condition, columns)
+    largest = top_keys(df, top_n, condition).orderBy(_shuffled(seed, "unique_id"))
+    return key_variants(df, _chosen(largest.limit(1)), condition, columns)
+
+
+def sample_rows(df: DataFrame, n: int = 5, seed: int | None = None) -> DataFrame:
+    """Some rows: the first ones found or, with a seed, the same ones for any layout."""
+    if seed is None:
+        return df.limit(n)
+    given = [name for name in ("unique_id", "address_concat") if name in df.columns]
+    return df.orderBy(_shuffled(seed, *given), *sorted(df.columns)).limit(n)
 
 
 @dataclass(frozen=True)
 class Inspection:
-    selected_key: int
+    selected_key: int | None
     variant_count: int
     sample_rows: DataFrame
     key_rows: DataFrame
+    files: list[str]
 
 
 def inspect_variants(
-    df: DataFrame, key: int | None = None, offset: int = 0, sample_limit: int = 5
+    df: DataFrame, key: int | None = None, offset: int = 0, sample_limit: int = 5, seed: int | None = None
 ) -> Inspection:
-    """A sample, and all rows of the given key or of the largest one after ``offset``."""
+    """A sample, all rows of the given key or of the largest one after ``offset``, and the
+    files read. The largest group may be that of the rows without a key."""
     if sample_limit < 1:
         raise ValueError("sample_limit must be >= 1")
     top = top_key_at_offset(df, offset)
@@ -157,6 +182,6 @@ def inspect_variants(
             raise LookupError("no records in the flatfile")
         key, count = row["unique_id"], row["variant_count"]
     else:
-        count = df.where(F.col("unique_id") == key).count()
-    rows = df.where(F.col("unique_id") == key)
-    return Inspection(key, count, df.limit(sample_limit), rows.orderBy(df.columns[0]))
+        count = df.where(_of_key(df, key)).count()
+    rows = df.where(_of_key(df, key)).orderBy(*_listing_order(df))
+    return Inspection(key, count, sample_rows(df, sample_limit, seed), rows, sorted(df.inputFiles()))

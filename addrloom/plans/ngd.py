@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from addrloom.functions import ranks
 from addrloom.functions.text import comma_joined, floor_word, listed, literal, strip_postcode
 from addrloom.operators.ranking import best_per_key
-from addrloom.operators.skew import HotKeys, find_hot_keys, lookup_join
+from addrloom.operators.skew import NO_HOT_KEYS, HotKeys, find_hot_keys, lookup_join
 
 # File stems of the supply and the order in which the four core
 # files are trusted for a property's metadata.
@@ -211,10 +211,8 @@ def _empty_like(sources: dict[str, DataFrame], columns: dict[str, str]) -> DataF
     return spark.createDataFrame([], ", ".join(f"{name} {kind}" for name, kind in columns.items()))
 
 
-def enrich(addresses: DataFrame, lookup: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+def enrich(addresses: DataFrame, lookup: DataFrame, hot: HotKeys = NO_HOT_KEYS) -> DataFrame:
     """Fill missing metadata from ``property_lookup``; the authority always comes from it."""
-    if hot is None:
-        hot = find_hot_keys(addresses.select("uprn"))
     filled = [*METADATA, "lowertierlocalauthoritygsscode"]
     renamed = lookup.selectExpr("uprn", *[f"{name} AS found_{name}" for name in filled])
     bare = addresses.drop("lowertierlocalauthoritygsscode")
@@ -315,7 +313,8 @@ def ngd_flatfile(
 ) -> DataFrame:
     """Deduplicated address variants from feature DataFrames keyed by file stem.
 
-    An excluded core file still serves the metadata lookup.
+    An excluded core file still serves the metadata lookup. Unless ``hot`` is given, one job
+    counts the rows per property now.
     """
     known = {*CORE_PRIORITY, *ALTERNATE_FEATURE_TYPES, ROYAL_MAIL}
     used = {stem: df for stem, df in sources.items() if stem in known - excluded_stems(excluded)}

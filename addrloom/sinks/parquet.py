@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from addrloom.functions.ranks import chunk_of
 
 
+# Set to false, a writer leaves its mark of success to ``mark_finished``.
+MARKS_SUCCESS = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+
+
 def parquet_writer(df: DataFrame, compression: str, compression_level: int) -> DataFrameWriter:
     return df.write.option("compression", compression).option(
         f"parquet.compression.codec.{compression}.level", compression_level
@@ -18,12 +21,24 @@ def parquet_writer(df: DataFrame, compression: str, compression_level: int) -> D
 
 
 def has_output(spark: SparkSession, path: str) -> bool:
-    """Whether Parquet files lie at the path already."""
-    try:
-        found = spark.read.schema("any_column string").parquet(path)
-    except AnalysisException:
-        return False
-    return not found.select("_metadata.file_path").isEmpty()
+    """Whether a finished output lies at the path: one whose writer left its mark of success.
+
+    Files of a job that died before its end are no output. Trouble in looking, such as a
+    missing right, is an error and not an absent output.
+    """
+    filesystem, mark = _mark_of(spark, path)
+    return filesystem.exists(mark)
+
+
+def mark_finished(spark: SparkSession, path: str) -> None:
+    """Mark an output that was written without its mark as finished."""
+    filesystem, mark = _mark_of(spark, path)
+    filesystem.create(mark, True).close()
+
+
+def _mark_of(spark: SparkSession, path: str):
+    mark = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    return mark.getFileSystem(spark._jsc.hadoopConfiguration()), mark
 
 
 def sorted_output(df: DataFrame, first: list[str] | None = None) -> DataFrame:

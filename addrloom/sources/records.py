@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from addrloom.functions.text import choose, listed, record_identifier, without_bom
-from addrloom.sinks.parquet import has_output, parquet_writer
+from addrloom.sinks.parquet import MARKS_SUCCESS, has_output, mark_finished, parquet_writer
 
 # Record identifiers of the supply, and the columns, in file order, of
 # the six kinds that are kept.
@@ -77,23 +78,49 @@ def identified(lines: DataFrame) -> DataFrame:
     return plain.selectExpr("line", f"{record_identifier('line')} AS rid")
 
 
+def _fits(columns: dict[str, str]) -> str:
+    """Whether a line has no more fields than columns, and quotes around whole fields only."""
+    field = '(?:"(?:[^"]++|"")*+"|[^",]*+)'
+    return f"line RLIKE '^{field}(?:,{field}){{0,{len(columns) - 1}}}+$'"
+
+
 def _fields(columns: dict[str, str]) -> str:
     """All fields as text: short lines are padded with NULL and empty fields are NULL."""
     as_text = ", ".join(f"{name} string" for name in columns)
     return f"from_csv(line, '{as_text}', map('quote', '\"', 'escape', '\"', 'nullValue', ''))"
 
 
+def _strict_fields(columns: dict[str, str]) -> str:
+    """The fields of a line that fits; any other is an error."""
+    return f"CASE WHEN {_fits(columns)} THEN {_fields(columns)} ELSE raise_error(concat('malformed line: ', line)) END"
+
+
+_DATE_FORM = "RLIKE '^[0-9]{4}-[0-9]{2}-[0-9]{2}$'"
+
+
 def _typed(fields: str, columns: dict[str, str]) -> list[str]:
-    return [f"CAST({fields}.{name} AS {kind}) AS {name}" for name, kind in columns.items()]
+    """Casts that fail on what does not fit; a date must be written as yyyy-MM-dd."""
+
+    def typed(name: str, kind: str) -> str:
+        text = f"{fields}.{name}"
+        if kind == "date":
+            text = f"CASE WHEN {text} {_DATE_FORM} THEN {text} ELSE concat('not yyyy-MM-dd: ', {text}) END"
+        return f"CAST({text} AS {kind}) AS {name}"
+
+    return [typed(name, kind) for name, kind in columns.items()]
 
 
 def split_records(lines: DataFrame, schemas: dict[str, str] = SCHEMAS) -> dict[str, DataFrame]:
-    """One typed DataFrame per kept record type. A value that does not fit its type fails."""
+    """One typed DataFrame per kept record type.
+
+    A value that does not fit its type fails, and so does a line with too many fields or
+    with stray quotes; :func:`malformed_values` lists them all.
+    """
     known = identified(lines)
     tables = {}
     for rid, name in KEPT_RECORDS.items():
         columns = schema_columns(schemas[name])
-        fields = known.where(f"rid = '{rid}'").selectExpr(f"{_fields(columns)} AS f")
+        fields = known.where(f"rid = '{rid}'").selectExpr(f"{_strict_fields(columns)} AS f")
         tables[name] = fields.selectExpr(*_typed("f", columns))
     return tables
 
@@ -112,30 +139,36 @@ def _of_type(rid: str, value: str) -> str:
     return f"CASE WHEN rid = '{rid}' THEN {value} END"
 
 
-def _parsed(known: DataFrame, schemas: dict[str, str]) -> DataFrame:
+def _parsed(known: DataFrame, schemas: dict[str, str], fields: Callable[[dict[str, str]], str]) -> DataFrame:
     """Kept lines with one struct of text fields per record type, that of its own type filled."""
     structs = [
-        f"{_of_type(rid, _fields(schema_columns(schemas[name])))} AS {name}"
+        f"{_of_type(rid, fields(schema_columns(schemas[name])))} AS {name}"
         for rid, name in KEPT_RECORDS.items()
     ]
     return known.where(_IS_KEPT).selectExpr("rid", "line", *structs)
 
 
 def malformed_values(lines: DataFrame, schemas: dict[str, str] = SCHEMAS) -> DataFrame:
-    """Values that do not fit their type, with their table, column and line, in one pass."""
+    """Values that do not fit their type, with their table, column and line, in one pass.
+
+    A line with too many fields or with stray quotes is listed once, without column and
+    text: its fields may be shifted, so its values are not looked at.
+    """
 
     def misfit(table: str, column: str, kind: str) -> str:
         text = f"{table}.{column}"
         found = f"struct('{table}' AS record_type, '{column}' AS column_name, {text} AS text)"
-        return f"CASE WHEN {text} IS NOT NULL AND try_cast({text} AS {kind}) IS NULL THEN {found} END"
+        wrong = f"try_cast({text} AS {kind}) IS NULL" + (f" OR NOT {text} {_DATE_FORM}" if kind == "date" else "")
+        return f"CASE WHEN {text} IS NOT NULL AND ({wrong}) THEN {found} END"
 
     checks = []
     for rid, name in KEPT_RECORDS.items():
         columns = schema_columns(schemas[name])
         misfits = [misfit(name, column, kind) for column, kind in columns.items() if kind != "string"]
-        checks.append(f"WHEN '{rid}' THEN array_compact(array({', '.join(misfits)}))")
+        whole = f"array(struct('{name}' AS record_type, CAST(NULL AS STRING) AS column_name, CAST(NULL AS STRING) AS text))"
+        checks.append(f"WHEN '{rid}' THEN CASE WHEN {_fits(columns)} THEN array_compact(array({', '.join(misfits)})) ELSE {whole} END")
     found = f"inline(CASE rid {' '.join(checks)} END)"
-    return _parsed(identified(lines), schemas).selectExpr("line", found).select(
+    return _parsed(identified(lines), schemas, _fields).selectExpr("line", found).select(
         "record_type", "line", "column_name", "text"
     )
 
@@ -161,7 +194,8 @@ def write_record_tables(
     Every kept line becomes one row with the struct of its own type filled, stored by
     type; :func:`read_record_tables` reads a type back with only its own columns. An
     existing result is left alone unless ``overwrite``; then None is returned. Fails if
-    no kept record is found or if the stored rows are not as many as the lines.
+    no kept record is found or if the stored rows are not as many as the lines; the result
+    is marked as finished only after that, so a later call does not take it for one.
     """
     spark = lines.sparkSession
     if not overwrite and has_output(spark, path):
@@ -172,14 +206,15 @@ def write_record_tables(
         F.count_if(F.expr(_IS_KEPT)).alias("kept"),
         F.count_if(F.expr(f"rid IN ({listed(IGNORED_RECORDS)})")).alias("ignored"),
     )
-    typed = _parsed(counted, schemas).selectExpr(
+    typed = _parsed(counted, schemas, _strict_fields).selectExpr(
         "rid",
         *[
             f"{_of_type(rid, f'struct({", ".join(_typed(name, schema_columns(schemas[name])))})')} AS {name}"
             for rid, name in KEPT_RECORDS.items()
         ],
     )
-    parquet_writer(typed, compression, compression_level).mode("overwrite").partitionBy("rid").parquet(path)
+    writer = parquet_writer(typed, compression, compression_level).option(MARKS_SUCCESS, "false")
+    writer.mode("overwrite").partitionBy("rid").parquet(path)
     kept = seen.get["kept"]
     if kept == 0:
         raise ValueError(f"no record with an identifier of {', '.join(KEPT_RECORDS)} was found")
@@ -187,6 +222,7 @@ def write_record_tables(
     counts = {row["rid"]: row["count"] for row in stored}
     if sum(counts.values()) != kept:
         raise ValueError(f"line count mismatch: {kept} lines, {sum(counts.values())} rows")
+    mark_finished(spark, path)
     rows = {name: counts.get(rid, 0) for rid, name in KEPT_RECORDS.items()}
     return SplitReport(rows, seen.get["ignored"])
 
@@ -201,3 +237,23 @@ def read_record_tables(
         stored = spark.read.schema(f"rid string, {name} struct<{fields}>").parquet(path)
         tables[name] = stored.where(f"rid = '{rid}'").select(f"{name}.*")
     return tables
+
+
+def write_plain_tables(
+    tables: dict[str, DataFrame],
+    path: str,
+    compression: str = "zstd",
+    compression_level: int = 9,
+    overwrite: bool = False,
+) -> list[str]:
+    """Each table as plain Parquet at ``path/<name>``; returns the names of those written.
+
+    A table that is there already is left alone unless ``overwrite``.
+    """
+    written = []
+    for name, table in tables.items():
+        place = f"{path.rstrip('/')}/{name}"
+        if overwrite or not has_output(table.sparkSession, place):
+            parquet_writer(table, compression, compression_level).mode("overwrite").parquet(place)
+            written.append(name)
+    return written

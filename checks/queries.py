@@ -218,21 +218,17 @@ def _derived_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @lru_cache(maxsize=8)
-def _raw_folder(application: str, sf_dir: str) -> str | None:
+def _raw_folder(application: str, sf_dir: str) -> str:
     """The lines as CSV files in the shared folder, written once per application."""
     spark = SparkSession.active()
-    folder = staging_folder(spark)
-    if folder is None:
-        return None
-    path = f"{folder.rstrip('/')}/raw-{uuid4().hex}"
+    path = f"{staging_folder(spark).rstrip('/')}/raw-{uuid4().hex}"
     as_they_are = {"sep": "\x1f", "quote": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     _derived_lines(spark, sf_dir).write.options(**as_they_are).csv(path)
     return path
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = _raw_folder(spark.sparkContext.applicationId, sf_dir)
-    return _derived_lines(spark, sf_dir) if folder is None else records.read_lines(spark, folder)
+    return records.read_lines(spark, _raw_folder(spark.sparkContext.applicationId, sf_dir))
 
 
 @lru_cache(maxsize=8)
@@ -418,8 +414,6 @@ def abp_flatfile_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def abp_flatfile_from_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From the mixed text lines to the flatfile, through the written record tables."""
-    if staging_folder(spark) is None:
-        return abp.abp_flatfile(records.split_records(_lines(spark, sf_dir)))
     folder = _record_folder(spark.sparkContext.applicationId, sf_dir)
     return abp.abp_flatfile(records.read_record_tables(spark, folder))
 

@@ -170,12 +170,12 @@ def test_street_falls_back_per_column(spark):
         street(1, "ENG", None, town="TOWN"),
         street(1, "CYM", "HEOL", updated=DAY(2020, 1, 1), town="TREF", locality="LLE"),
     )
-    used = spark.createDataFrame([(1, "ENG"), (1, None), (1, "GAE")], "usrn int, language string")
-    found = {tuple(row) for row in abp.street_lookup(streets, used).collect()}
-    assert found == {
-        (1, "ENG", "HEOL", "LLE", "TOWN"),
-        (1, None, "HEOL", "LLE", "TREF"),
-        (1, "GAE", "HEOL", "LLE", "TREF"),
+    rows = [{**lpi(1, number=i), "usrn": 1, "language": language} for i, language in enumerate(["ENG", None, "GAE"])]
+    base = abp.lpi_base(table(spark, "lpi", *rows), table(spark, "blpu", blpu(1)), streets)
+    assert {row["base_address"] for row in base.collect()} == {
+        "0 HEOL LLE TOWN",
+        "1 HEOL LLE TREF",
+        "2 HEOL LLE TREF",
     }
 
 
