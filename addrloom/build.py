@@ -1,30 +1,81 @@
-"""Whole builds: from raw files to a written flatfile."""
+"""Whole builds: from raw files to a written flatfile.
+
+Each first looks whether the output is there. If so, and unless ``overwrite`` is set, it
+runs nothing but the report.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from dataclasses import asdict, dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from addrloom.functions.ranks import DEFAULT_EXCLUDED_STATUSES
 from addrloom.plans.abp import abp_flatfile
+from addrloom.plans.inspection import flatfile, variant_uplift
 from addrloom.plans.ngd import DEFAULT_EXCLUDED, ngd_flatfile
-from addrloom.sinks.parquet import OutputMetadata, output_metadata, write_flatfile
-from addrloom.sources.features import convert_zipped_features, read_zipped_lines, wanted_archives
+from addrloom.sinks.parquet import OutputMetadata, has_output, output_metadata, write_flatfile
+from addrloom.sources.features import (
+    convert_feature_folder,
+    convert_zipped_features,
+    read_zipped_lines,
+    wanted_archives,
+)
 from addrloom.sources.records import read_lines, read_record_tables, write_record_tables
 from addrloom.sources.tables import read_features
 
 
+@dataclass(frozen=True)
+class BuildReport(OutputMetadata):
+    """What lies at the output: besides files, records and bytes its keys and how many
+    percent the records exceed them by."""
+
+    total_uprns: int
+    variant_uplift_pct: float
+
+
+def build_report(spark: SparkSession, output: str) -> BuildReport:
+    found = output_metadata(spark, output)
+    if not found.files:
+        return BuildReport(**asdict(found), total_uprns=0, variant_uplift_pct=0.0)
+    uplift = variant_uplift(flatfile(spark, output)).first()
+    return BuildReport(**asdict(found), total_uprns=uplift["total_uprns"], variant_uplift_pct=uplift["variant_uplift_pct"])
+
+
+def _build(
+    spark: SparkSession, output: str, plan: Callable[[], DataFrame], overwrite: bool = False, **options
+) -> BuildReport:
+    if overwrite or not has_output(spark, output):
+        write_flatfile(plan(), output, overwrite=overwrite, **options)
+    return build_report(spark, output)
+
+
 def build_ngd_from_folder(
     spark: SparkSession,
     folder: str,
     output: str,
     excluded: Iterable[str] = DEFAULT_EXCLUDED,
     **options,
-) -> OutputMetadata:
+) -> BuildReport:
     """Flatfile of the feature tables in a folder. Options are those of ``write_flatfile``."""
-    write_flatfile(ngd_flatfile(read_features(spark, folder), excluded), output, **options)
-    return output_metadata(spark, output)
+    return _build(spark, output, lambda: ngd_flatfile(read_features(spark, folder), excluded), **options)
+
+
+def build_ngd_from_csv_folder(
+    spark: SparkSession,
+    folder: str,
+    work: str,
+    output: str,
+    excluded: Iterable[str] = DEFAULT_EXCLUDED,
+    **options,
+) -> BuildReport:
+    """Flatfile of the feature CSV files below a folder, which are stored below ``work`` first."""
+
+    def plan() -> DataFrame:
+        return ngd_flatfile(convert_feature_folder(spark, folder, work, excluded, overwrite=True), excluded)
+
+    return _build(spark, output, plan, **options)
 
 
 def build_ngd_from_archives(
@@ -34,12 +85,14 @@ def build_ngd_from_archives(
     output: str,
     excluded: Iterable[str] = DEFAULT_EXCLUDED,
     **options,
-) -> OutputMetadata:
+) -> BuildReport:
     """Flatfile of the features inside ZIP archives, which are stored below ``work`` first."""
-    chosen = wanted_archives(archives, "ngd", excluded)
-    features = convert_zipped_features(spark, chosen, work, excluded, overwrite=True)
-    write_flatfile(ngd_flatfile(features, excluded), output, **options)
-    return output_metadata(spark, output)
+
+    def plan() -> DataFrame:
+        chosen = wanted_archives(archives, "ngd", excluded)
+        return ngd_flatfile(convert_zipped_features(spark, chosen, work, excluded, overwrite=True), excluded)
+
+    return _build(spark, output, plan, **options)
 
 
 def build_abp_from_folder(
@@ -50,11 +103,14 @@ def build_abp_from_folder(
     excluded_statuses: Iterable[int] = DEFAULT_EXCLUDED_STATUSES,
     overwrite_tables: bool = False,
     **options,
-) -> OutputMetadata:
+) -> BuildReport:
     """Flatfile of the mixed-record CSV files below ``raw``, split into tables at ``work`` first."""
-    write_record_tables(read_lines(spark, raw), work, overwrite=overwrite_tables)
-    write_flatfile(abp_flatfile(read_record_tables(spark, work), excluded_statuses), output, **options)
-    return output_metadata(spark, output)
+
+    def plan() -> DataFrame:
+        write_record_tables(read_lines(spark, raw), work, overwrite=overwrite_tables)
+        return abp_flatfile(read_record_tables(spark, work), excluded_statuses)
+
+    return _build(spark, output, plan, **options)
 
 
 def build_abp_from_archives(
@@ -65,9 +121,13 @@ def build_abp_from_archives(
     excluded_statuses: Iterable[int] = DEFAULT_EXCLUDED_STATUSES,
     overwrite_tables: bool = False,
     **options,
-) -> OutputMetadata:
+) -> BuildReport:
     """Flatfile of the mixed-record CSV members of ZIP archives, split into tables at ``work`` first."""
-    lines = read_zipped_lines(spark, wanted_archives(archives, "abp"))
-    write_record_tables(lines, work, overwrite=overwrite_tables)
-    write_flatfile(abp_flatfile(read_record_tables(spark, work), excluded_statuses), output, **options)
-    return output_metadata(spark, output)
+
+    def plan() -> DataFrame:
+        if overwrite_tables or not has_output(spark, work):
+            lines = read_zipped_lines(spark, wanted_archives(archives, "abp"))
+            write_record_tables(lines, work, overwrite=overwrite_tables)
+        return abp_flatfile(read_record_tables(spark, work), excluded_statuses)
+
+    return _build(spark, output, plan, **options)

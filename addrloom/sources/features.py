@@ -9,7 +9,9 @@ import zipfile
 from collections.abc import Iterable, Iterator
 from pathlib import PurePosixPath
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+from pyarrow import csv as pa_csv
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +23,9 @@ from addrloom.sinks.parquet import has_output, parquet_writer
 FEATURE_PREFIX = "add_gb_"
 RECORD_ARCHIVE_MARK = "addressbasepremium"
 
-_RECORDS_PER_BATCH = 4_096
+_LINES_PER_BATCH = 4_096
+# Bytes that the CSV reader takes at a time; a single record must fit in.
+_BLOCK = 8 << 20
 
 
 def stem_of(name: str) -> str:
@@ -45,15 +49,47 @@ def wanted_archives(paths: Iterable[str], supply: str, excluded: Iterable[str] =
     return named or paths
 
 
-def read_feature_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_feature_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """A feature CSV with every column as text; the plans cast what they use.
 
-    Large files are read in splits. ``multi_line`` allows line breaks inside quotes,
-    at the price of one task per file.
+    Line breaks inside quotes are kept, as they are in ZIP members, at the price of one
+    task per file. Where the supply has none, ``multi_line=False`` reads a file in splits.
     """
     return spark.read.csv(path, header=True, quote='"', escape='"', multiLine=multi_line)
 
 
+def feature_files(spark: SparkSession, folder: str, excluded: Iterable[str] = ()) -> dict[str, str]:
+    """The wanted feature CSV files below a folder by stem; two files of one stem are refused."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select("path")
+    found: dict[str, str] = {}
+    for path in sorted(row["path"] for row in listed.where("lower(path) LIKE '%.csv'").collect()):
+        if is_wanted_feature(path, excluded):
+            stem = stem_of(path).lower()
+            if stem in found:
+                raise ValueError(f"files map to the same output {stem}: {found[stem]} and {path}")
+            found[stem] = path
+    if not found:
+        raise ValueError(f"no eligible CSV files found in {folder}")
+    return found
+
+
+def convert_feature_folder(
+    spark: SparkSession,
+    folder: str,
+    path: str,
+    excluded: Iterable[str] = (),
+    overwrite: bool = False,
+    **options,
+) -> dict[str, DataFrame]:
+    """Store every wanted feature CSV below a folder as ``path/<stem>.parquet``; returned by stem."""
+    features = {}
+    for stem, file in feature_files(spark, folder, excluded).items():
+        place = f"{path.rstrip('/')}/{stem}.parquet"
+        convert_feature_csv(read_feature_csv(spark, file), place, overwrite=overwrite, **options)
+        features[stem] = spark.read.parquet(place)
+    return features
+
+
 def convert_feature_csv(
     df: DataFrame,
     path: str,
@@ -76,65 +112,88 @@ def _open_archive(path: str):
     return filesystem.open_input_file(inner)
 
 
-def _records(archive: zipfile.ZipFile, member: str) -> Iterator[list[str]]:
-    with archive.open(member) as raw:
-        yield from csv.reader(io.TextIOWrapper(raw, encoding="utf-8-sig", newline=""))
-
-
-def _list_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _list_members(batches: Iterator[pa.RecordBatch], headers: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for path in batch["archive"]:
+        for path in batch.column("archive").to_pylist():
             with _open_archive(path) as stream, zipfile.ZipFile(stream) as archive:
                 names = [n for n in archive.namelist() if n.lower().endswith(".csv")]
-                yield pd.DataFrame(
-                    {
-                        "archive": [path] * len(names),
-                        "member": names,
-                        "header": [next(_records(archive, name), []) for name in names],
-                    }
-                )
+                found = [_header(archive, name) if headers else [] for name in names]
+            arrays = [pa.array([path] * len(names), pa.string()), pa.array(names, pa.string()), pa.array(found, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(arrays, ["archive", "member", "header"])
 
 
-def _read_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Stream the records of each member in small batches, empty fields as NULL."""
+def _header(archive: zipfile.ZipFile, member: str) -> list[str]:
+    with archive.open(member) as raw:
+        return next(csv.reader(io.TextIOWrapper(raw, encoding="utf-8-sig", newline="")), [])
 
-    def frame(stem: str, rows: list[list[str]]) -> pd.DataFrame:
-        fields = [[value or None for value in row] for row in rows]
-        return pd.DataFrame({"stem": [stem] * len(rows), "fields": fields})
 
+def _read_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stream the records of each member as Arrow batches, every field as text, empty ones NULL.
+
+    The few records that lack fields are set aside by the reader and padded with NULL; one
+    with too many fields is an error.
+    """
     for batch in batches:
-        for path, member, stem in zip(batch["archive"], batch["member"], batch["stem"]):
-            with _open_archive(path) as stream, zipfile.ZipFile(stream) as archive:
-                records = _records(archive, member)
-                next(records, None)
-                rows = []
-                for record in records:
-                    if record:
-                        rows.append(record)
-                    if len(rows) == _RECORDS_PER_BATCH:
-                        yield frame(stem, rows)
-                        rows = []
-                if rows:
-                    yield frame(stem, rows)
-
-
-def _read_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for path, member, stem, width in zip(*(batch.column(n).to_pylist() for n in ("archive", "member", "stem", "width"))):
+            names = [f"f{i}" for i in range(width)]
+            if not names:
+                continue
+            short: list[str] = []
+
+            def set_aside(row: pa_csv.InvalidRow) -> str:
+                if row.actual_columns > row.expected_columns:
+                    return "error"
+                short.append(row.text)
+                return "skip"
+
+            with _open_archive(path) as stream, zipfile.ZipFile(stream) as archive, archive.open(member) as raw:
+                reader = pa_csv.open_csv(
+                    pa.PythonFile(raw, "r"),
+                    pa_csv.ReadOptions(column_names=names, skip_rows_after_names=1, block_size=_BLOCK),
+                    pa_csv.ParseOptions(newlines_in_values=True, invalid_row_handler=set_aside),
+                    pa_csv.ConvertOptions(
+                        column_types=dict.fromkeys(names, pa.string()), null_values=[""], strings_can_be_null=True
+                    ),
+                )
+                for records in reader:
+                    rows = records.num_rows
+                    # Column after column becomes row after row.
+                    order = np.arange(rows * width).reshape(width, rows).T.ravel()
+                    values = pa.concat_arrays(records.columns).take(pa.array(order))
+                    offsets = pa.array(np.arange(0, rows * width + 1, width, dtype=np.int32))
+                    fields = pa.ListArray.from_arrays(offsets, values)
+                    yield pa.RecordBatch.from_arrays([pa.array([stem] * rows, pa.string()), fields], ["stem", "fields"])
+                    if short:
+                        yield _padded(stem, short, width)
+                        short.clear()
+            if short:
+                yield _padded(stem, short, width)
+
+
+def _padded(stem: str, records: list[str], width: int) -> pa.RecordBatch:
+    rows = [[value or None for value in row] + [None] * (width - len(row)) for row in csv.reader(records)]
+    arrays = [pa.array([stem] * len(rows), pa.string()), pa.array(rows, pa.list_(pa.string()))]
+    return pa.RecordBatch.from_arrays(arrays, ["stem", "fields"])
+
+
+def _read_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Stream the lines of each member in small batches."""
     for batch in batches:
-        for path, member in zip(batch["archive"], batch["member"]):
+        for path, member in zip(batch.column("archive").to_pylist(), batch.column("member").to_pylist()):
             with _open_archive(path) as stream, zipfile.ZipFile(stream) as archive:
                 with archive.open(member) as raw:
                     text = io.TextIOWrapper(raw, encoding="utf-8")
-                    while lines := list(itertools.islice(text, _RECORDS_PER_BATCH)):
-                        yield pd.DataFrame({"value": [line.rstrip("\n") for line in lines]})
+                    while lines := list(itertools.islice(text, _LINES_PER_BATCH)):
+                        values = pa.array([line.rstrip("\n") for line in lines], pa.string())
+                        yield pa.RecordBatch.from_arrays([values], ["value"])
 
 
-def archive_members(spark: SparkSession, archives: Iterable[str]) -> DataFrame:
-    """The CSV members of each archive with their header, one task per archive."""
+def archive_members(spark: SparkSession, archives: Iterable[str], headers: bool = True) -> DataFrame:
+    """The CSV members of each archive, if wanted with their header, one task per archive."""
     archives = list(archives)
     listed = spark.createDataFrame([(path,) for path in archives], "archive string")
-    return listed.repartitionByRange(max(len(archives), 1), "archive").mapInPandas(
-        _list_members, "archive string, member string, header array<string>"
+    return listed.repartitionByRange(max(len(archives), 1), "archive").mapInArrow(
+        lambda batches: _list_members(batches, headers), "archive string, member string, header array<string>"
     )
 
 
@@ -162,9 +221,9 @@ def read_zipped_features(
     lacking = set(archives) - {archive for archive, _, _ in wanted.values()}
     if lacking:
         raise ValueError(f"no eligible CSV members found in {', '.join(sorted(lacking))}")
-    members = [(archive, member, stem) for stem, (archive, member, _) in wanted.items()]
-    listed = spark.createDataFrame(members, "archive string, member string, stem string")
-    records = listed.repartitionByRange(len(members), "stem").mapInPandas(
+    members = [(archive, member, stem, len(header)) for stem, (archive, member, header) in wanted.items()]
+    listed = spark.createDataFrame(members, "archive string, member string, stem string, width int")
+    records = listed.repartitionByRange(len(members), "stem").mapInArrow(
         _read_members, "stem string, fields array<string>"
     )
     return records, {stem: header for stem, (_, _, header) in wanted.items()}
@@ -172,10 +231,10 @@ def read_zipped_features(
 
 def read_zipped_lines(spark: SparkSession, archives: Iterable[str]) -> DataFrame:
     """Lines of all CSV members of the archives, streamed side by side, one task each."""
-    members = [tuple(row)[:2] for row in archive_members(spark, archives).collect()]
+    members = [tuple(row)[:2] for row in archive_members(spark, archives, headers=False).collect()]
     listed = spark.createDataFrame(members, "archive string, member string")
     spread = listed.repartitionByRange(max(len(members), 1), "archive", "member")
-    return spread.mapInPandas(_read_lines, "value string")
+    return spread.mapInArrow(_read_lines, "value string")
 
 
 def convert_zipped_features(

@@ -42,7 +42,7 @@ _FLOORS = ["'1,2'", "'-1'", "'G'", "'9'", "'0'", "'06'", None, "'3'", "''", None
 
 
 def _core(key: str, row: str, street: str, town: str, feature: str) -> dict[str, str]:
-    welsh_full = _full_address(key, row, f"'HEOL ' || {street}", town)
+    welsh_full = _full_address(key, row, f"'STRYD ' || {street}", town)
     return {
         "uprn": key,
         "description": f"CASE WHEN {row} % 13 = 5 THEN 'Prebuild Address' ELSE '{feature}' END",
@@ -50,13 +50,13 @@ def _core(key: str, row: str, street: str, town: str, feature: str) -> dict[str,
         "fulladdress": _full_address(key, row, street, town),
         "alternatelanguage": _pick(row, "'cym'", "'WEL'", "'eng'", None, "'Welsh'"),
         "alternatelanguagefulladdress": f"CASE WHEN {row} % 3 = 0 THEN {welsh_full} ELSE NULL END",
-        "alternatelanguagesubname": _pick(row, "'FFLAT 1'", None, "''", None),
+        "alternatelanguagesubname": _pick(row, "'UNED 4'", None, "''", None),
         "alternatelanguagename": f"CASE WHEN {row} % 6 = 1 THEN {street} ELSE NULL END",
         "alternatelanguagenumber": f"CASE WHEN {row} % 7 < 4 THEN {_text(f'{row} % 30')} ELSE NULL END",
-        "alternatelanguagestreetname": f"CASE WHEN {row} % 7 < 4 THEN 'HEOL ' || {street} ELSE NULL END",
-        "alternatelanguagelocality": _pick(row, None, "'PONTCANNA'", "', '"),
+        "alternatelanguagestreetname": f"CASE WHEN {row} % 7 < 4 THEN 'STRYD ' || {street} ELSE NULL END",
+        "alternatelanguagelocality": _pick(row, None, "'WESTERBY'", "', '"),
         "alternatelanguagetownname": f"CASE WHEN {row} % 7 < 4 THEN {town} ELSE NULL END",
-        "alternatelanguageislandname": _pick(row, None, None, None, None, "'YNYS MON'"),
+        "alternatelanguageislandname": _pick(row, None, None, None, None, "'YNYS BELL'"),
         "floorlevel": _pick(row, *_FLOORS),
         "lowestfloorlevel": f"CASE WHEN {row} % 4 = 0 THEN NULL ELSE CAST({row} % 5 AS DOUBLE) END",
         "highestfloorlevel": f"CAST({row} % 9 AS DOUBLE)",
@@ -72,6 +72,19 @@ def _core(key: str, row: str, street: str, town: str, feature: str) -> dict[str,
     }
 
 
+def _alternate(key: str, row: str, street: str) -> dict[str, str]:
+    return {
+        "alternateaddressid": _text(row),
+        "uprn": key,
+        "addressstatus": _pick(row, "'Alternative'", "'Approved'", None),
+        "postcode": _postcode(f"({key})"),
+        "fulladdress": _full_address(f"({key})", row, street, "'TOWN ' || " + _text(f"{row} % 3")),
+        "floorlevel": _pick(row, "'2'", None, None, "'4,5'"),
+        "lowestfloorlevel": f"CASE WHEN {row} % 2 = 0 THEN NULL ELSE CAST(1 AS DOUBLE) END",
+        "highestfloorlevel": f"CASE WHEN {row} % 5 = 0 THEN NULL ELSE CAST(2 AS DOUBLE) END",
+    }
+
+
 _ORDER_DAY = "CAST(o_orderdate AS DATE)"
 _EVENT_DAY = _days_after("DATE '1995-01-01'", "event_id % 2500")
 _SHIP_DAY = "CAST(l_shipdate AS DATE)"
@@ -100,7 +113,7 @@ def _street(language: str) -> dict[str, str]:
         **_records("'I'", "s_suppkey", 15),
         "usrn": "CAST(s_suppkey % 50 AS INTEGER)",
         "street_description": f"CASE WHEN s_suppkey % 9 = 4 THEN NULL ELSE s_name || ' {language} ROAD' END",
-        "locality": _pick("s_suppkey", "'PONTCANNA'", None, "''"),
+        "locality": _pick("s_suppkey", "'WESTERBY'", None, "''"),
         "town_name": "'TOWN ' || CAST(s_nationkey AS STRING)",
         "administrative_area": "'AREA ' || CAST(s_nationkey AS STRING)",
         "language": f"'{language}'",
@@ -152,6 +165,12 @@ def _organisation(key: str) -> dict[str, str]:
     }
 
 
+_FAULTY_NUMBER = "CASE WHEN event_id % 7 = 0 THEN 'NO' || CAST(event_id AS STRING) ELSE CAST(event_id AS STRING) END"
+_FAULTY_DAY = (
+    "CASE event_id % 5 WHEN 0 THEN '2024-13-01' WHEN 1 THEN '' WHEN 2 THEN '2024-5' WHEN 3 THEN '2024-01-05T99' "
+    "ELSE '2024-02-01' END"
+)
+
 # name -> parts of a UNION ALL: (given table, {column: expression})
 TABLES: dict[str, list[tuple[str, dict[str, str]]]] = {
     "add_gb_builtaddress": [
@@ -166,21 +185,15 @@ TABLES: dict[str, list[tuple[str, dict[str, str]]]] = {
     "add_gb_historicaddress": [
         ("orders", _core("o_custkey + 200", "o_orderkey", "o_orderpriority", "'TOWN ' || o_orderstatus", "Historic Address"))
     ],
-    "add_gb_builtaddress_altadd": [
-        (
-            "orders",
-            {
-                "alternateaddressid": "CAST(o_orderkey AS STRING)",
-                "uprn": "o_custkey",
-                "addressstatus": _pick("o_orderkey", "'Alternative'", "'Approved'", None),
-                "postcode": _postcode("o_custkey"),
-                "fulladdress": _full_address("o_custkey", "o_orderkey", "o_orderpriority", "'TOWN ' || o_orderstatus"),
-                "floorlevel": _pick("o_orderkey", "'2'", None, None, "'4,5'"),
-                "lowestfloorlevel": "CASE WHEN o_orderkey % 2 = 0 THEN NULL ELSE CAST(1 AS DOUBLE) END",
-                "highestfloorlevel": "CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE CAST(2 AS DOUBLE) END",
-            },
+    "add_gb_builtaddress_altadd": [("orders", _alternate("o_custkey", "o_orderkey", "o_orderpriority"))],
+    **{
+        f"{stem}_altadd": [(table, _alternate(f"{key} + {shift}", key, text))]
+        for stem, table, key, shift, text in (
+            ("add_gb_historicaddress", "customer", "c_custkey", 200, "c_mktsegment"),
+            ("add_gb_nonaddressableobject", "supplier", "s_suppkey", 7, "s_name"),
+            ("add_gb_prebuildaddress", "part", "p_partkey", 700, "p_name"),
         )
-    ],
+    },
     "add_gb_royalmailaddress": [
         (
             "lineitem",
@@ -196,14 +209,14 @@ TABLES: dict[str, list[tuple[str, dict[str, str]]]] = {
                 "buildingnumber": "CASE WHEN l_linenumber % 5 = 0 THEN NULL ELSE l_linenumber END",
                 "dependentthoroughfare": _pick("l_orderkey", None, None, "'BACK LANE'"),
                 "thoroughfare": "l_returnflag || ' STREET'",
-                "doubledependentlocality": "CASE WHEN l_linestatus = 'O' THEN NULL ELSE 'PENTRE' END",
-                "dependentlocality": _pick("l_suppkey", None, "'PONTCANNA'"),
-                "posttown": _pick("l_suppkey", "'CARDIFF'", "'SWANSEA'", None),
-                "welshdependentthoroughfare": "CASE WHEN l_suppkey % 6 = 0 THEN 'LON GEFN' ELSE NULL END",
-                "welshthoroughfare": "CASE WHEN l_suppkey % 6 < 2 THEN 'HEOL ' || l_returnflag ELSE NULL END",
+                "doubledependentlocality": "CASE WHEN l_linestatus = 'O' THEN NULL ELSE 'LOWFORD' END",
+                "dependentlocality": _pick("l_suppkey", None, "'WESTERBY'"),
+                "posttown": _pick("l_suppkey", "'EASTHAVEN'", "'NORTHMERE'", None),
+                "welshdependentthoroughfare": "CASE WHEN l_suppkey % 6 = 0 THEN 'LON FACH' ELSE NULL END",
+                "welshthoroughfare": "CASE WHEN l_suppkey % 6 < 2 THEN 'STRYD ' || l_returnflag ELSE NULL END",
                 "welshdoubledependentlocality": "CASE WHEN l_suppkey % 10 = 3 THEN ' ' ELSE NULL END",
-                "welshdependentlocality": "CASE WHEN l_suppkey % 10 = 4 THEN 'PONTCANNA' ELSE NULL END",
-                "welshposttown": "CASE WHEN l_suppkey % 6 < 3 THEN 'CAERDYDD' ELSE NULL END",
+                "welshdependentlocality": "CASE WHEN l_suppkey % 10 = 4 THEN 'WESTERBY' ELSE NULL END",
+                "welshposttown": "CASE WHEN l_suppkey % 6 < 3 THEN 'HAFAN' ELSE NULL END",
             },
         )
     ],
@@ -251,8 +264,8 @@ TABLES: dict[str, list[tuple[str, dict[str, str]]]] = {
                 "dependent_thoroughfare": _pick("o_orderkey", None, "''", None, "'BACK LANE'"),
                 "thoroughfare": "CASE WHEN o_orderkey % 6 = 0 THEN NULL ELSE o_orderstatus || ' STREET' END",
                 "double_dependent_locality": "CAST(NULL AS STRING)",
-                "dependent_locality": _pick("o_custkey", "'PONTCANNA'", None),
-                "post_town": _pick("o_custkey", "'CARDIFF'", "'SWANSEA'", "''"),
+                "dependent_locality": _pick("o_custkey", "'WESTERBY'", None),
+                "post_town": _pick("o_custkey", "'EASTHAVEN'", "'NORTHMERE'", "''"),
                 "postcode": _postcode("o_custkey"),
                 "postcode_type": "'S'",
                 "delivery_point_suffix": "'1A'",
@@ -286,11 +299,11 @@ TABLES: dict[str, list[tuple[str, dict[str, str]]]] = {
         (
             "events",
             {
-                "number": "CASE WHEN event_id % 7 = 0 THEN 'NO' || CAST(event_id AS STRING) ELSE CAST(event_id AS STRING) END",
-                "day": "CASE WHEN event_id % 5 = 0 THEN '2024-13-01' WHEN event_id % 5 = 1 THEN '' ELSE '2024-02-01' END",
-                "line": "'31,I,' || CASE WHEN event_id % 7 = 0 THEN 'NO' || CAST(event_id AS STRING) ELSE CAST(event_id AS STRING) END "
-                "|| ',1,\"K\",\"' || event_type || '\",,' || CASE WHEN event_id % 5 = 0 THEN '2024-13-01' "
-                "WHEN event_id % 5 = 1 THEN '' ELSE '2024-02-01' END || ',,,'",
+                "number": _FAULTY_NUMBER,
+                "day": _FAULTY_DAY,
+                "is_misfit": "event_id % 11 = 0 OR event_id % 13 = 0",
+                "line": f"'31,I,' || {_FAULTY_NUMBER} || ',1,\"K\",\"' || CASE WHEN event_id % 13 = 0 THEN 'CA\"FE, ' ELSE '' END "
+                f"|| event_type || '\",,' || {_FAULTY_DAY} || ',,,' || CASE WHEN event_id % 11 = 0 THEN ',EXTRA' ELSE '' END",
             },
         )
     ],
@@ -311,6 +324,8 @@ TABLES: dict[str, list[tuple[str, dict[str, str]]]] = {
 }
 
 FEATURES = [name for name in TABLES if name.startswith("add_gb_")]
+# Features that are written as files and read back.
+FILE_FEATURES = ["add_gb_builtaddress", "add_gb_nonaddressableobject", "add_gb_prebuildaddress_altadd"]
 RECORD_TABLES = ["street_descriptor", "blpu", "lpi", "delivery_point", "organisation", "classification"]
 
 

@@ -151,14 +151,28 @@ _CTES["rows_built"] = _core("add_gb_builtaddress")
 _CTES["rows_prebuild"] = _core("add_gb_prebuildaddress")
 _CTES["rows_nonaddressable"] = _core("add_gb_nonaddressableobject")
 _CTES["rows_historic"] = _core("add_gb_historicaddress")
-_CTES["rows_alternate"] = (
-    f"SELECT uprn, {_strip('fulladdress')} AS address_concat, postcode, "
-    f"'add_gb_builtaddress_altadd.parquet' AS filename, {_NO_META}, floorlevel, lowestfloorlevel, "
-    "highestfloorlevel, NULL::VARCHAR AS lowertierlocalauthoritygsscode, 'Built Address' AS feature_type, "
-    "addressstatus AS address_status, NULL::VARCHAR AS build_status FROM add_gb_builtaddress_altadd"
-)
+_ALTERNATES = {
+    "built": "Built Address",
+    "historic": "Historic Address",
+    "nonaddressable": "Non-Addressable Object",
+    "prebuild": "Pre-Build Address",
+}
+_STEMS = {
+    "built": "add_gb_builtaddress",
+    "historic": "add_gb_historicaddress",
+    "nonaddressable": "add_gb_nonaddressableobject",
+    "prebuild": "add_gb_prebuildaddress",
+}
+for _part, _feature in _ALTERNATES.items():
+    _stem = f"{_STEMS[_part]}_altadd"
+    _CTES[f"rows_alternate_{_part}"] = (
+        f"SELECT uprn, {_strip('fulladdress')} AS address_concat, postcode, "
+        f"'{_stem}.parquet' AS filename, {_NO_META}, floorlevel, lowestfloorlevel, "
+        f"highestfloorlevel, NULL::VARCHAR AS lowertierlocalauthoritygsscode, '{_feature}' AS feature_type, "
+        f"addressstatus AS address_status, NULL::VARCHAR AS build_status FROM {_stem}"
+    )
 _CTES["rows_royal_mail"] = _royal_mail("add_gb_royalmailaddress")
-_PARTS = ["built", "prebuild", "nonaddressable", "historic", "alternate", "royal_mail"]
+_PARTS = ["built", "prebuild", "nonaddressable", "historic", "royal_mail", *[f"alternate_{part}" for part in _ALTERNATES]]
 
 
 def _union(parts):
@@ -225,7 +239,7 @@ def _ngd_dedup(source):
 
 
 _CTES |= _ngd_stages(_PARTS, "all")
-_CTES |= _ngd_stages([part for part in _PARTS if part != "historic"], "default")
+_CTES |= _ngd_stages([part for part in _PARTS if "historic" not in part], "default")
 _CTES["all_rows"] = _union(_PARTS)
 
 _CTES["used"] = "SELECT DISTINCT usrn, language FROM lpi WHERE usrn IS NOT NULL"
@@ -444,6 +458,13 @@ def _record_counts():
     return " UNION ALL ".join(rows)
 
 
+
+
+def _seeded(*columns):
+    """The order of a pick with seed 1."""
+    return "md5(concat_ws(':', '1', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in columns) + "))"
+
+
 _REPORTED = "unique_id, address_concat, postcode, source, variant_label, is_primary"
 
 _FINAL: dict[str, str] = {
@@ -457,10 +478,10 @@ _FINAL: dict[str, str] = {
     "build_base_address": f"SELECT lpi_key, {_base('area_name', 'level', 'language')} AS base_address FROM lpi",
     "delivery_address": "SELECT uprn, postcode, raw_address FROM mail",
     "core_addresses_bilingual": "SELECT * FROM rows_historic",
-    "alternate_addresses": "SELECT * FROM rows_alternate",
+    "alternate_addresses": "SELECT * FROM rows_alternate_built",
     "royal_mail_addresses": "SELECT * FROM rows_royal_mail",
     "source_union": "SELECT * FROM all_rows",
-    "source_union_without_excluded": _union(["prebuild", "nonaddressable", "historic"]),
+    "source_union_without_excluded": _union([part for part in _PARTS if "built" not in part.split("_") and part != "royal_mail"]),
     "metadata_lookup": "SELECT * FROM meta",
     "local_authority_lookup": "SELECT * FROM authority",
     "property_lookup": "SELECT m.*, a.lowertierlocalauthoritygsscode FROM meta m "
@@ -476,9 +497,10 @@ _FINAL: dict[str, str] = {
     **{f"split_records_{name}": _read_back(name) for name in derived.RECORD_TABLES},
     "split_records_counts": _record_counts(),
     "malformed_values": "SELECT 'organisation' AS record_type, line, 'pro_order' AS column_name, number AS text "
-    "FROM faulty_lines WHERE TRY_CAST(number AS BIGINT) IS NULL UNION ALL "
-    "SELECT 'organisation', line, 'start_date', day FROM faulty_lines "
-    "WHERE day <> '' AND TRY_CAST(day AS DATE) IS NULL",
+    "FROM faulty_lines WHERE TRY_CAST(number AS BIGINT) IS NULL AND NOT is_misfit UNION ALL "
+    "SELECT 'organisation', line, 'start_date', day FROM faulty_lines WHERE NOT is_misfit AND day <> '' "
+    r"AND NOT (regexp_full_match(day, '\d{4}-\d{2}-\d{2}') AND TRY_CAST(day AS DATE) IS NOT NULL) UNION ALL "
+    "SELECT 'organisation', line, NULL, NULL FROM faulty_lines WHERE is_misfit",
     "used_streets": "SELECT * FROM used",
     "parents_with_children": "SELECT * FROM parents",
     "best_street_by_language": "SELECT * FROM street_by_language",
@@ -515,6 +537,33 @@ _FINAL: dict[str, str] = {
     "top_keys_filtered": f"{_COUNTS} WHERE source = 'LPI' GROUP BY unique_id ORDER BY variant_count DESC, unique_id LIMIT 50",
     "top_key_at_offset": f"{_COUNTS} GROUP BY unique_id ORDER BY variant_count DESC, unique_id LIMIT 1 OFFSET 7",
     "key_variants": f"SELECT {_REPORTED} FROM finished_flatfile WHERE unique_id = 7",
+    "random_key": f"SELECT {_REPORTED} FROM finished_flatfile WHERE unique_id IS NOT DISTINCT FROM "
+    f"(SELECT unique_id FROM (SELECT DISTINCT unique_id FROM finished_flatfile) ORDER BY {_seeded('unique_id')} LIMIT 1)",
+    "random_large_key": f"SELECT {_REPORTED} FROM finished_flatfile WHERE source = 'LPI' AND unique_id IS NOT DISTINCT FROM "
+    f"(SELECT unique_id FROM ({_COUNTS} WHERE source = 'LPI' GROUP BY unique_id ORDER BY variant_count DESC, unique_id LIMIT 100) "
+    f"ORDER BY {_seeded('unique_id')} LIMIT 1)",
+    "sample_rows": f"SELECT * FROM finished_flatfile ORDER BY {_seeded('unique_id', 'address_concat')}, "
+    "address_concat, is_primary NULLS FIRST, postcode NULLS FIRST, row_number LIMIT 5",
+    "inspect_key": f"SELECT *, (SELECT count(*) FROM finished_flatfile f WHERE f.unique_id IS NOT DISTINCT FROM k.unique_id) "
+    f"AS variant_count FROM finished_flatfile k WHERE unique_id = (SELECT unique_id FROM ({_COUNTS} GROUP BY unique_id "
+    "ORDER BY variant_count DESC, unique_id LIMIT 1 OFFSET 3))",
+    "csv_features": " UNION ALL ".join(
+        f"SELECT '{stem}' AS stem, CAST(uprn AS VARCHAR) AS uprn, postcode, fulladdress FROM {stem} WHERE uprn > 3"
+        for stem in derived.FILE_FEATURES
+    ),
+    "zipped_features": " UNION ALL ".join(
+        f"SELECT '{stem}' AS stem, CAST(uprn AS VARCHAR) AS uprn, postcode, fulladdress FROM {stem}" for stem in derived.FILE_FEATURES
+    ),
+    "zipped_record_counts": _record_counts(),
+    "written_flatfile": "SELECT * FROM finished_flatfile",
+    "written_report": "SELECT count(*) AS records, count(*) AS rows_written, true AS has_files, true AS has_bytes, "
+    "true AS skipped_again FROM finished_flatfile",
+    "plain_record_tables": _read_back("lpi"),
+    "record_tables_of_few_types": " UNION ALL ".join(
+        f"SELECT '{name}' AS name, {f'(SELECT count(*) FROM {name})' if name in ('lpi', 'blpu') else '0::BIGINT'} AS records, "
+        f"{len(records.schema_columns(records.SCHEMAS[name]))}::BIGINT AS columns"
+        for name in derived.RECORD_TABLES
+    ),
     "key_variants_filtered": "SELECT unique_id, postcode, source FROM finished_flatfile WHERE unique_id = 7 AND is_primary",
 }
 

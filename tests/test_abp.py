@@ -220,3 +220,30 @@ def test_best_delivery_point_is_the_latest_valid(spark):
 def test_missing_table(supply):
     with pytest.raises(ValueError, match="missing record tables: blpu"):
         abp.abp_flatfile({name: df for name, df in supply.items() if name != "blpu"})
+
+
+def test_plans_are_lazy_and_lean(spark, supply):
+    lpi_table, blpu_table, streets = (supply[n] for n in ("lpi", "blpu", "street_descriptor"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lazy", "")
+    try:
+        base = abp.lpi_base(lpi_table, blpu_table, streets)
+        abp.business_current(supply["organisation"], abp.lpi_distinct(base))
+        assert len(tracker.getJobIdsForGroup("lazy")) == 0
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = base._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") <= 6
+    assert plan.count("Scan ExistingRDD") == 3
+
+
+def test_repeated_property_rows(spark):
+    """Copies of a property's row count once, differing rows each."""
+    rows = tables(spark, blpu=[blpu(1), blpu(1), blpu(1, postcode="ZZ9 4AB"), blpu(2, parent=1)], lpi=[lpi(1), lpi(2)])
+    got = abp.lpi_base(rows["lpi"], rows["blpu"], rows["street_descriptor"])
+    found = sorted((row["uprn"], row["postcode"], row["hierarchy_level"]) for row in got.collect())
+    assert found == [(1, "AB1 1AB", "P"), (1, "ZZ9 4AB", "P"), (2, "AB1 1AB", "C")]

@@ -1,12 +1,17 @@
 import zipfile
 
+import pytest
+
 from addrloom.build import (
     build_abp_from_archives,
     build_abp_from_folder,
     build_ngd_from_archives,
+    build_ngd_from_csv_folder,
     build_ngd_from_folder,
 )
 from addrloom.plans.inspection import flatfile
+from addrloom.sinks.parquet import has_output, output_metadata, write_flatfile
+from addrloom.sources import records
 from tests.test_ngd import ALTERNATE, ALTERNATIVE, CORE, OUTPUT, PREBUILD, ROYAL, built, frame, royal
 from tests.test_records import BLPU, LPI
 
@@ -34,7 +39,7 @@ def test_archives_and_folder_give_the_same(spark, tmp_path):
     one, two = str(tmp_path / "one"), str(tmp_path / "two")
     from_folder = build_ngd_from_folder(spark, str(tmp_path / "tables"), one, chunks=2)
     from_archives = build_ngd_from_archives(spark, archives, str(tmp_path / "work"), two)
-    assert from_folder.records == from_archives.records == 7
+    assert from_folder.records == from_archives.records == 11
     assert listing(flatfile(spark, one)) == listing(flatfile(spark, two))
     again = build_ngd_from_folder(spark, str(tmp_path / "tables"), one)
     assert again == from_folder
@@ -64,3 +69,66 @@ def test_mixed_records_in_archives(spark, tmp_path):
         archives.append(str(path))
     metadata = build_abp_from_archives(spark, archives, str(tmp_path / "work"), str(tmp_path / "out"), sort=False)
     assert metadata.records == 2
+
+
+def test_csv_folder(spark, tmp_path):
+    for stem, (columns, row) in FEATURES.items():
+        values = ",".join(f'"{row[name]}"' if row.get(name) else "" for name in columns)
+        (tmp_path / "csv" / "deep").mkdir(parents=True, exist_ok=True)
+        (tmp_path / "csv" / "deep" / f"{stem}.CSV").write_text(f"{','.join(columns)}\n{values}\n")
+    (tmp_path / "csv" / "other.csv").write_text("uprn\n5\n")
+    folder, work, output = (str(tmp_path / name) for name in ("csv", "work", "out"))
+    report = build_ngd_from_csv_folder(spark, folder, work, output)
+    assert (report.records, report.total_uprns, report.variant_uplift_pct) == (11, 2, 450.0)
+    (tmp_path / "csv" / "add_gb_builtaddress.csv").write_text("uprn\n5\n")
+    with pytest.raises(ValueError, match="same output add_gb_builtaddress"):
+        build_ngd_from_csv_folder(spark, folder, work, output, overwrite=True)
+    with pytest.raises(ValueError, match="no eligible"):
+        build_ngd_from_csv_folder(spark, str(tmp_path / "work"), work, str(tmp_path / "none"))
+
+
+def jobs_of(spark, call):
+    """The result of a call and how many Spark jobs it ran."""
+    context = spark.sparkContext
+    context.setJobGroup(f"counted-{id(call)}", "")
+    try:
+        result = call()
+        return result, len(context.statusTracker().getJobIdsForGroup(f"counted-{id(call)}"))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_a_finished_output_is_only_reported(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "part.csv").write_text(f"{LPI}\n{BLPU}\n")
+    places = [str(tmp_path / name) for name in ("raw", "work", "out")]
+    first, built = jobs_of(spark, lambda: build_abp_from_folder(spark, *places))
+    again, reported = jobs_of(spark, lambda: build_abp_from_folder(spark, *places))
+    assert again == first and built > 20 > 12 > reported
+
+
+def test_an_unfinished_output_is_none(spark, tmp_path):
+    df = spark.createDataFrame([(1, "A", "P")], "unique_id bigint, address_concat string, postcode string")
+    path = tmp_path / "out"
+    assert write_flatfile(df, str(path)) == 1 and has_output(spark, str(path))
+    (path / "_SUCCESS").rename(tmp_path / "mark")  # as if the job had died in its commit
+    assert not has_output(spark, str(path)) and output_metadata(spark, str(path)).files == 0
+    assert write_flatfile(df, str(path)) == 1 and write_flatfile(df, str(path)) is None
+
+
+def test_tables_with_a_wrong_count_are_split_again(spark, tmp_path, monkeypatch):
+    lines = spark.createDataFrame([(LPI,), (BLPU,)], "value string")
+    path = str(tmp_path / "tables")
+    whole = records._parsed
+    monkeypatch.setattr(records, "_parsed", lambda *a: whole(*a).where("rid <> '21'"))
+    for _ in range(2):
+        with pytest.raises(ValueError, match="line count mismatch: 2 lines, 1 rows"):
+            records.write_record_tables(lines, path)
+    monkeypatch.undo()
+    assert sum(records.write_record_tables(lines, path).rows.values()) == 2
+    plain = str(tmp_path / "plain")
+    tables = records.read_record_tables(spark, path)
+    assert sorted(records.write_plain_tables(tables, plain)) == sorted(tables)
+    assert records.write_plain_tables(tables, plain) == []
+    assert spark.read.parquet(f"{plain}/lpi").collect() == tables["lpi"].collect()
+    assert spark.read.parquet(f"{plain}/classification").schema.names == tables["classification"].schema.names

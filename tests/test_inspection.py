@@ -90,3 +90,19 @@ def test_written_flatfile_is_read_back(spark, flat, tmp_path):
     with_postcode = flat.withColumn("postcode", F.lit(None).cast("string"))
     write_flatfile(with_postcode, str(tmp_path / "out"), chunks=2)
     assert inspection.flatfile(spark, str(tmp_path / "out")).count() == 6
+
+
+def test_rows_without_a_key_are_a_group(spark):
+    rows = [(None, "A"), (None, "B"), (None, "C"), (5, "D")]
+    df = spark.createDataFrame(rows, "unique_id bigint, address_concat string")
+    found = inspection.inspect_variants(df)
+    assert (found.selected_key, found.variant_count, found.key_rows.count()) == (None, 3, 3)
+    assert inspection.random_large_key(df, top_n=1, seed=3).count() == 3
+    assert {inspection.random_key(df, seed).count() for seed in range(20)} == {1, 3}
+    assert inspection.key_variants(df, 5).count() == 1
+
+
+def test_picks_follow_the_seed_and_not_the_layout(spark):
+    df = spark.range(500).selectExpr("id % 50 AS unique_id", "CAST(id AS string) AS address_concat")
+    for pick in (lambda d: inspection.random_key(d, seed=4), lambda d: inspection.sample_rows(d, 7, seed=4)):
+        assert sorted(pick(df.repartition(1)).collect()) == sorted(pick(df.repartition(9)).collect())

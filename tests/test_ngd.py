@@ -38,76 +38,80 @@ def frame(spark, columns, *rows):
     return spark.createDataFrame([tuple(row.get(name) for name in columns) for row in rows], schema)
 
 
+TOWN, WELSH_TOWN, POSTCODE = "EASTHAVEN", "HAFAN DDWYRAIN", "ZZ9 4AB"
+
+
 def built(**changes):
+    """A workshop on the second floor, with an address in either language."""
     return {
-        "uprn": "100000000001",
+        "uprn": "7001",
         "description": "Built Address",
-        "postcode": "CF11 9PX",
-        "fulladdress": "FLAT 1, 1, LLANDAFF ROAD, PONTCANNA, CARDIFF, CF11 9PX",
-        "alternatelanguagesubname": "FFLAT 1",
-        "alternatelanguagestreetname": "LLANDAFF ROAD",
-        "alternatelanguagelocality": "PONTCANNA",
-        "alternatelanguagetownname": "CAERDYDD",
-        "alternatelanguage": "cym",
-        "alternatelanguagefulladdress": "FFLAT 1, 1, LLANDAFF ROAD, PONTCANNA, CAERDYDD, CF11 9PX",
-        "floorlevel": "1",
-        "lowestfloorlevel": "1.0",
-        "highestfloorlevel": "1.0",
-        "classificationcode": "RD06",
+        "postcode": POSTCODE,
+        "fulladdress": f"STUDIO 3, MILL HOUSE, QUAY STREET, {TOWN}, {POSTCODE}",
+        "alternatelanguage": "wel",
+        "alternatelanguagename": "TY MELIN",
+        "alternatelanguagestreetname": "STRYD Y CEI",
+        "alternatelanguagetownname": WELSH_TOWN,
+        "alternatelanguagefulladdress": f"STIWDIO 3, TY MELIN, STRYD Y CEI, {WELSH_TOWN}, {POSTCODE}",
+        "floorlevel": "2",
+        "lowestfloorlevel": "2.0",
+        "highestfloorlevel": "3.0",
+        "classificationcode": "CO01",
         "buildstatus": "Built Complete",
         "addressstatus": "Approved",
-        "parentuprn": "100000000002",
-        "rootuprn": "100000000002",
-        "hierarchylevel": "2",
-        "lowertierlocalauthoritygsscode": "W06000015",
+        "parentuprn": "7100",
+        "rootuprn": "7200",
+        "hierarchylevel": "3",
+        "lowertierlocalauthoritygsscode": "W99000007",
     } | changes
 
 
 def royal(**changes):
+    """The firm in it, by mail."""
     return {
-        "uprn": "100000000001",
-        "postcode": "CF11 9PX",
+        "uprn": "7001",
+        "postcode": POSTCODE,
         "matchedaddressfeaturetype": "Built Address",
-        "subbuildingname": "FLAT 1",
-        "buildingnumber": "1",
-        "thoroughfare": "LLANDAFF ROAD",
-        "dependentlocality": "PONTCANNA",
-        "posttown": "CARDIFF",
-        "welshdoubledependentlocality": " ",
-        "welshdependentlocality": "PONTCANNA",
-        "welshposttown": "CAERDYDD",
+        "organisationname": "HARBOUR PRINTS",
+        "buildingname": "MILL HOUSE",
+        "thoroughfare": "QUAY STREET",
+        "posttown": TOWN,
+        "welshthoroughfare": "STRYD Y CEI",
+        "welshposttown": WELSH_TOWN,
     } | changes
 
 
-HISTORIC = built(
-    uprn="100000000010",
-    description="Historic Address",
-    fulladdress="FLAT 1A, 1, LLANDAFF ROAD, PONTCANNA, CARDIFF, CF11 9PX",
-    alternatelanguagefulladdress="FFLAT 1A, 1, LLANDAFF ROAD, PONTCANNA, CAERDYDD, CF11 9PX",
-    classificationcode="U",
-    buildstatus="Historic",
-    addressstatus="Historical",
-)
 NO_WELSH = {name: None for name in CORE if name.startswith("alternatelanguage")}
-PREBUILD = built(
-    uprn="100000000020",
-    description="Prebuild Address",
-    fulladdress="10, LLANDAFF ROAD, PONTCANNA, CARDIFF, CF11 9PX",
-    floorlevel=None,
-    lowestfloorlevel=None,
-    highestfloorlevel=None,
-    buildstatus="Under Construction",
-    parentuprn="100000000021",
-    **NO_WELSH,
-)
+# A barn that is gone, and a plot with nothing on it yet.
+HISTORIC = {
+    "uprn": "7010",
+    "description": "Historic Address",
+    "postcode": POSTCODE,
+    "fulladdress": f"BARN, QUAY STREET, {TOWN}",
+    "classificationcode": "LB",
+    "buildstatus": "Demolished",
+    "addressstatus": "Historical",
+}
+PREBUILD = {
+    "uprn": "7020",
+    "description": "Prebuild Address",
+    "postcode": POSTCODE,
+    "fulladdress": f"PLOT 12, NEW CLOSE, {TOWN}, {POSTCODE}",
+    "classificationcode": "PP",
+    "buildstatus": "Prebuild",
+    "addressstatus": "Provisional",
+    "parentuprn": "7021",
+    "lowertierlocalauthoritygsscode": "W99000008",
+}
+# Another name of the workshop, for its gallery one floor up.
 ALTERNATIVE = {
-    "uprn": "100000000001",
+    "uprn": "7001",
     "addressstatus": "Alternative",
-    "postcode": "CF11 9PX",
-    "fulladdress": "FFLAT 1, 1, LLANDAFF ROAD, PONTCANNA, CAERDYDD, CF11 9PX",
-    "floorlevel": "1",
-    "lowestfloorlevel": "1.0",
-    "highestfloorlevel": "1.0",
+    "postcode": POSTCODE,
+    "fulladdress": f"THE GALLERY, MILL HOUSE, {TOWN}, {POSTCODE}",
+    "floorlevel": "3",
+    "lowestfloorlevel": "3.0",
+    "highestfloorlevel": "3.0",
 }
 
 
@@ -123,23 +127,21 @@ def sources(spark):
 
 
 def expected(historic=True):
-    one = [1, "CF11 9PX", "RD06", 100000000002, "W06000015", "1"]
-    rows = []
-
-    def add(uprn, address, filename, code, parent, authority, floor):
-        rows.append((uprn, address, "CF11 9PX", f"{filename}.parquet", code, parent, authority, floor))
-        if floor == "1":
-            rows.append((uprn, f"FIRST {address}", "CF11 9PX", "CUSTOM_LEVEL", code, parent, authority, floor))
-
-    of_one = (one[2], one[3], one[4], one[5])
-    add(100000000001, "FLAT 1, 1, LLANDAFF ROAD, PONTCANNA, CARDIFF", "add_gb_builtaddress", *of_one)
-    add(100000000001, "FFLAT 1, 1, LLANDAFF ROAD, PONTCANNA, CAERDYDD", "add_gb_builtaddress", *of_one)
-    add(100000000001, "FLAT 1, 1,  , PONTCANNA, CAERDYDD", "add_gb_royalmailaddress", *of_one)
-    add(100000000020, "10, LLANDAFF ROAD, PONTCANNA, CARDIFF", "add_gb_prebuildaddress", "RD06", 100000000021, None, None)
+    """Every address once and, where it has a floor, once more under the floor's word."""
+    workshop = ("CO01", 7100, "W99000007")
+    found = [
+        (7001, f"STUDIO 3, MILL HOUSE, QUAY STREET, {TOWN}", "add_gb_builtaddress", *workshop, "2"),
+        (7001, f"STIWDIO 3, TY MELIN, STRYD Y CEI, {WELSH_TOWN}", "add_gb_builtaddress", *workshop, "2"),
+        (7001, f"THE GALLERY, MILL HOUSE, {TOWN}", "add_gb_builtaddress_altadd", *workshop, "3"),
+        (7001, f"HARBOUR PRINTS, MILL HOUSE, QUAY STREET, {TOWN}", "add_gb_royalmailaddress", *workshop, "2"),
+        (7001, f"HARBOUR PRINTS, MILL HOUSE, STRYD Y CEI, {WELSH_TOWN}", "add_gb_royalmailaddress", *workshop, "2"),
+        (7020, f"PLOT 12, NEW CLOSE, {TOWN}", "add_gb_prebuildaddress", "PP", 7021, None, None),
+    ]
     if historic:
-        of_ten = ("U", 100000000002, None, "1")
-        add(100000000010, "FLAT 1A, 1, LLANDAFF ROAD, PONTCANNA, CARDIFF", "add_gb_historicaddress", *of_ten)
-        add(100000000010, "FFLAT 1A, 1, LLANDAFF ROAD, PONTCANNA, CAERDYDD", "add_gb_historicaddress", *of_ten)
+        found.append((7010, f"BARN, QUAY STREET, {TOWN}", "add_gb_historicaddress", "LB", None, None, None))
+    words = {"2": "SECOND", "3": "THIRD"}
+    rows = [(uprn, text, POSTCODE, f"{stem}.parquet", *rest) for uprn, text, stem, *rest in found]
+    rows += [(uprn, f"{words[rest[-1]]} {text}", POSTCODE, "CUSTOM_LEVEL", *rest) for uprn, text, _, *rest in found if rest[-1]]
     return sorted(rows, key=repr)
 
 
@@ -147,7 +149,7 @@ def rows_of(df):
     return sorted(map(tuple, df.collect()), key=repr)
 
 
-def test_flatfile_of_published_examples(sources):
+def test_flatfile_of_all_sources(sources):
     flatfile = ngd.ngd_flatfile(sources, excluded=())
     assert flatfile.columns == OUTPUT
     assert rows_of(flatfile) == expected()
@@ -158,14 +160,14 @@ def test_historic_is_excluded_by_default(sources):
 
 
 def test_hot_keys_change_nothing(sources):
-    hot = HotKeys({100000000001: 3}, null_groups=2)
+    hot = HotKeys({7001: 3}, null_groups=2)
     assert rows_of(ngd.ngd_flatfile(sources, excluded=(), hot=hot)) == expected()
 
 
 @pytest.mark.parametrize("sort", [True, False])
 def test_chunks_together_are_the_whole(spark, sources, tmp_path, sort):
     flatfile = ngd.ngd_flatfile(sources, excluded=())
-    assert write_flatfile(flatfile, str(tmp_path / "out"), chunks=3, sort=sort) == 11
+    assert write_flatfile(flatfile, str(tmp_path / "out"), chunks=3, sort=sort) == 12
     stored = spark.read.parquet(str(tmp_path / "out"))
     assert rows_of(stored.drop("chunk").select(OUTPUT)) == expected()
     per_key = stored.groupBy("unique_id").agg(F.countDistinct("chunk").alias("n"))
@@ -176,9 +178,9 @@ def test_chunks_together_are_the_whole(spark, sources, tmp_path, sort):
 def test_output_is_sorted_compressed_and_kept(spark, sources, tmp_path):
     path = str(tmp_path / "out")
     flatfile = ngd.ngd_flatfile(sources, excluded=())
-    assert write_flatfile(flatfile, path) == 11
+    assert write_flatfile(flatfile, path) == 12
     assert write_flatfile(flatfile, path) is None
-    assert write_flatfile(flatfile, path, overwrite=True) == 11
+    assert write_flatfile(flatfile, path, overwrite=True) == 12
     import pyarrow.parquet as pq
 
     order = []
@@ -190,7 +192,7 @@ def test_output_is_sorted_compressed_and_kept(spark, sources, tmp_path):
     assert order == sorted(order, key=lambda row: (row[0] is None, row[0] or "", row[1]))
     metadata = output_metadata(spark, path)
     sizes = [file.stat().st_size for file in (tmp_path / "out").glob("*.parquet")]
-    assert (metadata.files, metadata.records, metadata.size_bytes) == (len(sizes), 11, sum(sizes))
+    assert (metadata.files, metadata.records, metadata.size_bytes) == (len(sizes), 12, sum(sizes))
     assert output_metadata(spark, str(tmp_path / "none")).files == 0
 
 
@@ -207,7 +209,7 @@ def test_csv_features(spark, tmp_path):
 
 
 def test_no_duplicate_key_and_address(spark):
-    rows = [built(uprn=str(i % 3), fulladdress=f"{i % 5}, ROAD, CF11 9PX") for i in range(60)]
+    rows = [built(uprn=str(i % 3), fulladdress=f"{i % 5}, ROAD, {POSTCODE}") for i in range(60)]
     flatfile = ngd.ngd_flatfile({"add_gb_builtaddress": frame(spark, CORE, *rows)})
     assert flatfile.groupBy("unique_id", "address_concat").count().where("count > 1").isEmpty()
 
@@ -217,7 +219,7 @@ def test_prebuild_description_ranks_last_unless_told(spark):
     both = {
         "add_gb_prebuildaddress": frame(spark, CORE, built(description="Prebuild Address", **same)),
         "add_gb_royalmailaddress": frame(
-            spark, ROYAL, {"uprn": "100000000001", "matchedaddressfeaturetype": "x", "posttown": "SAME"}
+            spark, ROYAL, {"uprn": "7001", "matchedaddressfeaturetype": "x", "posttown": "SAME"}
         ),
     }
     assert [r["filename"] for r in ngd.ngd_flatfile(both).collect()] == ["add_gb_royalmailaddress.parquet"]
@@ -232,8 +234,8 @@ def test_excluded_core_file_still_serves_the_lookup(spark):
         "add_gb_royalmailaddress": frame(spark, ROYAL, royal()),
     }
     rows = ngd.ngd_flatfile(sources, excluded=("builtaddress",)).collect()
-    assert {row["classificationcode"] for row in rows} == {"RD06"}
-    assert {row["lowertierlocalauthoritygsscode"] for row in rows} == {"W06000015"}
+    assert {row["classificationcode"] for row in rows} == {"CO01"}
+    assert {row["lowertierlocalauthoritygsscode"] for row in rows} == {"W99000007"}
 
 
 def test_metadata_prefers_built_over_historic(spark):
@@ -251,10 +253,10 @@ def test_missing_addresses_collapse_to_one_row(spark):
 
 
 def test_non_addressable_object_keeps_only_its_floor_variant(spark):
-    row = built(description="Non-Addressable Object", fulladdress="SHED, CF11 9PX", **NO_WELSH)
+    row = built(description="Non-Addressable Object", fulladdress=f"SHED, {POSTCODE}", **NO_WELSH)
     sources = {"add_gb_nonaddressableobject": frame(spark, CORE, row)}
     flatfile = ngd.ngd_flatfile(sources).collect()
-    assert [(r["address_concat"], r["filename"]) for r in flatfile] == [("FIRST SHED", "CUSTOM_LEVEL")]
+    assert [(r["address_concat"], r["filename"]) for r in flatfile] == [("SECOND SHED", "CUSTOM_LEVEL")]
 
 
 def test_feature_type_null_is_dropped(spark):
@@ -279,7 +281,7 @@ def test_unmatched_and_non_addressable_mail_is_left_out(spark):
 
 def test_welsh_components_without_full_text(spark):
     rows = ngd.core_addresses(frame(spark, CORE, built(alternatelanguagefulladdress=None)), "f").collect()
-    assert rows[1]["address_concat"] == "FFLAT 1, LLANDAFF ROAD, PONTCANNA, CAERDYDD"
+    assert rows[1]["address_concat"] == f"TY MELIN, STRYD Y CEI, {WELSH_TOWN}"
 
 
 def test_missing_key_column_names_the_files(spark, sources):

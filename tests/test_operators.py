@@ -32,7 +32,7 @@ def test_find_hot_keys_lists_null_apart(spark):
     assert find_hot_keys(df.where("k IS NULL"), rows_per_task=10).null_groups == 2
 
 
-def test_hot_keys_are_found_among_more_keys_than_are_tracked(spark):
+def test_hot_keys_are_found_among_many_keys(spark):
     df = spark.range(600_000).selectExpr("CASE WHEN id % 4 = 0 THEN -1 ELSE id END AS k")
     hot = find_hot_keys(df, rows_per_task=100_000)
     assert hot.groups == {-1: 2} and hot.null_groups == 1
@@ -124,3 +124,36 @@ def test_staged_rows_live_in_the_shared_folder(spark):
     df = staging.staged(spark.range(10).selectExpr("id", "id % 2 AS k"))
     assert df.count() == 10
     assert all(folder in name for name in df.inputFiles())
+
+
+def test_no_cell_of_a_hot_key_is_left_whole(spark, monkeypatch):
+    """One key with many spans and queries: no join group holds many of its queries."""
+    from addrloom.operators import overlap
+
+    seen = []
+
+    def watched(big, lookup, on, hot, how="left", where="true"):
+        if "start_cell" in on:
+            spread = hot.counted(big, on[0], where).selectExpr("*", "pmod(xxhash64(from_day, to_day), join_groups) AS g")
+            seen.append(spread.groupBy(*on, "g").count().agg(F.max("count")).first()[0])
+        return lookup_join(big, lookup, on, hot, how, where)
+
+    monkeypatch.setattr(overlap, "lookup_join", watched)
+    queries = spark.range(4000).selectExpr("1L AS k", "CAST(700000 + id * 7 % 9000 AS INT) AS from_day").selectExpr("*", "from_day + 30 AS to_day")
+    intervals = spark.range(200).selectExpr("1L AS k", "CAST(700000 + id * 45 AS INT) AS start_day", "CAST(700040 + id * 45 AS INT) AS end_day", "id AS candidate")
+    whole = best_overlapping(queries, intervals, "k", NO_HOT_KEYS, small_key=5)
+    split = best_overlapping(queries, intervals, "k", HotKeys({1: 40}, rows_per_task=100), small_key=5, spread_from=8)
+    assert sorted(whole.collect()) == sorted(split.collect())
+    assert seen[0] == 4000 and seen[1] <= 300
+
+
+def test_a_cluster_must_name_its_folder(spark, monkeypatch):
+    monkeypatch.setattr(staging, "FOLDER_SETTING", "no.such.setting")
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    with pytest.raises(RuntimeError, match="no.such.setting"):
+        staging.staging_folder(spark)
+
+
+def test_no_caps_on_hot_keys(spark):
+    df = spark.range(30_000).selectExpr("id % 3000 AS k")
+    assert len(find_hot_keys(df, rows_per_task=5).groups) == 3000

@@ -5,7 +5,7 @@ import pytest
 from addrloom.sources import records
 
 LPI = '24,"I",7,100,"K1","ENG",1,2001-02-03,,2002-01-01,2001-02-03,,"",,"","FLAT ""A""",12,"",,"","",55,1,"AREA","1,2","Y"'
-BLPU = '21,"I",8,100,1,"2",2000-01-01,,1.5,2.5,51.5,-3.5,1,6815,"W",2000-01-01,,,2000-01-01,"D","CF11 9PX",0'
+BLPU = '21,"I",8,100,1,"2",2000-01-01,,1.5,2.5,51.5,-3.5,1,6815,"W",2000-01-01,,,2000-01-01,"D","ZZ9 4AB",0'
 SHORT = '31,"I",9,100,"ORG1","CAFE"'
 LINES = [
     "﻿10,\"NAG\",7655,2024-01-01",
@@ -113,3 +113,22 @@ def test_line_is_parsed_once(spark):
     table = records.split_records(lines_of(spark, *LINES))["lpi"]
     plan = table._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_csv") <= 1
+
+
+def test_dates_and_lines_must_have_their_form(spark):
+    def with_day(day):
+        return f'31,"I",9,100,"ORG1","CAFE",,{day},,,'
+
+    short, trailing, long, quoted = with_day("2024-5"), with_day("2024-01-05T99"), with_day("2024-01-05") + ",EXTRA", '31,"I",9,1,"O","CA"FE, X",,2024-01-05'
+    for line in (short, trailing, long, quoted):
+        with pytest.raises(Exception, match="malformed line|not yyyy-MM-dd"):
+            records.split_records(lines_of(spark, line))["organisation"].collect()
+    good = [with_day("2024-01-05"), SHORT, '31,"I",9,1,"O","A ""B"", C"', "31"]
+    assert records.split_records(lines_of(spark, *good))["organisation"].count() == 4
+    listed = records.malformed_values(lines_of(spark, short, trailing, long, quoted, *good)).collect()
+    assert {(row["line"], row["column_name"], row["text"]) for row in listed} == {
+        (short, "start_date", "2024-5"),
+        (trailing, "start_date", "2024-01-05T99"),
+        (long, None, None),
+        (quoted, None, None),
+    }

@@ -6,11 +6,11 @@ from addrloom.functions import ranks, text
 @pytest.mark.parametrize(
     "address, postcode, expected",
     [
-        ("1, HIGH STREET, CF11 9PX", "CF11 9PX", "1, HIGH STREET"),
-        ("1, HIGH STREET, , CF11 9PX", "CF11 9PX", "1, HIGH STREET"),
-        ("1, HIGH STREET CF11 9PX", "CF11 9PX", "1, HIGH STREET CF11 9PX"),
-        ("1, HIGH STREET, CF11 9PX", None, "1, HIGH STREET, CF11 9PX"),
-        (None, "CF11 9PX", None),
+        ("1, HIGH STREET, ZZ9 4AB", "ZZ9 4AB", "1, HIGH STREET"),
+        ("1, HIGH STREET, , ZZ9 4AB", "ZZ9 4AB", "1, HIGH STREET"),
+        ("1, HIGH STREET ZZ9 4AB", "ZZ9 4AB", "1, HIGH STREET ZZ9 4AB"),
+        ("1, HIGH STREET, ZZ9 4AB", None, "1, HIGH STREET, ZZ9 4AB"),
+        (None, "ZZ9 4AB", None),
     ],
 )
 def test_strip_postcode(value, address, postcode, expected):
