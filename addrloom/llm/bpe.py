@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from addrloom.llm.rows import mapped, texts, utf8
 
-# Distinct pieces that a worker remembers.
-REMEMBERED = 1 << 20
+# Distinct chunks that a worker remembers; of pieces, half of that.
+REMEMBERED = 1 << 19
 
 
 def default_path() -> str:
@@ -168,33 +168,41 @@ def merge(piece: bytes, vocabulary: Vocabulary) -> list[int]:
 
 
 class Remembered(dict):
-    """What a function gave for each piece, up to a number of pieces; then it starts anew."""
+    """What a function gave for each piece.
+
+    When full, the pieces become the older half, from which those that come again are taken
+    over, and a new half begins; so frequent pieces stay.
+    """
 
     def __init__(self, make: Callable, most: int = REMEMBERED) -> None:
         super().__init__()
-        self.make, self.most = make, most
+        self.make, self.most, self.older = make, most // 2, {}
 
     def __missing__(self, piece):
-        made = self.make(piece)
-        if len(piece) <= 64:  # a long piece hardly comes again
-            if len(self) >= self.most:
-                self.clear()
-            self[piece] = made
+        made = self.older.get(piece)
+        if made is None:
+            made = self.make(piece)
+            if len(piece) > 64:  # a long piece hardly comes again
+                return made
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        self[piece] = made
         return made
 
 
 class Encoder:
     """Encodes whole texts to packed ids (little-endian unsigned 32-bit)."""
 
-    def __init__(self, content: str, piece_ids: Callable[[bytes], list[int]] | None = None) -> None:
+    def __init__(self, content: str, chunk_ids: Callable[[str], list[int]] | None = None) -> None:
         self.vocabulary = Vocabulary(content)
-        ids = piece_ids or (lambda piece: merge(piece, self.vocabulary))
-        pieces = Remembered(lambda piece: self.packed(ids(piece.encode())))
-        split = splitter().findall
-        self.piece = pieces.__getitem__
-        self.split = split
-        chunk = Remembered(lambda chunk: b"".join(map(self.piece, split(chunk))))
-        self.chunk = chunk.__getitem__
+        pieces = Remembered(lambda piece: self.packed(merge(piece.encode(), self.vocabulary)), REMEMBERED // 2)
+        split, piece = splitter().findall, pieces.__getitem__
+        if chunk_ids:
+            self.whole = lambda text: self.packed(chunk_ids(text))
+        else:
+            self.whole = lambda text: b"".join(map(piece, split(text)))
+        self.chunk = Remembered(self.whole).__getitem__
 
     @staticmethod
     def packed(ids: list[int]) -> bytes:
@@ -207,7 +215,7 @@ class Encoder:
                 out.append(self.packed([special]))
                 continue
             parts = chunks(segment)
-            out.append(b"".join(map(self.piece, self.split(segment)) if parts is None else map(self.chunk, parts)))
+            out.append(self.whole(segment) if parts is None else b"".join(map(self.chunk, parts)))
         return b"".join(out)
 
     def decode(self, packed: bytes) -> str:
@@ -216,6 +224,15 @@ class Encoder:
         return b"".join(map(self.vocabulary.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
+def library_ids(vocabulary: Vocabulary) -> Callable[[str], list[int]]:
+    """The tiktoken library's encoding by the same ranks and the same split."""
+    import tiktoken
+
+    specials = set(vocabulary.special.values())
+    ranks = {token: i for i, token in vocabulary.bytes_of.items() if i not in specials}
+    return tiktoken.Encoding("ranks", pat_str=splitter().pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+
 @functools.lru_cache(2)
 def encoder(content: str) -> Encoder:
     """One per worker process, which keeps what it has learnt between tasks."""

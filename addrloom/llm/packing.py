@@ -3,7 +3,8 @@
 A task takes its pieces one after another. Open bins lie on stacks by free space, and a
 bitset of one bit per size tells which stacks hold any: shifting it by the piece's length
 and taking the lowest bit finds the fullest bin that fits. At most a fixed number of bins
-is open; to open another one the fullest is closed.
+is open; to open another one the fullest is closed. Of every so many pieces the longest
+come first, which leaves less space in the bins.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from addrloom.llm.bpe import Encoder, read_vocabulary
+from addrloom.llm.bpe import Encoder, Vocabulary, library_ids, read_vocabulary
 from addrloom.llm.rows import mapped, texts, utf8
 from addrloom.operators.staging import staged
 
@@ -29,14 +30,8 @@ PIECES_PER_TASK = 500_000
 
 @functools.lru_cache(2)
 def fast_encoder(content: str) -> Encoder:
-    """An encoder that leaves unknown pieces to the tiktoken library, by the same ranks."""
-    import tiktoken
-
-    own = Encoder(content)
-    specials = set(own.vocabulary.special.values())
-    ranks = {token: i for i, token in own.vocabulary.bytes_of.items() if i not in specials}
-    library = tiktoken.Encoding("ranks", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
-    return Encoder(content, lambda piece: library.encode_ordinary(piece.decode()))
+    """An encoder that leaves unknown chunks to a library."""
+    return Encoder(content, library_ids(Vocabulary(content)))
 
 
 class OpenBins:
@@ -118,7 +113,12 @@ def pack(pieces: DataFrame, size: int = SEQUENCE, open_bins: int = OPEN_BINS, pi
         bins = OpenBins(size, open_bins)
         for batch in batches:
             base = batch.column("task")[0].as_py() << 40 if batch.num_rows else 0
-            placed = [bins.put(length) for length in batch.column("length").to_pylist()]
+            lengths = batch.column("length").to_pylist()
+            placed: list = [None] * len(lengths)
+            for start in range(0, len(lengths), open_bins):
+                block = range(start, min(start + open_bins, len(lengths)))
+                for i in sorted(block, key=lambda i: -lengths[i]):
+                    placed[i] = bins.put(lengths[i])
             kept = [batch.column(c) for c in given]
             yield pa.RecordBatch.from_arrays(
                 [*kept, pa.array([base + n for n, _ in placed], pa.int64()), pa.array([o for _, o in placed], pa.int64())], names

@@ -139,6 +139,6 @@ def repetition_measures(
 def keep_by_repetition(docs: DataFrame, text_col: str = "text", limits: RepetitionLimits | None = None) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their columns as they are."""
     limits = limits or RepetitionLimits()
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[text_col].cast("binary").alias("data"))
-    judged = mapped(rows, MEASURES, lambda data: measure(data, limits), ["row"])
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    judged = mapped(rows, MEASURES, lambda data: measure(data, limits), ["row"], f"row.{text_col}")
     return judged.where("kept").select("row.*")

@@ -26,19 +26,24 @@ def utf8(column: str = "text") -> Column:
 def mapped(df: DataFrame, columns: str, row: Callable[[bytes], tuple], keep: list[str], data: str = "data") -> DataFrame:
     """Add ``columns`` that ``row`` makes from the bytes in ``data``; ``keep`` stays, ``data`` goes.
 
-    Texts pass as Arrow buffers, one at a time, and only the results are gathered per batch.
+    ``data`` may also name a field of a kept struct, as in ``row.text``, so that texts pass
+    once; a null one is empty. Only the results are gathered per batch.
     """
+    source, _, field = data.partition(".")
     schema = f"{', '.join(f'`{c}` {df.schema[c].dataType.simpleString()}' for c in keep)}, {columns}"
     added = to_arrow_schema(StructType.fromDDL(columns))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [row(value.as_py()) for value in batch.column(data)]
+            values = batch.column(source)
+            values = values.field(field) if field else values
+            values = values.cast(pa.binary()) if pa.types.is_string(values.type) else values
+            made = [row(value.as_py() or b"") for value in values]
             results = list(zip(*made, strict=True)) or [()] * len(added)
             arrays = [pa.array(list(r), f.type) for r, f in zip(results, added, strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *arrays], [*keep, *added.names])
 
-    return df.select(*keep, data).mapInArrow(run, schema)
+    return df.select(*dict.fromkeys([*keep, source])).mapInArrow(run, schema)
 
 
 def find_library(spark: SparkSession) -> None:

@@ -196,8 +196,8 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", length_col: str | No
 
     ``length_col``, if given, is set to the new number of characters.
     """
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[text_col].isNull().alias("missing"), F.coalesce(docs[text_col], F.lit("")).cast("binary").alias("data"))
-    clean = mapped(rows, "clean string", redact, ["row", "missing"])
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[text_col].isNull().alias("missing"))
+    clean = mapped(rows, "clean string", redact, ["row", "missing"], f"row.{text_col}")
     text = F.when(~F.col("missing"), F.col("clean"))
     made = {text_col: text} | ({length_col: F.when(F.col("missing") | (text == F.col("row")[text_col]), F.col("row")[length_col]).otherwise(F.length(text)).cast(docs.schema[length_col].dataType)} if length_col else {})
     return clean.select(*[made.get(c, F.col("row")[c]).alias(c) for c in docs.columns])

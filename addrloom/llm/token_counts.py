@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from addrloom.llm.bpe import Remembered, Vocabulary, read_vocabulary, splitter
+from addrloom.llm.bpe import Remembered, Vocabulary, library_ids, read_vocabulary, splitter
 from addrloom.llm.rows import mapped, texts, utf8
 
 LIMIT = 1024
@@ -27,13 +27,9 @@ class Lengths:
     """Numbers of tokens by pre-token: the frequent ones, then those the worker has met."""
 
     def __init__(self, content: str, frequent: tuple[str, bytes]) -> None:
-        import tiktoken
-
         self.vocabulary = Vocabulary(content)
-        specials = set(self.vocabulary.special.values())
-        ranks = {token: i for i, token in self.vocabulary.bytes_of.items() if i not in specials}
-        library = tiktoken.Encoding("ranks", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
-        self.learnt = Remembered(lambda piece: len(library.encode_ordinary(piece)))
+        ids = library_ids(self.vocabulary)
+        self.learnt = Remembered(lambda piece: len(ids(piece)))
         pieces, lengths = frequent
         self.frequent = dict(zip(pieces.split("\0"), lengths, strict=False)) if lengths else {}
         self.split = splitter().findall
