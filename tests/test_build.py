@@ -1,4 +1,5 @@
 import zipfile
+from uuid import uuid4
 
 import pytest
 
@@ -90,10 +91,11 @@ def test_csv_folder(spark, tmp_path):
 def jobs_of(spark, call):
     """The result of a call and how many Spark jobs it ran."""
     context = spark.sparkContext
-    context.setJobGroup(f"counted-{id(call)}", "")
+    group = uuid4().hex
+    context.setJobGroup(group, "")
     try:
         result = call()
-        return result, len(context.statusTracker().getJobIdsForGroup(f"counted-{id(call)}"))
+        return result, len(context.statusTracker().getJobIdsForGroup(group))
     finally:
         context.setLocalProperty("spark.jobGroup.id", None)
 
