@@ -16,6 +16,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from addrloom.llm.bpe import Encoder, Vocabulary, library_ids, read_vocabulary
 from addrloom.llm.rows import mapped, texts, utf8
@@ -124,9 +125,8 @@ def pack(pieces: DataFrame, size: int = SEQUENCE, open_bins: int = OPEN_BINS, pi
                 [*kept, pa.array([base + n for n, _ in placed], pa.int64()), pa.array([o for _, o in placed], pa.int64())], names
             )
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    in_order = dealt.sortWithinPartitions("dealt", *pieces.columns)
-    return in_order.mapInArrow(run, f"{schema}, sequence_id bigint, offset bigint")
+    schema = StructType([*pieces.schema.fields, *StructType.fromDDL("sequence_id bigint, offset bigint").fields])
+    return dealt.sortWithinPartitions("dealt", *pieces.columns).mapInArrow(run, schema)
 
 
 def packed_sequences(

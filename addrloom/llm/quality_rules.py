@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from addrloom.llm.rows import mapped, texts
+from addrloom.llm.rows import mapped, texts, whole_row
 
 _BLANK = b" \t\n\r\x0b\x0c"
 _NOT_FIRST_BYTES = bytes(range(0x80, 0xC0))
@@ -139,6 +139,5 @@ def repetition_measures(
 def keep_by_repetition(docs: DataFrame, text_col: str = "text", limits: RepetitionLimits | None = None) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their columns as they are."""
     limits = limits or RepetitionLimits()
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-    judged = mapped(rows, MEASURES, lambda data: measure(data, limits), ["row"], f"row.{text_col}")
+    judged = mapped(docs.select(whole_row(docs)), MEASURES, lambda data: measure(data, limits), ["row"], f"row.{text_col}")
     return judged.where("kept").select("row.*")

@@ -18,6 +18,11 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All columns, whatever their names, as the one column ``row``."""
+    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]).alias("row")
+
+
 def utf8(column: str = "text") -> Column:
     """The text's UTF-8 bytes; a null text is an empty one."""
     return F.coalesce(F.col(column), F.lit("")).cast("binary")
@@ -30,8 +35,8 @@ def mapped(df: DataFrame, columns: str, row: Callable[[bytes], tuple], keep: lis
     once; a null one is empty. Only the results are gathered per batch.
     """
     source, _, field = data.partition(".")
-    schema = f"{', '.join(f'`{c}` {df.schema[c].dataType.simpleString()}' for c in keep)}, {columns}"
-    added = to_arrow_schema(StructType.fromDDL(columns))
+    new = StructType.fromDDL(columns)
+    schema, added = StructType([*(df.schema[c] for c in keep), *new.fields]), to_arrow_schema(new)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

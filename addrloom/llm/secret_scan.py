@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from addrloom.llm.rows import mapped, texts, utf8
+from addrloom.llm.rows import mapped, texts, utf8, whole_row
 
 # Kinds in their order, their patterns and least lengths.
 KINDS = ("assign", "access", "hex", "literal")
@@ -196,7 +196,7 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", length_col: str | No
 
     ``length_col``, if given, is set to the new number of characters.
     """
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[text_col].isNull().alias("missing"))
+    rows = docs.select(whole_row(docs), docs[text_col].isNull().alias("missing"))
     clean = mapped(rows, "clean string", redact, ["row", "missing"], f"row.{text_col}")
     text = F.when(~F.col("missing"), F.col("clean"))
     made = {text_col: text} | ({length_col: F.when(F.col("missing") | (text == F.col("row")[text_col]), F.col("row")[length_col]).otherwise(F.length(text)).cast(docs.schema[length_col].dataType)} if length_col else {})

@@ -4,7 +4,7 @@ from addrloom.llm.rows import find_library
 
 SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars long, kept boolean, row string, data string, "
-    "fp long, digest string, key string, pieces string, own_id long, bytes string, spans string, record struct<text:string>"
+    "fp long, digest string, key string, pieces string, own_id long, bytes string, spans string, record struct<text:string>, `odd name.x` string"
 )
 
 
@@ -18,7 +18,7 @@ def document(doc_id, text):
     odd = isinstance(doc_id, int) and doc_id % 2
     return (
         doc_id, text, "en" if odd else None, "s" if odd else None, len(text) if text is not None else None,
-        *((True, "r", "d", 1, "x", "k", "p", 5, "b", "s", ("inner",)) if odd else (None,) * 11),
+        *((True, "r", "d", 1, "x", "k", "p", 5, "b", "s", ("inner",), "o") if odd else (None,) * 12),
     )
 
 
