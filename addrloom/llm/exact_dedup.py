@@ -1,182 +1,69 @@
 """Exact dedup by two passes over a Bloom filter that knows what was set twice.
 
-The first pass sets each text hash's bits in two bitmaps per task: ``once`` and, for a bit
-that is already set, ``twice``. Bitmaps merge bit by bit without order:
-``twice = twice1 | twice2 | (once1 & once2)``. Blocks of them travel compressed, so a task
-sends some bits a row. In the second pass a hash with any bit not set twice is alone:
-its row passes straight through. Only the others, true repeats and a few false ones, are
-shuffled and grouped exactly. Bits that two different hashes share only add false ones.
+The first pass sets the bits of each text's hash; see ``bloom`` for how the tasks' bitmaps
+merge. In the second pass a hash with any bit not set twice is alone: its row passes
+straight through. Only the others, true repeats and a few false ones, are shuffled and
+grouped exactly. Bits that two different hashes share only add false ones.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from addrloom.llm.rows import texts
+from addrloom.llm.bloom import MAX_FILTER_BYTES, make_filter, with_maybe
+from addrloom.llm.rows import texts, whole_row
 from addrloom.operators.staging import staged
 
-BITS_PER_ROW = 16
-# The filter's size follows the rows up to this bound, as it is broadcast. Beyond it more
-# rows take the exact way; the result is the same.
-MAX_FILTER_BYTES = 64 << 20
-_BLOCK_BYTES = 1 << 17
-_HASHES = 2
-
-
-def _places(digests: pa.Array, bits: int) -> np.ndarray:
-    """The bit numbers of each digest, one row per hash function."""
-    raw = np.frombuffer(b"".join(digests.to_pylist()), np.uint8).reshape(len(digests), -1)
-    numbers = raw[:, : 8 * _HASHES].copy().view("<u8")
-    return (numbers % np.uint64(bits)).astype(np.int64).T
-
-
-def _or_into(once: np.ndarray, twice: np.ndarray, places: np.ndarray) -> None:
-    """Set bits, and in ``twice`` those that were set before or come again."""
-    numbers, counts = np.unique(places, return_counts=True)
-    masks = (np.uint8(1) << (numbers & 7).astype(np.uint8)).astype(np.uint8)
-    at = numbers >> 3
-    again = (counts > 1) | ((once[at] & masks) > 0)
-    np.bitwise_or.at(twice, at[again], masks[again])
-    np.bitwise_or.at(once, at, masks)
-
-
-def _set_bits(bits: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        once, twice = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
-        any_rows = False
-        for batch in batches:
-            # The functions have halves of their own: a row must not meet itself.
-            for part, places in enumerate(_places(batch.column("digest"), bits // _HASHES)):
-                _or_into(once, twice, places + part * (bits // _HASHES))
-            any_rows |= batch.num_rows > 0
-        packer = zstandard.ZstdCompressor(level=1)
-        for start in range(0, bits // 8 if any_rows else 0, _BLOCK_BYTES):
-            block = once[start : start + _BLOCK_BYTES]
-            if block.any():
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "block": pa.array([start // _BLOCK_BYTES], pa.int64()),
-                        "once": pa.array([packer.compress(block.tobytes())], pa.binary()),
-                        "twice": pa.array([packer.compress(twice[start : start + _BLOCK_BYTES].tobytes())], pa.binary()),
-                    }
-                )
-
-    return run
-
-
-def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Merge the blocks of a number, which come one after another."""
-    packer, opener = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
-    number, once, twice = None, None, None
-
-    def done() -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict(
-            {"block": pa.array([number], pa.int64()), "twice": pa.array([packer.compress(twice.tobytes())], pa.binary())}
-        )
-
-    for batch in batches:
-        for block, a, b in zip(*(batch.column(n).to_pylist() for n in ("block", "once", "twice")), strict=True):
-            new_once, new_twice = (np.frombuffer(opener.decompress(x), np.uint8) for x in (a, b))
-            if block != number:
-                if number is not None and twice.any():
-                    yield done()
-                number, once, twice = block, new_once.copy(), new_twice.copy()
-            else:
-                twice |= new_twice | (once & new_once)
-                once |= new_once
-    if number is not None and twice.any():
-        yield done()
+_DIGEST = "unhex(sha2(coalesce(text, ''), 256)) AS digest"
 
 
 def possibly_repeated(digests: DataFrame, rows: int, max_filter_bytes: int = MAX_FILTER_BYTES) -> DataFrame:
-    """Add ``maybe``: whether another row may have the same ``digest`` (32 bytes, not null).
-
-    A false one has no equal for sure. ``rows`` only steers the filter's size.
-    """
-    spark = digests.sparkSession
-    wanted = max(8 * _BLOCK_BYTES * _HASHES, BITS_PER_ROW * rows)
-    bits = min(1 << (wanted - 1).bit_length(), 8 * max_filter_bytes)
-    blocks = digests.select("digest").mapInArrow(_set_bits(bits), "block bigint, once binary, twice binary")
-    merged = blocks.repartition("block").sortWithinPartitions("block").mapInArrow(_merge, "block bigint, twice binary")
-    filled = spark.sparkContext.broadcast([tuple(row) for row in merged.collect()])
+    """Add ``maybe``: whether another row may have the same ``digest``; false is sure."""
+    return with_maybe(digests, make_filter(digests, rows, "twice", max_filter_bytes))
 
-    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        opener = zstandard.ZstdDecompressor()
-        twice = np.zeros(bits // 8, np.uint8)
-        for number, packed in filled.value:
-            block = np.frombuffer(opener.decompress(packed), np.uint8)
-            twice[number * _BLOCK_BYTES : number * _BLOCK_BYTES + len(block)] = block
-        for batch in batches:
-            maybe = np.ones(batch.num_rows, bool)
-            if batch.num_rows:
-                for part, places in enumerate(_places(batch.column("digest"), bits // _HASHES)):
-                    places = places + part * (bits // _HASHES)
-                    maybe &= (twice[places >> 3] >> (places & 7).astype(np.uint8)) & 1 > 0
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(maybe)], [*batch.schema.names, "maybe"])
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in digests.schema)
-    return digests.mapInArrow(test, f"{fields}, maybe boolean")
 
+def exact_groups(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_filter_bytes: int = MAX_FILTER_BYTES
+) -> DataFrame:
+    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
 
-def _decided(docs: DataFrame, id_col: str, text_col: str, max_filter_bytes: int) -> DataFrame:
-    """Per row: doc_id, digest, keep_id, group_size, kept; the texts are read once."""
-    hashed = texts(docs, id_col, text_col).selectExpr(
-        "doc_id", "monotonically_increasing_id() AS row_number", "unhex(sha2(coalesce(text, ''), 256)) AS digest"
-    )
-    hashed = staged(hashed)
+    Equal texts form a group and its largest doc_id stays; a null text is an empty one, and
+    a null id is smaller than any. Of rows that repeat id and text one is kept. An empty
+    table gives an empty result. The texts are read once; what goes on is their hashes.
+    """
+    hashed = staged(texts(docs, id_col, text_col).selectExpr("doc_id", "monotonically_increasing_id() AS row_number", _DIGEST))
     tested = staged(possibly_repeated(hashed, hashed.count(), max_filter_bytes))
     alone = tested.where("NOT maybe").selectExpr(
-        "doc_id", "digest", "doc_id AS keep_id", "1L AS group_size", "true AS kept"
+        "doc_id", "doc_id AS keep_id", "1L AS group_size", "true AS kept", "lower(hex(digest)) AS text_sha256"
     )
     shuffled = tested.where("maybe")
     groups = shuffled.groupBy("digest").agg(
         F.max(F.struct("doc_id", "row_number")).alias("stays"), F.count("*").alias("group_size")
     )
     grouped = shuffled.join(groups, "digest").selectExpr(
-        "doc_id", "digest", "stays.doc_id AS keep_id", "group_size", "row_number = stays.row_number AS kept"
+        "doc_id",
+        "stays.doc_id AS keep_id",
+        "group_size",
+        "row_number = stays.row_number AS kept",
+        "lower(hex(digest)) AS text_sha256",
     )
     return alone.union(grouped)
 
 
-def exact_groups(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_filter_bytes: int = MAX_FILTER_BYTES
-) -> DataFrame:
-    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
-
-    Equal texts form a group and its largest doc_id stays; a null text is an empty one, and
-    a null id is smaller than any. Of rows that repeat id and text one is kept. An empty
-    table gives an empty result.
-    """
-    return _decided(docs, id_col, text_col, max_filter_bytes).selectExpr(
-        "doc_id", "keep_id", "group_size", "kept", "lower(hex(digest)) AS text_sha256"
-    )
-
-
 def drop_exact_copies(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_filter_bytes: int = MAX_FILTER_BYTES
 ) -> DataFrame:
     """The rows of ``docs`` that stay, with their columns as they are.
 
-    Rows of texts without a copy are not shuffled: they meet a list of the copied texts'
-    hashes, in which they are not. Rows that repeat id and text go through one more step.
+    The texts are read twice, for the filter and with it. Rows of texts without a copy pass
+    straight through. Of the others a map task sends on one per text at most, so that a
+    crowded text is a row per task.
     """
-    decided = staged(_decided(docs, id_col, text_col, max_filter_bytes).where("group_size > 1"))
-    stays = decided.groupBy("digest").agg(
-        F.max("keep_id").alias("keep_id"), F.count_if(F.expr("doc_id <=> keep_id")).alias("ties")
-    )
-    stays = staged(stays.selectExpr("digest AS own_digest", "keep_id AS own_keep_id", "ties AS own_ties"))
-    row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
-    tagged = docs.select(row, docs[id_col].alias("id"), F.unhex(F.sha2(F.coalesce(docs[text_col], F.lit("")), 256)).alias("digest"))
-    met = tagged.join(stays, F.col("digest") == F.col("own_digest"), "left")
-    left = met.where("own_digest IS NULL OR (id <=> own_keep_id)")
-    if stays.where("own_ties > 1").isEmpty():
-        return left.select("row.*")
-    once = left.where("coalesce(own_ties, 1) = 1").select("row")
-    tied = left.where("own_ties > 1").dropDuplicates(["digest"]).select("row")
-    return once.union(tied).select("row.*")
+    columns = texts(docs, id_col, text_col).selectExpr(_DIGEST)
+    made = make_filter(columns, docs.count(), "twice", max_filter_bytes)
+    rows = docs.select(whole_row(docs), docs[id_col].alias("id"), docs[text_col].alias("text")).selectExpr("row", "id", _DIGEST)
+    tested = with_maybe(rows, made)
+    largest = Window.partitionBy("digest").orderBy(F.desc_nulls_last("id"))
+    stays = tested.where("maybe").withColumn("place", F.row_number().over(largest)).where("place = 1")
+    return tested.where("NOT maybe").select("row").union(stays.select("row")).select("row.*")

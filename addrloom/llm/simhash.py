@@ -18,8 +18,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from addrloom.llm.bloom import make_filter, with_maybe
 from addrloom.llm.components import components
-from addrloom.llm.rows import mapped, texts, utf8
+from addrloom.llm.rows import mapped, texts, utf8, whole_row
 from addrloom.operators.staging import staged
 
 WORDS = 4
@@ -219,15 +220,17 @@ def keep_class_representatives(docs: DataFrame, id_col: str = "doc_id", text_col
     """The rows of ``docs`` that represent their class, with their columns as they are.
 
     It is the row of the class's smallest id; a class without ids, and one whose smallest id
-    is repeated, keeps one row. Rows are written once with their fingerprints and then meet
-    the list of rows that go.
+    is repeated, keeps one row. Rows are written once with their fingerprints. Those that a
+    Bloom filter of the rows that go does not know pass straight through; only the rest is
+    shuffled, to meet the list itself.
     """
-    row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
-    rows = docs.select(row, docs[id_col].alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).cast("binary").alias("data"))
-    tagged = mapped(rows, "fp bigint", fingerprint, ["row", "doc_id"])
-    tagged = staged(tagged.withColumn("row_number", F.monotonically_increasing_id()))
+    tagged = mapped(docs.select(whole_row(docs), docs[id_col].alias("doc_id")), "fp bigint", fingerprint, ["row", "doc_id"], f"row.{text_col}")
+    tagged = tagged.withColumn("row_number", F.monotonically_increasing_id())
+    tagged = staged(tagged.withColumn("digest", F.unhex(F.md5(F.col("row_number").cast("string")))))
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_number")).alias("least")
     nodes = tagged.groupBy("fp").agg(least)
     stays = _rooted(nodes, tile).groupBy("root").agg(F.min("least").alias("least")).select("least.row_number")
-    goes = tagged.select("row_number").join(stays, "row_number", "left_anti")
-    return tagged.join(goes, "row_number", "left_anti").select("row.*")
+    goes = staged(tagged.select("row_number", "digest").join(stays, "row_number", "left_anti"))
+    tested = with_maybe(tagged.select("row", "row_number", "digest"), make_filter(goes, goes.count(), "once"))
+    checked = tested.where("maybe").join(goes.select("row_number"), "row_number", "left_anti")
+    return tested.where("NOT maybe").select("row").union(checked.select("row")).select("row.*")

@@ -3,7 +3,8 @@ from collections import defaultdict
 
 import pytest
 
-from addrloom.llm.exact_dedup import MAX_FILTER_BYTES, drop_exact_copies, exact_groups, possibly_repeated
+from addrloom.llm.bloom import MAX_FILTER_BYTES
+from addrloom.llm.exact_dedup import drop_exact_copies, exact_groups, possibly_repeated
 
 
 def groups_of(rows):
