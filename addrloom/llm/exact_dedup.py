@@ -41,6 +41,8 @@ def exact_groups(
     groups = shuffled.groupBy("digest").agg(
         F.max(F.struct("doc_id", "row_number")).alias("stays"), F.count("*").alias("group_size")
     )
+    # Written, so that the join has two plain exchanges and Spark can split a crowded digest.
+    groups = staged(groups)
     grouped = shuffled.join(groups, "digest").selectExpr(
         "doc_id",
         "stays.doc_id AS keep_id",
