@@ -32,6 +32,8 @@ ANCHOR = 40
 BLOCKS_PER_ANCHOR = 8_192
 # Bytes that are hashed, or sorted, at a time.
 BUFFER = 1 << 20
+# Bytes, and the terminator, as symbols of 9 bits in a word of 64.
+SYMBOLS = 7
 
 _PLACE_BITS = np.uint64((1 << 24) - 1)
 
@@ -156,28 +158,35 @@ def _blocks(length: int, anchor: int):
 
 
 def suffix_array(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order of the suffixes at ``starts`` and the common prefix of each with the one before."""
-    n, longest = len(data), int((ends - starts).max())
-    padded = np.concatenate([data, np.zeros(2 * longest + 24, np.uint8)])
+    """Order of the suffixes at ``starts`` and the common prefix of each with the one before.
+
+    A suffix stops at its end and sorts before those that go on from there: bytes become
+    symbols above a terminator, 0, that stands after each end. Bytes of the next text would
+    put it among suffixes that have more in common with each other than with it.
+    """
+    longest, stops = int((ends - starts).max()), np.unique(ends)
+    symbols = np.insert(data.astype(np.uint64) + np.uint64(1), stops, 0)
+    n, own = len(symbols), starts + np.searchsorted(stops, starts, "right")
+    padded = np.concatenate([symbols, np.zeros(2 * longest + 24, np.uint64)])
     words = np.zeros(n + 2 * longest + 16, np.uint64)
-    for j in range(8):
-        words |= padded[j : j + len(words)].astype(np.uint64) << np.uint64(56 - 8 * j)
-    ranks = {8: np.unique(words, return_inverse=True)[1].astype(np.int64)}
-    span, size = 8, len(words)
-    while 2 * span < longest:
+    for j in range(SYMBOLS):
+        words |= padded[j : j + len(words)] << np.uint64(9 * (SYMBOLS - 1 - j))
+    ranks = {SYMBOLS: np.unique(words, return_inverse=True)[1].astype(np.int64)}
+    span, size = SYMBOLS, len(words)
+    while 2 * span <= longest:
         rank = ranks[span]
         shifted = np.concatenate([rank[span:], np.full(span, rank[-1])])
         span *= 2
         ranks[span] = np.unique(rank * size + shifted, return_inverse=True)[1].astype(np.int64)
-    order = np.argsort(ranks[span][starts] * size + ranks[span][starts + span], kind="stable")
-    a, b = starts[order[:-1]], starts[order[1:]]
+    order = np.argsort(ranks[span][own] * size + ranks[span][own + span], kind="stable")
+    a, b = own[order[:-1]], own[order[1:]]
     common = np.zeros(len(a), np.int64)
     for span, rank in reversed(ranks.items()):
         common += span * (rank[a + common] == rank[b + common])
-    for _ in range(7):
+    for _ in range(SYMBOLS - 1):
         common += padded[a + common] == padded[b + common]
-    common = np.minimum(common, np.minimum(ends[order[:-1]] - a, ends[order[1:]] - b))
-    return order, np.concatenate([[0], common])
+    rest = (ends - starts)[order]
+    return order, np.concatenate([[0], np.minimum(common, np.minimum(rest[:-1], rest[1:]))])
 
 
 def maximal_repeats(common: np.ndarray, left: np.ndarray, least: int) -> list[tuple[int, int, int, int]]:

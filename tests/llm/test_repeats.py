@@ -80,6 +80,50 @@ def test_suffix_array():
         assert common[n] == next((i for i in range(min(len(x), len(y))) if x[i] != y[i]), min(len(x), len(y)))
 
 
+def covered(blocks, least):
+    gone = [np.zeros(len(b), bool) for b in blocks]
+    for block, place, length, *_ in group_rows(blocks, [len(b) - least + 1 for b in blocks], least):
+        gone[block][place : place + length] = True
+    return [bytes(np.frombuffer(b, np.uint8)[g]) for b, g in zip(blocks, gone, strict=True)]
+
+
+def test_a_block_that_ends_early_does_not_part_others():
+    assert covered([b"abcdeF", b"abcd", b"eMMM", b"abcdeZ"], 4) == [b"abcde", b"abcd", b"", b"abcde"]
+    data = b"abcdeFabcdeMMMabcdeZ"
+    starts, ends = np.array([0, 6, 14]), np.array([6, 10, 20])
+    order, common = suffix_array(np.frombuffer(data, np.uint8), starts, ends)
+    assert (order.tolist(), common.tolist()) == ([1, 0, 2], [0, 4, 5])
+
+
+def test_groups_of_blocks_that_end_anywhere_equal_brute_force():
+    rnd = random.Random(3)
+    for _ in range(1500):
+        least = rnd.randint(2, 9)
+        core = bytes(rnd.choice(b"ab\0\xff") for _ in range(30))
+        cuts = [(rnd.randint(0, 20), rnd.randint(least, 24)) for _ in range(rnd.randint(2, 7))]
+        blocks = [b for a, n in cuts if len(b := core[a : a + n] + rnd.choice([b"", b"a", b"b", b"\0"])) >= least]
+        blocks = list(dict.fromkeys(blocks))
+        count = Counter(b[i : i + least] for b in blocks for i in range(len(b) - least + 1))
+        want = []
+        for b in blocks:
+            gone = np.zeros(len(b), bool)
+            for i in range(len(b) - least + 1):
+                if count[b[i : i + least]] > 1:
+                    gone[i : i + least] = True
+            want.append(bytes(np.frombuffer(b, np.uint8)[gone]))
+        if blocks:
+            assert covered(blocks, least) == want
+
+
+def test_documents_that_end_inside_a_shared_passage(spark):
+    rnd = random.Random(4)
+    shared = "".join(rnd.choice("ab") for _ in range(1500))
+    texts = [shared[a : a + rnd.randint(20, 300)] + rnd.choice(["", "a", "b"]) for a in (rnd.randint(0, 1300) for _ in range(300))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = without_repeats(docs, length=20, anchor=8).collect()
+    assert sorted((r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in got) == sorted(brute(texts, 20))
+
+
 def test_groups_are_maximal_and_list_every_occurrence():
     core = b"the same words in every block"
     blocks = [b"1x" + core + b"abc!", b"2x" + core + b"abc?", b"3y" + core + b"zzz?", b"nothing that could be repeated here"]
