@@ -2,9 +2,10 @@
 
 The second part lexes source and configuration syntax. At every ``=``, ``:``, ``:=`` or
 ``=>`` it reads the name before and the value after: quoted or bare literals and names,
-joined by ``+``. Names that are assigned a single literal are constants; a sensitive name
-that takes its value from one, also over several steps, passes its score to the literal
-where it is written. The score adds what the name says and what the literal looks like.
+joined by ``+``. In ``name: type = value`` the value belongs to the name. A name stands for
+all that is assigned to it anywhere in the text; a sensitive name that takes its value from
+another, also over several steps, passes its score to the literals where they are written.
+The score adds what the name says and what the literal looks like.
 """
 
 from __future__ import annotations
@@ -46,6 +47,15 @@ _TERM = re.compile(
     rb"""[ \t]*(?:[rbfuRBFU]?"(?P<double>(?:[^"\\\n]|\\.)*)"|[rbfuRBFU]?'(?P<single>(?:[^'\\\n]|\\.)*)'|(?P<bare>[A-Za-z0-9+/_.=\-]+))"""
 )
 _PLUS = re.compile(rb"[ \t]*\+(?=[ \t]*[\"'A-Za-z_])")
+# ``type =`` after a colon; a colon or an equals sign ends it, so that a line is read once.
+_ANNOTATION = re.compile(
+    rb"[ \t]*+&?(?:'[a-z]++[ \t]++)?(?:mut[ \t]++)?[\[\]*&?]*+[A-Za-z_][A-Za-z0-9_.]*+(?:[ \t]*+[|,<>\[\]&?*]++[ \t]*+[A-Za-z0-9_.]*+)*+[ \t]*+=(?![=>])"
+)
+# Before the ``=`` of an annotation these are no names that take the value.
+_TYPES = frozenset(
+    b"str string String bytes bytearray byte char int Int integer Integer long float double number bool boolean any Any object Object "
+    b"None null undefined text Text CharSequence AnyStr Optional Final ClassVar List list Dict dict Set set Tuple tuple u8".split()
+)
 _IDENTIFIER = re.compile(rb"[A-Za-z_][A-Za-z0-9_.]*\Z")
 _PARTS = re.compile(rb"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 _PLACEHOLDER = re.compile(rb"(?i)x+|\*+|<.*>|\$\{.*\}|.*(?:example|changeme|placeholder|your).*|none|null|true|false")
@@ -87,53 +97,73 @@ def literal_score(value: bytes) -> float:
     return min(bits, 3.0) + mixed
 
 
+def _terms(data: bytes, at: int) -> list[tuple[str, bytes, int, int]]:
+    """The literals and names joined by ``+`` from a place on."""
+    terms = []
+    while term := _TERM.match(data, at):
+        group = term.lastgroup
+        text, (start, end) = term.group(group), term.span(group)
+        plain = group == "bare" and _IDENTIFIER.match(text)
+        terms.append(("name" if plain else "literal", text, start, end))
+        plus = _PLUS.match(data, term.end())
+        if not plus:
+            break
+        at = plus.end()
+    return terms
+
+
 def assignments(data: bytes) -> list[tuple[bytes, list[tuple[str, bytes, int, int]]]]:
     """Names and the terms assigned to them: ('literal' or 'name', text, start, end)."""
     found = []
+    annotated = -1  # the place of the last annotation's equals sign
     for operator in _OPERATOR.finditer(data):
         at = operator.end()
         if data[at : at + 1] in (b"=", b"/") or data[operator.start() - 1 : operator.start()] in (b"=", b"!", b"<", b">"):
             continue
         name = _NAME_BEFORE.search(data, max(0, operator.start() - 80), operator.start())
-        if not name:
+        if not name or (operator.start() == annotated and name.group(1) in _TYPES):
             continue
-        terms = []
-        while term := _TERM.match(data, at):
-            group = term.lastgroup
-            text, (start, end) = term.group(group), term.span(group)
-            plain = group == "bare" and _IDENTIFIER.match(text)
-            terms.append(("name" if plain else "literal", text, start, end))
-            plus = _PLUS.match(data, term.end())
-            if not plus:
-                break
-            at = plus.end()
+        terms = _terms(data, at)
+        if operator.group() == b":" and (annotation := _ANNOTATION.match(data, at)):
+            annotated = annotation.end() - 1
+            if value := _terms(data, annotation.end()):
+                found.append((name.group(1), value))
+            if len(terms) == 1 and terms[0][1] in _TYPES:
+                continue
         if terms:
             found.append((name.group(1), terms))
     return found
 
 
 def assigned_spans(data: bytes) -> list[Span]:
-    """Literals whose score, with that of the name they end up in, is high enough."""
+    """Literals whose score, with that of the name they end up in, is high enough.
+
+    A name is followed once, for the most telling of the names that take its value.
+    """
     if b"=" not in data and b":" not in data:
         return []
     pairs = assignments(data)
     constants: dict[bytes, list] = {}
     for name, terms in pairs:
-        constants[name] = terms
+        constants.setdefault(name, []).extend(terms)
+    told = sorted(((name_score(name), name, terms) for name, terms in pairs), key=lambda t: -t[0])
     found = set()
-    for name, terms in pairs:
-        said = name_score(name)
-        if said < 2:
-            continue
-        todo, seen = [(t, 0) for t in terms], {name}
-        while todo:
-            (kind, text, start, end), step = todo.pop()
-            if kind == "literal" or (text not in constants and len(terms) == 1):
-                if said + literal_score(text) >= LEAST_SCORE:
-                    found.add(Span("literal", start, end, start))
-            elif text in constants and text not in seen and step < STEPS:
-                seen.add(text)
-                todo += [(t, step + 1) for t in constants[text]]
+    for alone in (True, False):  # a word that nothing is assigned to is a literal where it is the whole value
+        seen: set[bytes] = set()
+        for said, name, terms in told:
+            if said < 2:
+                break
+            if (len(terms) == 1) != alone:
+                continue
+            todo = [t for t in terms if t[0] == "literal" or t[1] != name]
+            while todo:
+                kind, text, start, end = todo.pop()
+                if kind == "literal" or (text not in constants and alone):
+                    if said + literal_score(text) >= LEAST_SCORE:
+                        found.add(Span("literal", start, end, start))
+                elif text in constants and text not in seen:
+                    seen.add(text)
+                    todo += constants[text]
     return list(found)
 
 

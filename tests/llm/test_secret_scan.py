@@ -55,6 +55,28 @@ def test_constants_are_followed():
     assert literals("password = a\na = b\nb = a") == []
 
 
+def test_reused_names_keep_all_their_literals():
+    assert literals("KEYX = 'h7Gq!x92Lm#a'\npassword = KEYX\nKEYX = 'other'") == ["h7Gq!x92Lm#a"]
+    text = "value = 'h7Gq!x92Lm#a'\ndb_pwd = value\n\nvalue = 'Zq8$kk2;mmP1'\nauth_key = value\nvalue = title"
+    assert literals(text) == ["h7Gq!x92Lm#a", "Zq8$kk2;mmP1"]
+    assert literals("a = b\na = 'h7Gq!x92Lm#a'\nb = 'Zq8$kk2;mmP1'\nb = a\nconfig.passphrase = b") == ["h7Gq!x92Lm#a", "Zq8$kk2;mmP1"]
+
+
+def test_annotated_fields():
+    for kind in ("str", "string", "Optional[str]", "string | null", "&'static str", "Dict[str, str]", "SecretStr"):
+        text = f"db_passwd: {kind} = 'h7Gq!x92Lm#a'\ntitle: {kind} = 'nothing much'\nclient_secret: {kind} = 'Zq8$kk2;mmP1'"
+        assert literals(text) == ["h7Gq!x92Lm#a", "Zq8$kk2;mmP1"], kind
+    assert literals("def f(password: str, title: str = 'Zq8$kk2;mmP1')") == []
+    assert literals("db_passwd: str='h7Gq!x92Lm#a'\ndb_passwd2: str='Zq8$kk2;mmP1'") == ["h7Gq!x92Lm#a", "Zq8$kk2;mmP1"]
+    assert literals("note: db_pwd = 'h7Gq!x92Lm#a'") == ["h7Gq!x92Lm#a"]
+    assert literals("note: KEYX = 'h7Gq!x92Lm#a'\npassword = KEYX") == ["h7Gq!x92Lm#a"]
+
+
+def test_many_uses_of_a_reused_name():
+    text = "value = 'h7Gq!x92Lm#a'\npwd = value\n" * 20_000
+    assert len(literals(text)) == 20_000
+
+
 def test_a_literal_within_a_base_span_is_said_once():
     spans = all_spans(b"password = 'Zx81kQpw77Lm'")
     assert [s.kind for s in spans] == ["assign"]
