@@ -37,12 +37,11 @@ NAME_SCORES = {
 }
 LEAST_SCORE = 5.0
 MIN_LITERAL = 8
-# Constants followed from name to name.
-STEPS = 8
 REDACTED = b"[REDACTED]"
 
 _OPERATOR = re.compile(rb":=|=>|[=:]")
-_NAME_BEFORE = re.compile(rb"""([A-Za-z_][A-Za-z0-9_.\-]{0,63})["'\]]{0,2}[ \t]{0,8}\Z""")
+# Read backwards from the operator. Neither blanks nor names hold operators, so no byte is read for two of them.
+_NAME_BEFORE = re.compile(rb"""[ \t]*+["'\]]{0,2}([A-Za-z0-9_.\-]*[A-Za-z_])""")
 _TERM = re.compile(
     rb"""[ \t]*(?:[rbfuRBFU]?"(?P<double>(?:[^"\\\n]|\\.)*)"|[rbfuRBFU]?'(?P<single>(?:[^'\\\n]|\\.)*)'|(?P<bare>[A-Za-z0-9+/_.=\-]+))"""
 )
@@ -115,23 +114,27 @@ def _terms(data: bytes, at: int) -> list[tuple[str, bytes, int, int]]:
 def assignments(data: bytes) -> list[tuple[bytes, list[tuple[str, bytes, int, int]]]]:
     """Names and the terms assigned to them: ('literal' or 'name', text, start, end)."""
     found = []
+    backwards = data[::-1]
     annotated = -1  # the place of the last annotation's equals sign
     for operator in _OPERATOR.finditer(data):
         at = operator.end()
         if data[at : at + 1] in (b"=", b"/") or data[operator.start() - 1 : operator.start()] in (b"=", b"!", b"<", b">"):
             continue
-        name = _NAME_BEFORE.search(data, max(0, operator.start() - 80), operator.start())
-        if not name or (operator.start() == annotated and name.group(1) in _TYPES):
+        before = _NAME_BEFORE.match(backwards, len(data) - operator.start())
+        if not before:
+            continue
+        name = before.group(1)[::-1]
+        if operator.start() == annotated and name in _TYPES:
             continue
         terms = _terms(data, at)
         if operator.group() == b":" and (annotation := _ANNOTATION.match(data, at)):
             annotated = annotation.end() - 1
             if value := _terms(data, annotation.end()):
-                found.append((name.group(1), value))
+                found.append((name, value))
             if len(terms) == 1 and terms[0][1] in _TYPES:
                 continue
         if terms:
-            found.append((name.group(1), terms))
+            found.append((name, terms))
     return found
 
 

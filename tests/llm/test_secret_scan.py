@@ -77,6 +77,18 @@ def test_many_uses_of_a_reused_name():
     assert len(literals(text)) == 20_000
 
 
+def test_blanks_names_and_chains_have_no_bound():
+    assert literals(f"client_credential{' ' * 40}= 'h7Gq!x92Lm#a'\nx{' ' * 5000}= 1") == ["h7Gq!x92Lm#a"]
+    assert literals("passphrase_" + "of_the_" * 40 + "store = 'h7Gq!x92Lm#a'") == ["h7Gq!x92Lm#a"]
+    steps = "".join(f"name{i} = name{i + 1}\n" for i in range(300))
+    assert literals(f"db_pwd = name0\n{steps}name300 = 'h7Gq!x92Lm#a'") == ["h7Gq!x92Lm#a"]
+
+
+def test_long_runs_are_read_once():
+    for text in (" " * 2_000_000 + "= 1", "a" * 2_000_000 + "= 1", "9" * 2_000_000 + "= 1", ("a" * 60 + " " * 40 + ": b, ") * 10_000):
+        assert literals(text) == []
+
+
 def test_a_literal_within_a_base_span_is_said_once():
     spans = all_spans(b"password = 'Zx81kQpw77Lm'")
     assert [s.kind for s in spans] == ["assign"]
