@@ -225,9 +225,13 @@ def maximal_repeats(common: np.ndarray, left: np.ndarray, least: int) -> list[tu
     return found
 
 
-def group_rows(blocks: list[bytes], windows: list[int], least: int) -> Iterator[tuple[int, int, int, int, int]]:
+def group_rows(
+    blocks: list[bytes], windows: list[int], least: int, lefts: list[int] | None = None, every: bool = False
+) -> Iterator[tuple[int, int, int, int, int]]:
     """Occurrences in the maximal repeat groups of some blocks, each once, in its smallest
-    group: (block, place, length, group, parent group)."""
+    group: (block, place, length, group, parent group). ``lefts`` has the byte before each
+    block, or -1 where it is not known. With ``every``, a group whose occurrences all lie in
+    smaller ones names one of them again, so that its length is known."""
     sizes = np.array([len(b) for b in blocks], np.int64)
     offsets = np.concatenate([[0], np.cumsum(sizes)])
     counts = np.array(windows, np.int64)
@@ -237,7 +241,7 @@ def group_rows(blocks: list[bytes], windows: list[int], least: int) -> Iterator[
     data = np.frombuffer(b"".join(blocks), np.uint8)
     order, common = suffix_array(data, starts, offsets[owner + 1])
     before = data[np.maximum(starts - 1, 0)].astype(np.int64)
-    before[place == 0] = -1
+    before[place == 0] = -1 if lefts is None else lefts
     after = list(range(len(order) + 1))  # the next suffix without a group, at or after this one
 
     def free(i: int) -> int:
@@ -248,6 +252,9 @@ def group_rows(blocks: list[bytes], windows: list[int], least: int) -> Iterator[
 
     for number, (length, first, last, parent) in enumerate(maximal_repeats(common, before[order], least)):
         i = free(first)
+        if every and i > last:
+            at = order[first]
+            yield int(owner[at]), int(place[at]), length, number, parent
         while i <= last:
             at = order[i]
             yield int(owner[at]), int(place[at]), length, number, parent
@@ -439,7 +446,123 @@ def repeat_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return without_repeats(docs, id_col, text_col, digest=True)
 
 
-def repeat_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
-    """Occurrences in maximal repeat groups where blocks differ: see ``repeat_tables``."""
+def _cut_kinds(length: int):
+    """The bytes of the kinds of blocks that a text is asked for."""
+    names = ["anchor", "block", "copies", "blocks", "windows", "bytes"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [*[pa.int64()] * 4, pa.int32(), pa.binary()]
+        for batch in batches:
+            out = []
+            for data, asked in zip(batch.column("data"), batch.column("asked"), strict=True):
+                if not asked.is_valid:
+                    continue
+                text = data.as_py()
+                for one in asked.as_py():
+                    first, windows = one["first"], one["windows"]
+                    cut = text[first : first + windows + length - 1]
+                    out.append((one["hashes"]["anchor"], one["hashes"]["block"], one["copies"], one["blocks"], windows, cut))
+            columns = zip(*out, strict=True) if out else [()] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names)
+
+    return run
+
+
+_SUFFIXES = "anchor bigint, block bigint, copies bigint, part bigint, place int, before int, windows int, bytes binary"
+_FOUND = "anchor bigint, block bigint, part bigint, group int, parent int, place int, length int"
+
+
+def _suffixes(length: int):
+    """Each window of blocks, with what follows it in its block, dealt by the window's hash."""
+    names = [c.split()[0] for c in _SUFFIXES.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, (windows, data) in enumerate(zip(*(batch.column(n).to_pylist() for n in ("windows", "bytes")), strict=True)):
+                raw, start = np.frombuffer(data, np.uint8), np.arange(windows)
+                parts = _FIRST.strings(_FIRST.prefixes(raw), start, start + length).view(np.int64)
+                before = np.concatenate([[-1], raw[: windows - 1]]).astype(np.int32)
+                row = pa.array(np.full(windows, i))
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(c).take(row) for c in names[:3]), pa.array(parts), pa.array(start.astype(np.int32)), pa.array(before),
+                     pa.array(np.ones(windows, np.int32)), pa.array([data[k:] for k in range(windows)], pa.binary())], names
+                )
+
+    return run
+
+
+def _kind_groups(least: int):
+    """Groups of kinds of blocks, sorted by anchor and part; a kind met more than once repeats as a whole."""
+    names = [c.split()[0] for c in _SUFFIXES.split(", ")]
+
+    def solved(rows: list[tuple]) -> pa.RecordBatch:
+        both = rows + [r for r in rows if r[2] > 1]
+        found = group_rows([r[7] for r in both], [r[6] for r in both], least, [r[5] for r in both], every=True)
+        out = list(dict.fromkeys(
+            (*both[b][:2], both[b][3], group, parent, both[b][4] + place, length) for b, place, length, group, parent in found
+        ))
+        kinds = [*[pa.int64()] * 3, *[pa.int32()] * 4]
+        columns = zip(*out, strict=True) if out else [()] * len(kinds)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], [c.split()[0] for c in _FOUND.split(", ")]
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[tuple] = []
+        held = 0
+        for batch in batches:
+            for row in zip(*(batch.column(n).to_pylist() for n in names), strict=True):
+                if held >= BUFFER and (row[0], row[3]) != (waiting[-1][0], waiting[-1][3]):
+                    yield solved(waiting)
+                    waiting, held = [], 0
+                waiting.append(row)
+                held += len(row[7])
+        if waiting:
+            yield solved(waiting)
+
+    return run
+
+
+def repeat_groups(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    length: int = LENGTH,
+    anchor: int = ANCHOR,
+    blocks_per_anchor: int = BLOCKS_PER_ANCHOR,
+) -> DataFrame:
+    """All occurrences in the maximal repeat groups within blocks, each in its smallest group.
+
+    A group whose occurrences all lie in smaller ones names one of them again.
+    A group is known by anchor, part and group; those of its inner groups, which name it as
+    their parent, are its occurrences too. Equal blocks are sorted as one, or as two where
+    there are more, and then all listed. Anchors with many different blocks are dealt by
+    window, as what repeats starts with the same window. A repeat that is longer than its
+    blocks has a group in each of them; groups are not joined across blocks.
+    """
     rows = texts(docs, id_col, text_col).select("doc_id", utf8().alias("data"))
-    return repeat_tables(rows.select("doc_id", F.xxhash64("data").alias("text_hash"), "data"), length)[1]
+    rows = rows.select("doc_id", F.xxhash64("data").alias("text_hash"), "data")
+    met = staged(rows.mapInArrow(_blocks(length, anchor), _BLOCKS))
+    repeated = staged(met.groupBy("anchor").count().where("count > 1").drop("count"))
+    met = staged(met.join(repeated, "anchor"))
+    kinds = staged(
+        met.groupBy("anchor", "block").agg(F.count("*").alias("copies"), F.min(F.struct(*_KEYS, "first", "windows")).alias("one"))
+    )
+    sizes = kinds.groupBy("anchor").agg(F.count("*").alias("blocks"))
+    asked = kinds.join(sizes, "anchor").selectExpr(
+        "one.doc_id", "one.text_hash",
+        "struct(struct(anchor, block) AS hashes, copies, blocks, one.first, one.windows) AS block",
+    ).groupBy(*_KEYS).agg(F.collect_list("block").alias("asked"))
+    cut = _same_text(rows, staged(asked)).select("data", "asked", *_KEYS).dropDuplicates(_KEYS).mapInArrow(
+        _cut_kinds(length), "anchor bigint, block bigint, copies bigint, blocks bigint, windows int, bytes binary"
+    )
+    cut = staged(cut)
+    few = cut.where(F.col("blocks") <= blocks_per_anchor).selectExpr(
+        "anchor", "block", "copies", "0L AS part", "0 AS place", "-1 AS before", "windows", "bytes"
+    )
+    crowded = cut.where(F.col("blocks") > blocks_per_anchor).mapInArrow(_suffixes(length), _SUFFIXES)
+    dealt = few.union(crowded).repartition("anchor", "part").sortWithinPartitions("anchor", "part", "block", "place")
+    found = staged(dealt.mapInArrow(_kind_groups(length), _FOUND))
+    return found.join(met, ["anchor", "block"]).selectExpr(
+        "anchor", "part", "group", "parent", *_KEYS, "first + place AS start", "CAST(length AS BIGINT) AS length"
+    )

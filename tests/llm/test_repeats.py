@@ -145,3 +145,59 @@ def test_group_table(spark):
     assert found
     for r in found:
         assert r["length"] >= 200 and r["start"] + r["length"] <= len(texts[r["doc_id"]].encode())
+
+
+@pytest.mark.parametrize("length, blocks", [(200, 8192), (60, 2)])
+def test_groups_list_all_occurrences(spark, length, blocks):
+    texts = [t or "" for t in passages(length + 1, 40)]
+    texts += texts[:4] * 2 + ["z" + "the same text " * 3 + "".join(map(str, range(200)))] * 3
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    data = [t.encode() for t in texts]
+    own, inner, said = {}, {}, {}
+    for r in repeat_groups(docs, length=length, anchor=length // 4, blocks_per_anchor=blocks).collect():
+        key = (r["anchor"], r["part"], r["group"])
+        own.setdefault(key, set()).add((r["doc_id"], r["start"]))
+        said[key] = data[r["doc_id"]][r["start"] : r["start"] + r["length"]]
+        assert len(said[key]) == r["length"] >= length
+        if r["parent"] >= 0:
+            inner.setdefault((r["anchor"], r["part"], r["parent"]), set()).add(key)
+
+    def occurrences(key):
+        return own.get(key, set()).union(*(occurrences(k) for k in inner.get(key, ())))
+
+    count = Counter(b[i : i + length] for b in data for i in range(len(b) - length + 1))
+    gone = [np.zeros(len(b), bool) for b in data]
+    for key, string in said.items():
+        found = occurrences(key)
+        assert found == {(n, i) for n, b in enumerate(data) for i in range(len(b)) if b.startswith(string, i)}
+        for n, i in found:
+            gone[n][i : i + len(string)] = True
+    for b, g in zip(data, gone, strict=True):
+        want = np.zeros(len(b), bool)
+        for i in range(len(b) - length + 1):
+            if count[b[i : i + length]] > 1:
+                want[i : i + length] = True
+        assert (g == want).all()
+
+
+def test_groups_of_equal_documents(spark):
+    docs = spark.createDataFrame([(i, "".join(map(str, range(300)))) for i in range(3)], "doc_id long, text string")
+    found = repeat_groups(docs).collect()
+    assert {r["doc_id"] for r in found} == {0, 1, 2}
+
+
+def test_every_maximal_repeat_has_a_row():
+    rnd = random.Random(8)
+    for _ in range(300):
+        least = rnd.randint(2, 5)
+        blocks = list(dict.fromkeys(bytes(rnd.choice(b"ab") for _ in range(rnd.randint(least, 14))) for _ in range(rnd.randint(2, 6))))
+        places = {}
+        for n, b in enumerate(blocks):
+            for i in range(len(b)):
+                for j in range(i + least, len(b) + 1):
+                    places.setdefault(b[i:j], []).append((b[i - 1] if i else -n - 1, b[j] if j < len(b) else -n - 1))
+        want = {w for w, at in places.items() if len(at) > 1 and len({a for a, _ in at}) > 1 and len({z for _, z in at}) > 1}
+        rows = list(group_rows(blocks, [len(b) - least + 1 for b in blocks], least, every=True))
+        assert {blocks[b][place : place + length] for b, place, length, *_ in rows} == want
+        groups = {row[3] for row in rows}
+        assert len(groups) == len(want) and {row[4] for row in rows} <= groups | {-1}
