@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from addrloom.llm.alignment import alignment_counts
 from addrloom.llm.bpe import round_trip
 from addrloom.llm.exact_dedup import exact_groups
 from addrloom.llm.line_dedup import common_line_digests
+from addrloom.llm.manifest import tamper_report
 from addrloom.llm.packing import packed_sequences
 from addrloom.llm.quality_classifier import quality_scores
 from addrloom.llm.quality_rules import repetition_measures
@@ -17,6 +19,7 @@ from addrloom.llm.rows import find_library
 from addrloom.llm.secret_scan import secret_spans
 from addrloom.llm.simhash import near_duplicate_classes
 from addrloom.llm.token_counts import token_counts
+from addrloom.llm.warc import archived_pages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -39,6 +42,8 @@ _on_documents("op6_secret_scan", secret_spans)
 _on_documents("op7_line_dedup", common_line_digests)
 _on_documents("op9_repeated_passages", repeat_digests)
 _on_documents("op10_token_counts", token_counts)
+_on_documents("op11_tokenizer_alignment", alignment_counts)
+_on_documents("op12_merkle_manifest", tamper_report)
 
 
 def op8_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,6 +53,13 @@ def op8_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["op8_compression_classifier"] = op8_compression_classifier
 
+def op13_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    find_library(spark)
+    return archived_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+QUERIES["op13_warc_archives"] = op13_warc_archives
+
 _WORD = r"[^\x20\x09-\x0D]+"
 _SHARES = {5: 15, 6: 14, 7: 13, 8: 12, 9: 11, 10: 10}
 ORACLES["op1_repetition_rules"] = f"""
@@ -120,3 +132,85 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
+
+# CRC-32 bit by bit, as SQL has no such function: of a byte, then of an id's digits.
+_CRC_STEP = "CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END"
+_CRC_BYTE = f"list_reduce(range(8), lambda c, i: {_CRC_STEP}, xor(crc, byte))"
+_CRC = (
+    "xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)), "
+    f"lambda crc, byte: {_CRC_BYTE}, 4294967295), 4294967295)"
+)
+
+
+def _leaf(text: str) -> str:
+    fields = [f"CAST({c} AS VARCHAR)" for c in ("doc_id", "source", "lang", "n_chars", text)]
+    return f"sha256({' || '.join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in fields)})"
+
+
+def _tree(name: str, leaves: str) -> str:
+    """Levels of trees from leaves (grp, place, node, n), and each node's step to the next level."""
+    return f"""{name}(grp, level, place, node, n) AS (
+    SELECT grp, 0, place, node, n FROM {leaves}
+    UNION ALL
+    SELECT grp, level + 1, place // 3, sha256(string_agg(node, '' ORDER BY place)), (n + 2) // 3
+    FROM {name} WHERE n > 1 GROUP BY grp, level, n, place // 3
+), {name}_steps AS (
+    SELECT a.grp, a.level, a.place, coalesce(string_agg(b.node, '' ORDER BY b.place) FILTER (WHERE b.place < a.place), '') AS before,
+           coalesce(string_agg(b.node, '' ORDER BY b.place) FILTER (WHERE b.place > a.place), '') AS after
+    FROM {name} a JOIN {name} b ON a.grp = b.grp AND a.level = b.level AND a.place // 3 = b.place // 3 WHERE a.n > 1
+    GROUP BY ALL
+)"""
+
+
+ORACLES["op12_merkle_manifest"] = f"""
+WITH RECURSIVE rows_of AS (
+    SELECT doc_id, CASE WHEN source IS NULL THEN '' ELSE 's' || source END AS grp, {_leaf('text')} AS node,
+           CASE WHEN {_CRC} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf('text')} END AS claimed
+    FROM documents
+), leaves AS (
+    SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id, node) - 1 AS place, count(*) OVER (PARTITION BY grp) AS n FROM rows_of
+), {_tree('own', 'leaves')}, subroots AS (
+    SELECT 0 AS grp, grp AS source, node, row_number() OVER (ORDER BY encode(grp)) - 1 AS place, count(*) OVER () AS n FROM own WHERE n = 1
+), {_tree('above', 'subroots')}, paths(grp, place, level, now, before, after) AS (
+    SELECT grp, place, 0, place, NULL::VARCHAR, NULL::VARCHAR FROM leaves
+    UNION ALL
+    SELECT p.grp, p.place, p.level + 1, p.now // 3, s.before, s.after
+    FROM paths p JOIN own_steps s ON p.grp = s.grp AND p.level = s.level AND p.now = s.place
+), tops(source, level, now, before, after) AS (
+    SELECT source, 1000, place, NULL::VARCHAR, NULL::VARCHAR FROM subroots
+    UNION ALL
+    SELECT p.source, p.level + 1, p.now // 3, s.before, s.after FROM tops p JOIN above_steps s ON s.level = p.level - 1000 AND p.now = s.place
+), steps AS (
+    SELECT l.grp, l.place, row_number() OVER (PARTITION BY l.grp, l.place ORDER BY w.level) AS step, w.before, w.after
+    FROM leaves l JOIN (
+        SELECT grp, place, level, before, after FROM paths WHERE before IS NOT NULL
+        UNION ALL
+        SELECT l.grp, l.place, t.level, t.before, t.after FROM leaves l JOIN tops t ON t.source = l.grp WHERE t.before IS NOT NULL
+    ) w ON w.grp = l.grp AND w.place = l.place
+), folds(grp, place, step, node) AS (
+    SELECT grp, place, 1, claimed FROM leaves
+    UNION ALL
+    SELECT f.grp, f.place, f.step + 1, sha256(s.before || f.node || s.after)
+    FROM folds f JOIN steps s ON f.grp = s.grp AND f.place = s.place AND f.step = s.step
+), proofs AS (
+    SELECT grp, place, string_agg(before || after, '' ORDER BY step) AS siblings FROM steps GROUP BY ALL
+)
+SELECT l.doc_id, l.node AS leaf, r.node AS subroot, root.node AS root, sha256(coalesce(p.siblings, '')) AS proof_sha256,
+       f.node AS folded_root, f.node = root.node AS verified
+FROM leaves l JOIN subroots r ON r.source = l.grp JOIN above root ON root.n = 1
+JOIN (SELECT grp, place, arg_max(node, step) AS node FROM folds GROUP BY ALL) f ON f.grp = l.grp AND f.place = l.place
+LEFT JOIN proofs p ON p.grp = l.grp AND p.place = l.place
+"""
+
+ORACLES["op13_warc_archives"] = """
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN best END AS refers_to
+FROM (
+    SELECT *, payload_bytes >= 1000 AND page_id <> best AS again
+    FROM (
+        SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest,
+               max(page_id) OVER (PARTITION BY coalesce(html, '')) AS best
+        FROM pages
+    )
+)
+"""
