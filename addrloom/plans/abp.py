@@ -332,15 +332,8 @@ def business_historical(
         f"struct(status_rank, {ranks.last_updated()} AS age, {', '.join(carried)}) AS candidate",
     )
     found = best_overlapping(names, intervals, "uprn", hot, small_key, spread_from)
-    # Names go back to the answer of their query. A hot property may ask many queries, so
-    # what counts here is how many names share one.
-    query = ["query", "uprn", "from_day", "to_day"]
-    numbered = ["*", "xxhash64(uprn, from_day, to_day) AS query"]
-    names, found = names.selectExpr(*numbered), found.selectExpr(*numbered)
-    hot_queries = find_hot_keys(names.select("query"), hot.rows_per_task) if hot else NO_HOT_KEYS
-    named = lookup_join(names, found, query, hot_queries, "inner")
     return _business_variants(
-        named.selectExpr("uprn", "name", "is_legal", *[f"candidate.{column}" for column in carried]),
+        found.selectExpr("uprn", "name", "is_legal", *[f"candidate.{column}" for column in carried]),
         "BUSINESS_HISTORICAL",
     )
 
