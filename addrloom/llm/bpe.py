@@ -13,16 +13,22 @@ import re
 import struct
 import sys
 import unicodedata
+from array import array
 from collections.abc import Callable
+from itertools import islice
 from pathlib import Path
 
+import numpy as np
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from addrloom.llm.rows import mapped, texts, utf8
 
 # Distinct chunks that a worker remembers; of pieces, half of that.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 20
+# Pieces of more bytes are merged in a form that takes less memory for each.
+LONG = 4096
 
 
 def default_path() -> str:
@@ -83,16 +89,46 @@ def splitter() -> re.Pattern:
     )
 
 
-_LOOSE_BLANK = re.compile(r" (?:\s|\Z)")
+@functools.cache
+def _unlike() -> re.Pattern:
+    """Characters that the fast split, whose tables are of another version, takes for others."""
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, sys.maxunicode + 1)]))
+    kinds = [("L", r"\p{L}"), ("N", r"\p{N}")]
+    said = {c: kind for kind, pattern in kinds for c in regex.findall(pattern, every)}
+    later = {"L": LATER_LETTERS, "N": LATER_NUMBERS}
 
+    def differs(c: str) -> bool:
+        kind = unicodedata.category(c)
+        own = kind[0] if kind[0] in "LN" else next((k for k in "LN" if kind == "Cn" and _within(ord(c), later[k])), None)
+        return own != said.get(c)
 
-def chunks(text: str) -> list[str] | None:
-    """Cut before each single space, or None if a space is followed by white space.
+    return re.compile(f"[{_ranges(differs)}]")
 
-    Each cut is one the splitter makes too, so that chunks can be split on their own.
-    """
+
+@functools.cache
+def _fast_splitter() -> Callable[[str], list[str]]:
+    space = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+    return regex.compile(
+        rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{space}\p{{L}}\p{{N}}]+|[{space}]+(?![^{space}])|[{space}]+"
+    ).findall
+
+
+def split(text: str) -> list[str]:
+    """The pieces of a text, as ``splitter`` gives them."""
+    if text.isascii() or not _unlike().search(text):
+        return _fast_splitter()(text)
+    return splitter().findall(text)
+
+
+_LOOSE_BLANK = re.compile(r" (?:\s|\Z)")
+_BEFORE_A_WORD = re.compile(r"(?= \S)")
+
+
+def chunks(text: str) -> list[str]:
+    """Cut before each space that no white space follows: the splitter begins a piece there too,
+    so that chunks can be split on their own."""
     if _LOOSE_BLANK.search(text):
-        return None
+        return _BEFORE_A_WORD.split(text)
     parts = text.split(" ")
     out = [f" {part}" for part in parts[1:]]
     return [parts[0], *out] if parts[0] else out
@@ -106,16 +142,23 @@ class Vocabulary:
         letters = byte_letters()
         self.ids: dict[str, int] = file["model"]["vocab"]
         pairs = [tuple(m.split(" ", 1)) if isinstance(m, str) else tuple(m) for m in file["model"]["merges"]]
-        self.rank = {(self.ids[a], self.ids[b]): (rank, self.ids[a + b]) for rank, (a, b) in enumerate(pairs)}
+        # Per merge, by rank: the two symbols and the one made of them. A pair is one number.
+        self.left, self.right = ([self.ids[pair[i]] for pair in pairs] for i in (0, 1))
+        self.made = [self.ids[a + b] for a, b in pairs]
+        self.rank = {a << 32 | b: rank for rank, (a, b) in enumerate(zip(self.left, self.right, strict=True))}
         self.special = {t["content"]: t["id"] for t in file["added_tokens"]}
         self.first = [0] * 256
         for letter, byte in letters.items():
             self.first[byte] = self.ids[letter]
+        self.first_rank = [[self.rank.get(a << 32 | b, -1) for b in self.first] for a in self.first]
         self.bytes_of = {
             i: bytes(letters[c] for c in token) for token, i in self.ids.items() if token not in self.special
         } | {i: token.encode() for token, i in self.special.items()}
         self._special = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
 
+    def bytes_by_id(self) -> list[bytes]:
+        return [self.bytes_of.get(i, b"") for i in range(max(self.bytes_of) + 1)]
+
     def segments(self, text: str) -> list[tuple[str, int | None]]:
         """The text between special strings, and each of those with its id."""
         if not any(s in text for s in self.special):
@@ -131,96 +174,193 @@ def merge(piece: bytes, vocabulary: Vocabulary) -> list[int]:
     """Merge one piece: a heap of merge ranks over a doubly linked list of symbols.
 
     The lowest rank, the leftmost of equals, goes first. A merge leaves entries behind whose
-    symbols have changed; they are known by their pair and skipped when they come up.
+    symbols have changed; they are known by their pair and skipped when they come up. An
+    entry is one number, the rank before the place.
     """
-    rank = vocabulary.rank
+    n = len(piece)
+    if n > LONG:
+        return merge_long(piece, vocabulary)
+    rank, first_rank = vocabulary.rank.get, vocabulary.first_rank
+    heap = [found << 32 | i for i, (a, b) in enumerate(zip(piece, piece[1:])) if (found := first_rank[a][b]) >= 0]
     symbol = [vocabulary.first[b] for b in piece]
-    n = len(symbol)
-    heap = []
-    for i in range(n - 1):
-        found = rank.get((symbol[i], symbol[i + 1]))
-        if found:
-            heap.append((found[0], i, symbol[i], symbol[i + 1], found[1]))
     if not heap:
         return symbol
     heapq.heapify(heap)
+    lefts, rights, mades = vocabulary.left, vocabulary.right, vocabulary.made
     after = list(range(1, n + 1))
     before = list(range(-1, n - 1))
     pop, push = heapq.heappop, heapq.heappush
     while heap:
-        _, i, left, right, made = pop(heap)
+        entry = pop(heap)
+        found, i = entry >> 32, entry & 0xFFFFFFFF
         j = after[i]
-        if symbol[i] != left or j >= n or symbol[j] != right:
+        if symbol[i] != lefts[found] or j >= n or symbol[j] != rights[found]:
             continue
+        made = mades[found]
         symbol[i], symbol[j] = made, -1
         k = after[i] = after[j]
         if k < n:
             before[k] = i
-            found = rank.get((made, symbol[k]))
-            if found:
-                push(heap, (found[0], i, made, symbol[k], found[1]))
+            found = rank(made << 32 | symbol[k])
+            if found is not None:
+                push(heap, found << 32 | i)
         h = before[i]
         if h >= 0:
-            found = rank.get((symbol[h], made))
-            if found:
-                push(heap, (found[0], h, symbol[h], made, found[1]))
+            found = rank(symbol[h] << 32 | made)
+            if found is not None:
+                push(heap, found << 32 | h)
+    return [s for s in symbol if s >= 0]
+
+
+def merge_long(piece: bytes, vocabulary: Vocabulary) -> list[int]:
+    """As ``merge``, for long pieces: the heap holds each rank once, its places are an array.
+
+    That takes some 30 bytes for each of the piece's bytes. Places that a rank gains are put
+    in order when it comes up; a lower rank that a merge brings about goes before the rest.
+    """
+    n = len(piece)
+    rank, lefts, rights, mades = vocabulary.rank.get, vocabulary.left, vocabulary.right, vocabulary.made
+    symbol = array("i", (vocabulary.first[b] for b in piece))
+    after, before = array("q", range(1, n + 1)), array("q", range(-1, n - 1))
+    places: dict[int, array] = {}
+    heap: list[int] = []
+
+    def add(found: int, place: int) -> None:
+        if found not in places:
+            places[found] = array("q")
+            heapq.heappush(heap, found)
+        places[found].append(place)
+
+    for i in range(n - 1):
+        if (found := vocabulary.first_rank[piece[i]][piece[i + 1]]) >= 0:
+            add(found, i)
+    while heap:
+        now = heapq.heappop(heap)
+        ordered = np.sort(np.frombuffer(places.pop(now), np.int64))
+        for number, i in enumerate(map(int, ordered)):
+            j = after[i]
+            if symbol[i] != lefts[now] or j >= n or symbol[j] != rights[now]:
+                continue
+            made = mades[now]
+            symbol[i], symbol[j] = made, -1
+            k = after[i] = after[j]
+            if k < n:
+                before[k] = i
+                if (found := rank(made << 32 | symbol[k])) is not None:
+                    add(found, i)
+            h = before[i]
+            if h >= 0 and (found := rank(symbol[h] << 32 | made)) is not None:
+                add(found, h)
+            if heap and heap[0] <= now:
+                if number + 1 < len(ordered):
+                    for place in ordered[number + 1 :].tolist():
+                        add(now, place)
+                break
     return [s for s in symbol if s >= 0]
 
 
-class Remembered(dict):
-    """What a function gave for each piece.
+class Remembered:
+    """What a function gave for chunks, some of which are asked for at a time.
+
+    When full, the chunks become the older half, from which those that come again are taken
+    over, and a new half begins; so frequent chunks stay. A long one hardly comes again and
+    is made anew.
+    """
 
-    When full, the pieces become the older half, from which those that come again are taken
-    over, and a new half begins; so frequent pieces stay.
+    def __init__(self, make: Callable[[list[str]], list], most: int = REMEMBERED) -> None:
+        self.make, self.most, self.older, self.newer = make, most // 2, {}, {}
+
+    def of(self, parts: list[str]) -> list:
+        """The results for the parts, in order."""
+        if len(self.newer) >= self.most:
+            self.older, self.newer = self.newer, {}
+        known, older = self.newer, self.older
+        unknown, long = [], []
+        for part in set(parts).difference(known):
+            if part in older:
+                known[part] = older[part]
+            else:
+                unknown.append(part)
+                if len(part) > 64:
+                    long.append(part)
+        if unknown:
+            known.update(zip(unknown, self.make(unknown), strict=True))
+        found = list(map(known.__getitem__, parts))
+        for part in long:
+            del known[part]
+        return found
+
+
+def packed(ids: list[int]) -> bytes:
+    return np.array(ids, "<u4").tobytes() if len(ids) > 100 else struct.pack(f"<{len(ids)}I", *ids)
+
+
+class Together:
+    """Encodes many chunks by one call of a library, and checks the tokens' bytes.
+
+    ``joins`` tells which chunks keep their tokens when joined; where chunks end is seen from
+    the tokens' lengths. A chunk whose tokens have other bytes than itself gives None.
     """
 
-    def __init__(self, make: Callable, most: int = REMEMBERED) -> None:
-        super().__init__()
-        self.make, self.most, self.older = make, most // 2, {}
+    def __init__(self, ids: Callable[[str], list[int]], bytes_of: list[bytes], joins: Callable[[str], bool]) -> None:
+        self.ids, self.bytes_of, self.joins = ids, bytes_of, joins
+        self.lengths = np.array(list(map(len, bytes_of)), np.int64)
+
+    def one(self, chunk: str) -> bytes | None:
+        ids = self.ids(chunk)
+        return packed(ids) if b"".join(map(self.bytes_of.__getitem__, ids)) == chunk.encode() else None
 
-    def __missing__(self, piece):
-        made = self.older.get(piece)
-        if made is None:
-            made = self.make(piece)
-            if len(piece) > 64:  # a long piece hardly comes again
-                return made
-        if len(self) >= self.most:
-            self.older = dict(self)
-            self.clear()
-        self[piece] = made
-        return made
+    def __call__(self, new: list[str]) -> list[bytes | None]:
+        joined = [chunk for chunk in new if self.joins(chunk)]
+        made = dict(zip(joined, self._joined(joined), strict=True)) if joined else {}
+        return [made[chunk] if chunk in made else self.one(chunk) for chunk in new]
+
+    def _joined(self, new: list[str]) -> list[bytes | None]:
+        text = "".join(new)
+        ids = self.ids(text)
+        if b"".join(map(self.bytes_of.__getitem__, ids)) == text.encode():
+            flat = np.array(ids, "<u4")
+            ends = np.cumsum(self.lengths[flat])
+            stops = np.cumsum([len(chunk.encode()) for chunk in new])
+            last = np.searchsorted(ends, stops)
+            if (ends[last] == stops).all():
+                raw, cuts = flat.tobytes(), [0, *(4 * last + 4).tolist()]
+                return [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        return [self.one(chunk) for chunk in new]
+
+
+def begins_a_piece(chunk: str) -> bool:
+    """Whether a chunk keeps its tokens when others stand before it."""
+    return len(chunk) > 1 and chunk[0] == " " and not chunk[1].isspace()
 
 
 class Encoder:
-    """Encodes whole texts to packed ids (little-endian unsigned 32-bit)."""
-
-    def __init__(self, content: str, chunk_ids: Callable[[str], list[int]] | None = None) -> None:
-        self.vocabulary = Vocabulary(content)
-        pieces = Remembered(lambda piece: self.packed(merge(piece.encode(), self.vocabulary)), REMEMBERED // 2)
-        split, piece = splitter().findall, pieces.__getitem__
-        if chunk_ids:
-            self.whole = lambda text: self.packed(chunk_ids(text))
-        else:
-            self.whole = lambda text: b"".join(map(piece, split(text)))
-        self.chunk = Remembered(self.whole).__getitem__
-
-    @staticmethod
-    def packed(ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}I", *ids)
+    """Encodes whole texts to packed ids (little-endian unsigned 32-bit).
+
+    Chunks and pieces that a worker has met are remembered; others are merged here or, with
+    ``library``, by the tiktoken library.
+    """
+
+    def __init__(self, content: str, library: bool = False) -> None:
+        own = self.vocabulary = Vocabulary(content)
+        self._pieces = Remembered(lambda new: [packed(merge(p.encode(), own)) for p in new], REMEMBERED // 2)
+        self._chunks = Remembered(Together(library_ids(own), own.bytes_by_id(), begins_a_piece) if library else self._merged)
+
+    def _merged(self, new: list[str]) -> list[bytes]:
+        split_up = list(map(split, new))
+        pieces = iter(self._pieces.of([p for pieces in split_up for p in pieces]))
+        return [b"".join(islice(pieces, len(own))) for own in split_up]
+
+    def ordinary(self, text: str) -> bytes:
+        """The ids of a text whose special strings are text like any other."""
+        return b"".join(self._chunks.of(chunks(text)))
 
     def encode(self, text: str) -> bytes:
-        out = []
-        for segment, special in self.vocabulary.segments(text):
-            if special is not None:
-                out.append(self.packed([special]))
-                continue
-            parts = chunks(segment)
-            out.append(self.whole(segment) if parts is None else b"".join(map(self.chunk, parts)))
-        return b"".join(out)
+        return b"".join([self.ordinary(part) if special is None else packed([special]) for part, special in self.vocabulary.segments(text)])
 
-    def decode(self, packed: bytes) -> str:
+    def decode(self, ids: bytes) -> str:
         """Concatenate the vocabulary's strings; bytes that are no UTF-8 become U+FFFD."""
-        ids = struct.unpack(f"<{len(packed) // 4}I", packed)
+        ids = np.frombuffer(ids, "<u4").tolist()
         return b"".join(map(self.vocabulary.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
@@ -258,9 +398,9 @@ def round_trip(
 
     def row(data: bytes) -> tuple:
         own = encoder(content.value)
-        packed = own.encode(data.decode())
-        decoded = own.decode(packed).encode()
-        return len(packed) // 4, hashlib.sha256(packed).hexdigest(), hashlib.sha256(decoded).hexdigest()
+        ids = own.encode(data.decode())
+        decoded = own.decode(ids).encode()
+        return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()
 
     rows = texts(docs, id_col, text_col).select("doc_id", utf8().alias("data"))
     return mapped(rows, "n_tokens bigint, ids_sha256 string, decoded_sha256 string", row, ["doc_id"])
@@ -271,8 +411,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     content = read_vocabulary(docs, path)
 
     def row(data: bytes) -> tuple:
-        packed = encoder(content.value).encode(data.decode())
-        return (list(struct.unpack(f"<{len(packed) // 4}I", packed)),)
+        return (np.frombuffer(encoder(content.value).encode(data.decode()), "<u4").tolist(),)
 
     return mapped(texts(docs, id_col, text_col).select("doc_id", utf8().alias("data")), "ids array<bigint>", row, ["doc_id"])
 
@@ -282,7 +421,7 @@ def decode(tokens: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", path
     content = read_vocabulary(tokens, path)
 
     def row(ids: list[int]) -> tuple:
-        return (encoder(content.value).decode(Encoder.packed(ids)),)
+        return (encoder(content.value).decode(packed(ids)),)
 
     rows = tokens.select(
         tokens[id_col].alias("doc_id"), F.coalesce(tokens[ids_col].cast("array<bigint>"), F.array().cast("array<bigint>")).alias("data")

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from addrloom.llm.bpe import Encoder, Vocabulary, library_ids, read_vocabulary
+from addrloom.llm.bpe import Encoder, packed, read_vocabulary
 from addrloom.llm.rows import mapped, texts, utf8
 from addrloom.operators.staging import staged
 
@@ -32,7 +32,7 @@ PIECES_PER_TASK = 500_000
 @functools.lru_cache(2)
 def fast_encoder(content: str) -> Encoder:
     """An encoder that leaves unknown chunks to a library."""
-    return Encoder(content, library_ids(Vocabulary(content)))
+    return Encoder(content, library=True)
 
 
 class OpenBins:
@@ -81,14 +81,14 @@ def token_pieces(
 ) -> DataFrame:
     """``doc_id`` and its pieces as an array of (piece, start, length, ids_crc32)."""
     content = read_vocabulary(docs, path)
-    last = Encoder.packed([end])
+    last = packed([end])
 
     def row(data: bytes) -> tuple:
-        packed = fast_encoder(content.value).encode(data.decode()) + last
-        pieces = cut(len(packed) // 4, size)
+        ids = fast_encoder(content.value).encode(data.decode()) + last
+        pieces = cut(len(ids) // 4, size)
         return (
             [
-                {"piece": i, "start": start, "length": length, "ids_crc32": zlib.crc32(packed[4 * start : 4 * (start + length)])}
+                {"piece": i, "start": start, "length": length, "ids_crc32": zlib.crc32(ids[4 * start : 4 * (start + length)])}
                 for i, (start, length) in enumerate(pieces)
             ],
         )

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from addrloom.llm.bpe import Remembered, Vocabulary, library_ids, read_vocabulary, splitter
+from addrloom.llm.bpe import Remembered, Vocabulary, library_ids, read_vocabulary, split
 from addrloom.llm.rows import mapped, texts, utf8
 
 LIMIT = 1024
@@ -29,19 +29,20 @@ class Lengths:
     def __init__(self, content: str, frequent: tuple[str, bytes]) -> None:
         self.vocabulary = Vocabulary(content)
         ids = library_ids(self.vocabulary)
-        self.learnt = Remembered(lambda piece: len(ids(piece)))
+        self.learnt = Remembered(lambda new: [len(ids(piece)) for piece in new])
         pieces, lengths = frequent
         self.frequent = dict(zip(pieces.split("\0"), lengths, strict=False)) if lengths else {}
-        self.split = splitter().findall
 
     def of(self, text: str) -> int:
         total = 0
-        first, second = self.frequent.get, self.learnt.__getitem__
+        frequent = self.frequent
         for segment, special in self.vocabulary.segments(text):
             if special is not None:
                 total += 1
-            else:
-                total += sum([first(piece) or second(piece) for piece in self.split(segment)])
+                continue
+            first = list(map(frequent.get, pieces := split(segment)))
+            missed = [piece for piece, n in zip(pieces, first, strict=True) if n is None]
+            total += sum(filter(None, first)) + sum(self.learnt.of(missed))
         return total
 
 
@@ -62,8 +63,9 @@ def frequent_lengths(docs: DataFrame, content, sample_rows: int, most: int) -> t
             for value in batch.column("data"):
                 for segment, special in own.vocabulary.segments(value.as_py().decode()):
                     if special is None:
-                        counts.update(own.split(segment))
-        top = [(p, c, n) for p, c in counts.most_common(most) if "\0" not in p and (n := own.learnt[p]) < 256]
+                        counts.update(split(segment))
+        pieces = [p for p, _ in counts.most_common(most) if "\0" not in p]
+        top = [(p, counts[p], n) for p, n in zip(pieces, own.learnt.of(pieces), strict=True) if n < 256]
         columns = list(zip(*top, strict=True)) or [(), (), ()]
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(columns[0]), pa.string()), pa.array(list(columns[1]), pa.int64()), pa.array(list(columns[2]), pa.int32())],

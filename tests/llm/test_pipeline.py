@@ -4,7 +4,8 @@ import zlib
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from addrloom.llm.bpe import Encoder, default_path
+from addrloom.llm.bpe import default_path
+from addrloom.llm.bpe import packed as packed_ids
 from addrloom.llm.queries import ORACLES, QUERIES
 from checks import compare
 from tests.llm.test_packing import check_places
@@ -65,7 +66,7 @@ def test_stages_equal_brute_force(spark):
         ids = [*tokenizer.encode(d["text"], add_special_tokens=False).ids, 2]
         edges = [0, *range(len(ids) % 1024 or 1024, len(ids), 1024), len(ids)]
         for n, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
-            pieces.append((d["doc_id"], n, a, b - a, zlib.crc32(Encoder.packed(ids[a:b]))))
+            pieces.append((d["doc_id"], n, a, b - a, zlib.crc32(packed_ids(ids[a:b]))))
     packed = corpus_pipeline.STAGES[4][1](spark, docs, SMALLEST).collect()
     assert sorted(tuple(r)[:5] for r in packed) == sorted(pieces)
     check_places(packed)
