@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from addrloom.llm.bpe import Vocabulary, library_ids, read_vocabulary
+from addrloom.llm.bpe import Remembered, Together, Vocabulary, begins_a_piece, chunks, default_path, library_ids, read_vocabulary
 from addrloom.llm.rows import texts, utf8
 from addrloom.operators.staging import staged
 
@@ -51,18 +51,23 @@ class Pair:
 
         own = Vocabulary(content)
         special = set(own.special.values())
-        self.ids_a = library_ids(own)
         self.b = sentencepiece.SentencePieceProcessor(model_proto=model)
-        self.n_a, self.n_b = max(own.bytes_of) + 1, self.b.get_piece_size()
-        self.bytes_a = [own.bytes_of.get(i, b"") for i in range(self.n_a)]
-        self.bytes_b = [self._piece(i) for i in range(self.n_b)]
-        self.length_a, self.length_b = (np.array(list(map(len, each)), np.int64) for each in (self.bytes_a, self.bytes_b))
+        self.bytes_a = own.bytes_by_id()
+        self.bytes_b = [self._piece(i) for i in range(self.b.get_piece_size())]
+        self.n_a, self.n_b = len(self.bytes_a), len(self.bytes_b)
         same: dict[bytes, int] = {}
         for i, piece in enumerate(self.bytes_b):
             if piece and (piece not in same or self.b.is_byte(same[piece])):
                 same[piece] = i
         # B's id with the bytes of A's, or -1.
         self.identity = np.array([-1 if i in special else same.get(piece, -1) for i, piece in enumerate(self.bytes_a)], np.int64)
+        # Where no piece holds a space behind other characters, words can be encoded on their own.
+        self.by_words = not any(b" " in piece.lstrip(b" ") for piece in self.bytes_b)
+        a = Together(library_ids(own), self.bytes_a, begins_a_piece)
+        # B adds the space that a word begins with.
+        b = Together(lambda text: self.b.encode(text[1:]), self.bytes_b, lambda word: self.by_words and " " not in word[1:])
+        self.length_a, self.length_b = a.lengths, b.lengths
+        self.a_of, self.b_of = Remembered(a), Remembered(b)
         # The ids as text, with what follows them within a group and at an end.
         names = [str(i).encode() for i in range(max(self.n_a, self.n_b))]
         self.said = [n + mark for mark in (b",", b"|", b";") for n in names]
@@ -74,21 +79,22 @@ class Pair:
             return bytes([int(piece[3:5], 16)])
         return b"" if self.b.is_control(i) else piece.replace("▁", " ").encode()
 
-    def tokens(self, text: str) -> tuple[list[int], list[int]] | None:
-        """Ids of A and B, or None where their bytes are not a space and the text."""
+    def tokens(self, text: str) -> tuple[bytes, bytes] | None:
+        """Packed ids of A and B, or None where their bytes are not a space and the text."""
         if not text:
             return None
         spaced = " " + text
-        want, a, b = spaced.encode(), self.ids_a(spaced), self.b.encode(text)
-        if b"".join(map(self.bytes_b.__getitem__, b)) != want or b"".join(map(self.bytes_a.__getitem__, a)) != want:
-            return None
-        return a, b
+        words = [spaced]
+        if self.by_words and "  " not in spaced and spaced[-1] != " ":
+            words = [f" {word}" for word in text.split(" ")]
+        a, b = self.a_of.of(chunks(spaced)), self.b_of.of(words)
+        return None if None in a or None in b else (b"".join(a), b"".join(b))
 
-    def aligned(self, found: list[tuple[list[int], list[int]]]) -> list[tuple]:
+    def aligned(self, found: list[tuple[bytes, bytes]]) -> list[tuple]:
         """Per text: n_a, n_b, n_groups, n_links, groups_sha256, and the distinct links with
         how often each occurs: those of the identity map by A's id, the others by pair."""
-        sizes_a, sizes_b = (np.array([len(ids[i]) for ids in found], np.int64) for i in (0, 1))
-        a, b = (np.concatenate([np.array(ids[i], np.int64) for ids in found]) for i in (0, 1))
+        sizes_a, sizes_b = (np.array([len(ids[i]) // 4 for ids in found], np.int64) for i in (0, 1))
+        a, b = (np.frombuffer(b"".join([ids[i] for ids in found]), "<u4").astype(np.int64) for i in (0, 1))
         ends_a, ends_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
         # A text ends where its last tokens end; all texts are one row of bytes.
         stops = ends_a[np.cumsum(sizes_a) - 1]
@@ -160,7 +166,7 @@ def alignments(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = pair(content.value, model.value)
         for batch in batches:
-            found: list[tuple[int, tuple]] = []
+            found: list[tuple[int, tuple[bytes, bytes]]] = []
             held, start = 0, 0
 
             def aligned(end: int) -> pa.RecordBatch:
@@ -240,8 +246,6 @@ def sizes(path: str | None = None, piece_path: str | None = None) -> tuple[int,
 
 
 def _contents(path: str | None, piece_path: str | None) -> tuple[str, bytes]:
-    from addrloom.llm.bpe import default_path
-
     return Path(path or default_path()).read_text(encoding="utf-8"), Path(piece_path or default_piece_path()).read_bytes()
 
 
