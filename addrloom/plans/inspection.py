@@ -118,11 +118,23 @@ def key_variants(
     return report_columns(rows.orderBy(*_listing_order(df)), columns)
 
 
-def _chosen(picked: DataFrame) -> int | None:
-    row = picked.first()
-    if row is None:
+def key_count(df: DataFrame, key: int | None, condition: Column | str | None = None) -> DataFrame:
+    """How many variants a key has: ``unique_id`` and ``variant_count``, 0 for a key without rows.
+
+    Only parts of a written flatfile whose Bloom filter may know the key are read.
+    """
+    kind = df.schema["unique_id"].dataType
+    rows = _matching(df.where(_of_key(df, key)), condition)
+    return rows.agg(F.lit(key).cast(kind).alias("unique_id"), F.count(F.lit(1)).alias("variant_count"))
+
+
+def _picked(keys: DataFrame, seed: int | None) -> int | None:
+    """The key whose place in the shuffled order is the first: a row per map task, no sort."""
+    place = _shuffled(seed, "unique_id")
+    row = keys.agg(F.min(F.struct(place.alias("place"), "unique_id")).alias("first")).first()
+    if row["first"] is None:
         raise LookupError("no matching records in the flatfile")
-    return row["unique_id"]
+    return row["first"]["unique_id"]
 
 
 def _shuffled(seed: int | None, *columns: str) -> Column:
@@ -135,8 +147,7 @@ def _shuffled(seed: int | None, *columns: str) -> Column:
 
 def random_key(df: DataFrame, seed: int | None = None, columns: list[str] | None = None) -> DataFrame:
     """All rows of a key picked at random; the rows without a key count as one."""
-    keys = df.select("unique_id").distinct()
-    return key_variants(df, _chosen(keys.orderBy(_shuffled(seed, "unique_id")).limit(1)), columns=columns)
+    return key_variants(df, _picked(df, seed), columns=columns)
 
 
 def random_large_key(
@@ -147,8 +158,7 @@ def random_large_key(
     columns: list[str] | None = None,
 ) -> DataFrame:
     """The matching rows of a key picked at random among the ``top_n`` largest."""
-    largest = top_keys(df, top_n, condition).orderBy(_shuffled(seed, "unique_id"))
-    return key_variants(df, _chosen(largest.limit(1)), condition, columns)
+    return key_variants(df, _picked(top_keys(df, top_n, condition), seed), condition, columns)
 
 
 def sample_rows(df: DataFrame, n: int = 5, seed: int | None = None) -> DataFrame:
@@ -182,6 +192,6 @@ def inspect_variants(
             raise LookupError("no records in the flatfile")
         key, count = row["unique_id"], row["variant_count"]
     else:
-        count = df.where(_of_key(df, key)).count()
+        count = key_count(df, key).first()["variant_count"]
     rows = df.where(_of_key(df, key)).orderBy(*_listing_order(df))
     return Inspection(key, count, sample_rows(df, sample_limit, seed), rows, sorted(df.inputFiles()))

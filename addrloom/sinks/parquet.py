@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
@@ -14,10 +15,20 @@ from addrloom.functions.ranks import chunk_of
 MARKS_SUCCESS = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
 
 
+# Outputs are sorted by postcode, so that minima and maxima say nothing of their keys.
+LOOKUP_COLUMN = "unique_id"
+
+
 def parquet_writer(df: DataFrame, compression: str, compression_level: int) -> DataFrameWriter:
-    return df.write.option("compression", compression).option(
+    """A writer of files that tell by Bloom filters which of their parts can hold a key."""
+    writer = df.write.option("compression", compression).option(
         f"parquet.compression.codec.{compression}.level", compression_level
     )
+    if LOOKUP_COLUMN in df.columns:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{LOOKUP_COLUMN}", "true")
+        # Filters as large as a part's keys need, not of the greatest size.
+        writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
+    return writer
 
 
 def has_output(spark: SparkSession, path: str) -> bool:
@@ -36,11 +47,33 @@ def mark_finished(spark: SparkSession, path: str) -> None:
     filesystem.create(mark, True).close()
 
 
-def _mark_of(spark: SparkSession, path: str):
-    mark = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+def _mark_of(spark: SparkSession, path: str, name: str = "_SUCCESS"):
+    mark = spark._jvm.org.apache.hadoop.fs.Path(path, name)
     return mark.getFileSystem(spark._jsc.hadoopConfiguration()), mark
 
 
+def _chunk_mark(chunk: int, chunks: int) -> str:
+    """A chunk is finished as one of so many; readers pass by names with an underscore."""
+    return f"_chunks/{chunk}-of-{chunks}"
+
+
+def unfinished_chunks(spark: SparkSession, path: str, chunks: int) -> list[int]:
+    """The chunks, counted from 1, that are not finished at the path."""
+    found = []
+    for chunk in range(1, chunks + 1):
+        filesystem, mark = _mark_of(spark, path, _chunk_mark(chunk, chunks))
+        if not filesystem.exists(mark):
+            found.append(chunk)
+    return found
+
+
+def reopen_chunk(spark: SparkSession, path: str, chunk: int, chunks: int) -> None:
+    """Take back that a chunk, and so the output, is finished; the next write replaces it."""
+    for name in ("_SUCCESS", _chunk_mark(chunk, chunks)):
+        filesystem, mark = _mark_of(spark, path, name)
+        filesystem.delete(mark, False)
+
+
 def sorted_output(df: DataFrame, first: list[str] | None = None) -> DataFrame:
     """Ordered by postcode and key, NULL last, over files and within each.
 
@@ -60,27 +93,55 @@ def write_flatfile(
     compression: str = "zstd",
     compression_level: int = 9,
     overwrite: bool = False,
+    chunks_per_job: int | None = None,
 ) -> int | None:
-    """Write a flatfile and return its rows, counted as they are written.
+    """Write a flatfile and return the rows written, counted as they are written.
 
     Returns None where one exists and ``overwrite`` is not set. With several chunks,
     rows of a key share a ``chunk=n`` folder, counted from 1. A chunk may hold several
     files; their union is the unchunked result.
+
+    ``chunks_per_job`` chunks, by default all, are written by a job and marked as finished
+    after it. If a later job fails, the next call writes only the chunks that are not finished
+    and leaves the others as they are; the whole is marked after the last one. Chunks that were
+    finished as parts of another number of chunks do not count: then all are written anew.
     """
-    if not overwrite and has_output(df.sparkSession, path):
+    spark = df.sparkSession
+    if not overwrite and has_output(spark, path):
         return None
-    by = ["chunk"] if chunks > 1 else []
-    if by:
-        df = df.selectExpr("*", f"{chunk_of('unique_id', chunks)} + 1 AS chunk")
-    if sort:
-        df = sorted_output(df, by)
-    elif by:
-        # Files of even size: small parts of a chunk are put together, large ones split.
-        df = df.hint("rebalance", *by)
+    if chunks == 1:
+        return _written(sorted_output(df) if sort else df, compression, compression_level, lambda w: w.mode("overwrite").parquet(path))
+
+    every = list(range(1, chunks + 1))
+    missing = every if overwrite else unfinished_chunks(spark, path, chunks)
+    fresh = missing == every
+    df = df.selectExpr("*", f"{chunk_of('unique_id', chunks)} + 1 AS chunk")
+    at_once = chunks_per_job or len(every)
+    rows = 0
+    for first in range(0, len(missing), at_once):
+        now = missing[first : first + at_once]
+        part = df if now == every else df.where(F.col("chunk").isin(now))
+        # Without a sort files get an even size: small parts of a chunk are put together, large ones split.
+        part = sorted_output(part, ["chunk"]) if sort else part.hint("rebalance", "chunk")
+        # What lies at the path goes before the first chunk of a fresh output, and else only the chunks written.
+        mode = "static" if fresh and first == 0 else "dynamic"
+
+        def write(writer: DataFrameWriter, mode: str = mode) -> None:
+            options = {"partitionOverwriteMode": mode, MARKS_SUCCESS: "false"}
+            writer.options(**options).mode("overwrite").partitionBy("chunk").parquet(path)
+
+        rows += _written(part, compression, compression_level, write)
+        for chunk in now:
+            filesystem, mark = _mark_of(spark, path, _chunk_mark(chunk, chunks))
+            filesystem.create(mark, True).close()
+    mark_finished(spark, path)
+    return rows
+
+
+def _written(df: DataFrame, compression: str, compression_level: int, write: Callable[[DataFrameWriter], None]) -> int:
     written = Observation()
     counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
-    writer = parquet_writer(counted, compression, compression_level).mode("overwrite")
-    writer.partitionBy(*by).parquet(path)
+    write(parquet_writer(counted, compression, compression_level))
     return written.get["rows"]
 
 

@@ -556,6 +556,8 @@ _FINAL: dict[str, str] = {
     ),
     "zipped_record_counts": _record_counts(),
     "written_flatfile": "SELECT * FROM finished_flatfile",
+    "resumed_chunks": "SELECT count(*) AS records, count(*) AS rows_written, true AS one_missing, true AS one_written_again FROM finished_flatfile",
+    "key_count": "SELECT 7::BIGINT AS unique_id, count(*) AS variant_count FROM finished_flatfile WHERE unique_id = 7",
     "written_report": "SELECT count(*) AS records, count(*) AS rows_written, true AS has_files, true AS has_bytes, "
     "true AS skipped_again FROM finished_flatfile",
     "plain_record_tables": _read_back("lpi"),

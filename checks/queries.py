@@ -13,7 +13,7 @@ from addrloom.functions import ranks, text
 from addrloom.operators.skew import find_hot_keys
 from addrloom.operators.staging import staged, staging_folder
 from addrloom.plans import abp, inspection, ngd
-from addrloom.sinks.parquet import output_metadata, sorted_output, write_flatfile
+from addrloom.sinks.parquet import output_metadata, reopen_chunk, sorted_output, unfinished_chunks, write_flatfile
 from addrloom.sources import features, records, tables
 from checks import derived
 
@@ -574,6 +574,32 @@ def written_flatfile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inspection.flatfile(spark, folder).drop("chunk")
 
 
+@query
+def resumed_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks written by several jobs, one of them reopened and written again on its own."""
+    folder = _new_folder(spark, "flatfile")
+    whole = _finished(spark, sf_dir)
+    rows = write_flatfile(whole, folder, chunks=5, chunks_per_job=2, compression_level=5)
+    reopen_chunk(spark, folder, 4, 5)
+    missing = unfinished_chunks(spark, folder, 5)
+    again = write_flatfile(whole, folder, chunks=5, compression_level=5)
+    flat = inspection.flatfile(spark, folder)
+    return flat.agg(
+        F.count("*").alias("records"),
+        F.lit(rows).cast("bigint").alias("rows_written"),
+        F.lit(missing == [4]).alias("one_missing"),
+        (F.count_if(F.col("chunk") == 4) == again).alias("one_written_again"),
+    )
+
+
+@query
+def key_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The variants of one key, counted in a written flatfile."""
+    folder = _new_folder(spark, "flatfile")
+    write_flatfile(_finished(spark, sf_dir), folder, compression_level=5)
+    return inspection.key_count(inspection.flatfile(spark, folder), 7)
+
+
 @query
 def written_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What writing said, what lies there, and that it is not written again."""
