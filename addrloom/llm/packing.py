@@ -31,7 +31,7 @@ PIECES_PER_TASK = 500_000
 
 @functools.lru_cache(2)
 def fast_encoder(content: str) -> Encoder:
-    """An encoder that leaves unknown chunks to a library."""
+    """An encoder that leaves all but special strings to a library."""
     return Encoder(content, library=True)
 
 
