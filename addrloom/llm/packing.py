@@ -3,8 +3,8 @@
 A task takes its pieces one after another. Open bins lie on stacks by free space, and a
 bitset of one bit per size tells which stacks hold any: shifting it by the piece's length
 and taking the lowest bit finds the fullest bin that fits. At most a fixed number of bins
-is open; to open another one the fullest is closed. Of every so many pieces the longest
-come first, which leaves less space in the bins.
+is open; to open another one the fullest is closed. Pieces are placed as they arrive, in
+the order of a hash; none waits for another.
 """
 
 from __future__ import annotations
@@ -114,12 +114,7 @@ def pack(pieces: DataFrame, size: int = SEQUENCE, open_bins: int = OPEN_BINS, pi
         bins = OpenBins(size, open_bins)
         for batch in batches:
             base = batch.column("task")[0].as_py() << 40 if batch.num_rows else 0
-            lengths = batch.column("length").to_pylist()
-            placed: list = [None] * len(lengths)
-            for start in range(0, len(lengths), open_bins):
-                block = range(start, min(start + open_bins, len(lengths)))
-                for i in sorted(block, key=lambda i: -lengths[i]):
-                    placed[i] = bins.put(lengths[i])
+            placed = [bins.put(length) for length in batch.column("length").to_pylist()]
             kept = [batch.column(c) for c in given]
             yield pa.RecordBatch.from_arrays(
                 [*kept, pa.array([base + n for n, _ in placed], pa.int64()), pa.array([o for _, o in placed], pa.int64())], names
