@@ -15,13 +15,14 @@ import math
 
 import numpy as np
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from addrloom.llm.rows import mapped, texts, utf8
+from addrloom.operators.staging import staged
 
 # Bounds of the labelled sample: rows per label, half for the dictionaries and half for the
-# calibration, and bytes taken of each for the dictionaries.
+# calibration, and bytes taken of each, in blocks, for the dictionaries.
 SAMPLE_ROWS = 2_000
 SAMPLE_BYTES = 8_192
 DICTIONARY_BYTES = 112_640
@@ -81,15 +82,32 @@ def logistic_fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample_rows: int) -> DataFrame:
     """At most ``sample_rows`` labelled texts of each label, none of them held out.
 
-    Those of the smallest hashes of their ids; of several labels of an id the larger holds.
+    Those of the smallest hashes of their ids; of several labels of an id the larger holds, of
+    several texts of an id the one of the smallest hash. Ids are first held to a hash that
+    about so many of a label lie below, so what is sorted does not grow with the labels.
     """
-    known = (
+    known = staged(
         labels.where("quality IN (0, 1)").select(F.col("doc_id").alias("own_id"), "quality").where(~held_out("own_id"))
-        .groupBy("own_id").agg(F.max("quality").alias("quality"))
+        .groupBy("own_id").agg(F.max("quality").alias("quality")).withColumn("place", F.xxhash64("own_id"))
     )
-    ranked = known.withColumn("n", F.row_number().over(Window.partitionBy("quality").orderBy(F.xxhash64("own_id"), "own_id")))
-    chosen = F.broadcast(ranked.where(F.col("n") <= sample_rows).drop("n"))  # bounded by its size
-    return docs.join(chosen, F.col("doc_id") == F.col("own_id")).select("own_id", "quality", "data")
+    enough = sample_rows + 10 * math.isqrt(sample_rows) + 10
+    chosen = known.limit(0)
+    for row in known.groupBy("quality").count().collect():
+        below = min(2**63 - 1, -(2**63) + 2**64 * enough // row["count"])
+        near = known.where((F.col("quality") == row["quality"]) & (F.col("place") <= below))
+        chosen = chosen.union(near.orderBy("place", "own_id").limit(sample_rows))
+    own = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("own_id"))  # bounded by its size
+    one = F.min(F.struct(F.xxhash64("data"), F.col("data"))).alias("least")
+    return own.groupBy("own_id", "quality").agg(one).select("own_id", "quality", "least.data")
+
+
+def _training_blocks(data: str = "data") -> str:
+    """The text if it is short, else as many of its blocks as are taken, by their hashes."""
+    last = f"(length({data}) - 1) div {BLOCK}"
+    by_hash = f"array_sort(transform(sequence(0L, {last}), i -> struct(xxhash64(own_id, i) AS hash, i AS number)))"
+    numbers = f"array_sort(transform(slice({by_hash}, 1, {SAMPLE_BYTES // BLOCK}), b -> b.number))"
+    block = f"substring({data}, CAST(i * {BLOCK} + 1 AS INT), {BLOCK})"
+    return f"aggregate({numbers}, CAST('' AS BINARY), (taken, i) -> concat(taken, {block}))"
 
 
 def _dictionary(samples: list[bytes]) -> bytes:
@@ -108,7 +126,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> t
     of good ones.
     """
     sample = labelled_sample(docs, labels, sample_rows).withColumn("part", F.expr("pmod(xxhash64(own_id, 'part'), 2)"))
-    parts = sample.where("part = 0").select("own_id", "quality", F.expr(f"substring(data, 1, {SAMPLE_BYTES})").alias("data")).collect()
+    sample = staged(sample)
+    parts = sample.where("part = 0").select("own_id", "quality", F.expr(_training_blocks()).alias("data")).collect()
     parts.sort(key=lambda row: (row["own_id"], bytes(row["data"])))
     good, bad = (_dictionary([bytes(r["data"]) for r in parts if r["quality"] == q and r["data"]]) for q in (1, 0))
 

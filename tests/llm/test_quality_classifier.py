@@ -1,9 +1,11 @@
+import math
 import random
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
-from addrloom.llm.quality_classifier import features, quality_scores
+from addrloom.llm.quality_classifier import BLOCK, SAMPLE_BYTES, _training_blocks, features, fit, labelled_sample, quality_scores
 from tests.llm.conftest import prose
 
 
@@ -53,3 +55,50 @@ def test_odd_rows(table, odd_rows, labelled, spark):
 
 def test_features_without_text():
     assert features(b"", b"good words here", b"bad words there") == (0.0, 1.0)
+
+
+def test_the_sample_is_bounded_in_rows(spark):
+    """One id on very many rows counts once, and so do more ids than are asked for."""
+    docs = spark.range(3_000).selectExpr("IF(id < 2000, 1, id) AS doc_id", "CAST(concat('text ', id) AS BINARY) AS data")
+    labels = spark.range(3_000).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS quality")
+    sample = labelled_sample(docs, labels, 100)
+    assert sample.groupBy("quality").count().where("count > 100").isEmpty()
+    own = {r["own_id"]: r["data"] for r in labelled_sample(docs, labels, 3_000).collect()}
+    assert set(own) == {i for i in [1, *range(2_000, 3_000)] if zlib.crc32(str(i).encode()) % 5}
+    assert 0 < sample.count() <= 200
+    assert sorted(map(tuple, sample.collect())) == sorted(map(tuple, labelled_sample(docs, labels, 100).collect()))
+
+
+def test_the_sample_has_the_smallest_hashes(spark):
+    docs = spark.range(2_000).selectExpr("id AS doc_id", "CAST(id AS STRING) AS data").withColumn("data", F.col("data").cast("binary"))
+    labels = docs.selectExpr("doc_id", "CAST(doc_id % 3 = 0 AS INT) AS quality")
+    hashes = labels.selectExpr("doc_id", "quality", "xxhash64(doc_id) AS h").collect()
+    want = set()
+    for quality in (0, 1):
+        own = sorted((r["h"], r["doc_id"]) for r in hashes if r["quality"] == quality and zlib.crc32(str(r["doc_id"]).encode()) % 5)
+        want |= {i for _, i in own[:50]}
+    assert {r["own_id"] for r in labelled_sample(docs, labels, 50).collect()} == want
+
+
+def test_dictionaries_see_blocks_of_the_whole_text(spark):
+    long = b"".join(bytes([65 + n]) * BLOCK for n in range(20)) + b"end"
+    rows = [(n, long) for n in range(40)] + [(100, b"short"), (101, b""), (102, b"x" * SAMPLE_BYTES)]
+    got = {r["own_id"]: bytes(r["d"]) for r in spark.createDataFrame(rows, "own_id long, data binary").selectExpr("own_id", f"{_training_blocks()} AS d").collect()}
+    assert (got[100], got[101], got[102]) == (b"short", b"", b"x" * SAMPLE_BYTES)
+    seen = set()
+    for n in range(40):
+        assert len(got[n]) in (SAMPLE_BYTES, SAMPLE_BYTES - BLOCK + 3)
+        blocks = [got[n][at : at + BLOCK] for at in range(0, len(got[n]), BLOCK)]
+        assert blocks == sorted(blocks) and len(set(blocks)) == 4 and all(b in long for b in blocks)
+        seen |= set(blocks)
+    assert len(seen) == 21
+
+
+def test_scores_are_those_of_features_and_weights(labelled):
+    rows, docs, labels = labelled
+    good, low, weights = fit(docs.selectExpr("doc_id", "CAST(text AS BINARY) AS data"), labels)
+    got = scores(docs, labels)
+    for i, text, _ in rows[:60]:
+        difference, share = features(text.encode(), good, low)
+        z = weights[0] + weights[1] * 10 * difference + weights[2] * share + weights[3] * share**2 + weights[4] * math.exp(-20 * share)
+        assert got[i]["score"] == pytest.approx(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))
