@@ -109,8 +109,11 @@ def floor_word(floor: str) -> str:
     return choose(floor_number(floor), LEVEL_WORDS)
 
 
+BYTE_ORDER_MARK = "\\uFEFF"
+
+
 def without_bom(line: str) -> str:
-    return rf"regexp_replace({line}, r'^\x{{FEFF}}', '')"
+    return f"CASE WHEN startswith({line}, '{BYTE_ORDER_MARK}') THEN substring({line}, 2) ELSE {line} END"
 
 
 def record_identifier(line: str) -> str:

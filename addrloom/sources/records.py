@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -78,24 +79,40 @@ def identified(lines: DataFrame) -> DataFrame:
     return plain.selectExpr("line", f"{record_identifier('line')} AS rid")
 
 
-def _fits(columns: dict[str, str]) -> str:
-    """Whether a line has no more fields than columns, and quotes around whole fields only."""
-    field = '(?:"(?:[^"]++|"")*+"|[^",]*+)'
-    return f"line RLIKE '^{field}(?:,{field}){{0,{len(columns) - 1}}}+$'"
+# One more field of a parsed line: the line itself where it has not as many fields as columns.
+_UNEVEN = "uneven_line"
 
 
 def _fields(columns: dict[str, str]) -> str:
     """All fields as text: short lines are padded with NULL and empty fields are NULL."""
-    as_text = ", ".join(f"{name} string" for name in columns)
-    return f"from_csv(line, '{as_text}', map('quote', '\"', 'escape', '\"', 'nullValue', ''))"
+    as_text = ", ".join(f"{name} string" for name in [*columns, _UNEVEN])
+    options = f"'quote', '\"', 'escape', '\"', 'nullValue', '', 'columnNameOfCorruptRecord', '{_UNEVEN}'"
+    return f"from_csv(line, '{as_text}', map({options}))"
+
+
+def _fits(fields: str, columns: dict[str, str]) -> str:
+    """Whether a line has no more fields than columns, and quotes around whole fields only.
+
+    A line without quotes that has one field for each column shows it by its fields.
+    """
+    field = '(?:"(?:[^"]++|"")*+"|[^",]*+)'
+    pattern = f"^{field}(?:,{field}){{0,{len(columns) - 1}}}+$"
+    plain = f"{fields}.{_UNEVEN} IS NULL AND NOT contains(line, '\"')"
+    return f"CASE WHEN {plain} THEN true ELSE line RLIKE '{pattern}' END"
 
 
-def _strict_fields(columns: dict[str, str]) -> str:
+def _strict(fields: str, columns: dict[str, str]) -> str:
     """The fields of a line that fits; any other is an error."""
-    return f"CASE WHEN {_fits(columns)} THEN {_fields(columns)} ELSE raise_error(concat('malformed line: ', line)) END"
+    return f"CASE WHEN {_fits(fields, columns)} THEN {fields} ELSE raise_error(concat('malformed line: ', line)) END"
 
 
-_DATE_FORM = "RLIKE '^[0-9]{4}-[0-9]{2}-[0-9]{2}$'"
+def _is_date_form(text: str) -> str:
+    """Whether text that can be cast to a date is written yyyy-MM-dd, without a pattern.
+
+    The cast itself wants digits; a short day could only be followed by a blank or a T.
+    """
+    dashes = f"substring({text}, 5, 1) = '-' AND substring({text}, 8, 1) = '-'"
+    return f"(octet_length({text}) = 10 AND {dashes} AND substring({text}, 10, 1) BETWEEN '0' AND '9')"
 
 
 def _typed(fields: str, columns: dict[str, str]) -> list[str]:
@@ -104,7 +121,7 @@ def _typed(fields: str, columns: dict[str, str]) -> list[str]:
     def typed(name: str, kind: str) -> str:
         text = f"{fields}.{name}"
         if kind == "date":
-            text = f"CASE WHEN {text} {_DATE_FORM} THEN {text} ELSE concat('not yyyy-MM-dd: ', {text}) END"
+            text = f"CASE WHEN {_is_date_form(text)} THEN {text} ELSE concat('not yyyy-MM-dd: ', {text}) END"
         return f"CAST({text} AS {kind}) AS {name}"
 
     return [typed(name, kind) for name, kind in columns.items()]
@@ -120,8 +137,8 @@ def split_records(lines: DataFrame, schemas: dict[str, str] = SCHEMAS) -> dict[s
     tables = {}
     for rid, name in KEPT_RECORDS.items():
         columns = schema_columns(schemas[name])
-        fields = known.where(f"rid = '{rid}'").selectExpr(f"{_strict_fields(columns)} AS f")
-        tables[name] = fields.selectExpr(*_typed("f", columns))
+        parsed = known.where(f"rid = '{rid}'").selectExpr("line", f"{_fields(columns)} AS f")
+        tables[name] = parsed.selectExpr(f"{_strict('f', columns)} AS f").selectExpr(*_typed("f", columns))
     return tables
 
 
@@ -139,10 +156,10 @@ def _of_type(rid: str, value: str) -> str:
     return f"CASE WHEN rid = '{rid}' THEN {value} END"
 
 
-def _parsed(known: DataFrame, schemas: dict[str, str], fields: Callable[[dict[str, str]], str]) -> DataFrame:
+def _parsed(known: DataFrame, schemas: dict[str, str]) -> DataFrame:
     """Kept lines with one struct of text fields per record type, that of its own type filled."""
     structs = [
-        f"{_of_type(rid, fields(schema_columns(schemas[name])))} AS {name}"
+        f"{_of_type(rid, _fields(schema_columns(schemas[name])))} AS {name}"
         for rid, name in KEPT_RECORDS.items()
     ]
     return known.where(_IS_KEPT).selectExpr("rid", "line", *structs)
@@ -158,7 +175,7 @@ def malformed_values(lines: DataFrame, schemas: dict[str, str] = SCHEMAS) -> Dat
     def misfit(table: str, column: str, kind: str) -> str:
         text = f"{table}.{column}"
         found = f"struct('{table}' AS record_type, '{column}' AS column_name, {text} AS text)"
-        wrong = f"try_cast({text} AS {kind}) IS NULL" + (f" OR NOT {text} {_DATE_FORM}" if kind == "date" else "")
+        wrong = f"try_cast({text} AS {kind}) IS NULL" + (f" OR NOT {_is_date_form(text)}" if kind == "date" else "")
         return f"CASE WHEN {text} IS NOT NULL AND ({wrong}) THEN {found} END"
 
     checks = []
@@ -166,13 +183,27 @@ def malformed_values(lines: DataFrame, schemas: dict[str, str] = SCHEMAS) -> Dat
         columns = schema_columns(schemas[name])
         misfits = [misfit(name, column, kind) for column, kind in columns.items() if kind != "string"]
         whole = f"array(struct('{name}' AS record_type, CAST(NULL AS STRING) AS column_name, CAST(NULL AS STRING) AS text))"
-        checks.append(f"WHEN '{rid}' THEN CASE WHEN {_fits(columns)} THEN array_compact(array({', '.join(misfits)})) ELSE {whole} END")
+        checks.append(f"WHEN '{rid}' THEN CASE WHEN {_fits(name, columns)} THEN array_compact(array({', '.join(misfits)})) ELSE {whole} END")
     found = f"inline(CASE rid {' '.join(checks)} END)"
-    return _parsed(identified(lines), schemas, _fields).selectExpr("line", found).select(
+    return _parsed(identified(lines), schemas).selectExpr("line", found).select(
         "record_type", "line", "column_name", "text"
     )
 
 
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A setting of the session for the time of a block."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 @dataclass(frozen=True)
 class SplitReport:
     """What a split wrote: rows per table, and the lines of known but unused types."""
@@ -206,15 +237,18 @@ def write_record_tables(
         F.count_if(F.expr(_IS_KEPT)).alias("kept"),
         F.count_if(F.expr(f"rid IN ({listed(IGNORED_RECORDS)})")).alias("ignored"),
     )
-    typed = _parsed(counted, schemas, _strict_fields).selectExpr(
+    kinds = {rid: (name, schema_columns(schemas[name])) for rid, name in KEPT_RECORDS.items()}
+    strict = _parsed(counted, schemas).selectExpr(
+        "rid", *[f"{_of_type(rid, _strict(name, columns))} AS {name}" for rid, (name, columns) in kinds.items()]
+    )
+    typed = strict.selectExpr(
         "rid",
-        *[
-            f"{_of_type(rid, f'struct({", ".join(_typed(name, schema_columns(schemas[name])))})')} AS {name}"
-            for rid, name in KEPT_RECORDS.items()
-        ],
+        *[f"{_of_type(rid, f'struct({", ".join(_typed(name, columns))})')} AS {name}" for rid, (name, columns) in kinds.items()],
     )
     writer = parquet_writer(typed, compression, compression_level).option(MARKS_SUCCESS, "false")
-    writer.mode("overwrite").partitionBy("rid").parquet(path)
+    # A task holds a file of each type open, so rows need not be sorted by type.
+    with _setting(spark, "spark.sql.maxConcurrentOutputFileWriters", str(len(KEPT_RECORDS))):
+        writer.mode("overwrite").partitionBy("rid").parquet(path)
     kept = seen.get["kept"]
     if kept == 0:
         raise ValueError(f"no record with an identifier of {', '.join(KEPT_RECORDS)} was found")

@@ -132,3 +132,37 @@ def test_dates_and_lines_must_have_their_form(spark):
         (long, None, None),
         (quoted, None, None),
     }
+
+
+def test_quotes_and_counts_of_fields(spark):
+    """Each kind of line is taken or refused alike by both ways of looking at it."""
+    full = '31,"I",9,100,"ORG1","CAFE",,2024-01-05,,,'
+    fits = [full, '31,"I",9,100,"A, B","",,,,,', '31,"I",9,1,"O","A ""B""",,,,,', '31,"I",9,1,O,P,"Q,R",,,,']
+    stray = ['31,"I",9,1,O","P,,,,,,', '31,"I",9,1,"O,"P",,,,,', '31,I,9,1,O,P,,,,,"x', '31,"I",9,1,"O" ,P,,,,,', '31,"I",9,1,O"P",Q,,,,,', full + ","]
+    assert records.split_records(lines_of(spark, *fits))["organisation"].count() == 4
+    names = [r["organisation"] for r in records.split_records(lines_of(spark, *fits))["organisation"].collect()]
+    assert sorted(names, key=str) == sorted(["CAFE", None, 'A "B"', "P"], key=str)
+    for line in stray:
+        with pytest.raises(Exception, match="malformed line"):
+            records.split_records(lines_of(spark, line))["organisation"].collect()
+    listed = records.malformed_values(lines_of(spark, *fits, *stray)).collect()
+    assert sorted(r["line"] for r in listed) == sorted(stray) and {r["column_name"] for r in listed} == {None}
+
+
+@pytest.mark.parametrize("day", ["2024-1-05", "2024-01-5T", "2024-01-5 ", " 024-01-05", "+024-01-05", "2024-01-0x", "20240-1-05", "2024/01/05", "2024-13-01"])
+def test_other_ways_to_write_a_date_fail(spark, day):
+    line = f'31,"I",9,100,"ORG1","CAFE",,{day},,,'
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT|not yyyy-MM-dd"):
+        records.split_records(lines_of(spark, line))["organisation"].collect()
+    assert [r["text"] for r in records.malformed_values(lines_of(spark, line)).collect()] == [day]
+
+
+def test_types_are_written_without_a_sort(spark, tmp_path):
+    """A task writes one file per type it meets; the setting is as before afterwards."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    lines = lines_of(spark, *[LPI, BLPU, SHORT] * 50).coalesce(1)
+    records.write_record_tables(lines, str(tmp_path / "t"))
+    assert spark.conf.get(name) == before
+    for rid in (24, 21, 31):
+        assert len(list((tmp_path / "t" / f"rid={rid}").glob("*.parquet"))) == 1
