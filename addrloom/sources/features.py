@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import csv
 import io
-import itertools
 import zipfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import PurePosixPath
+from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +23,9 @@ from addrloom.sinks.parquet import has_output, parquet_writer
 FEATURE_PREFIX = "add_gb_"
 RECORD_ARCHIVE_MARK = "addressbasepremium"
 
-_LINES_PER_BATCH = 4_096
-# Bytes that the CSV reader takes at a time; a single record must fit in.
-_BLOCK = 8 << 20
+_ROWS_PER_BATCH = 4_096
+# Bytes of a member that are parsed by one step; a longer record makes a longer block.
+_BLOCK = 4 << 20
 
 
 def stem_of(name: str) -> str:
@@ -60,7 +60,8 @@ def read_feature_csv(spark: SparkSession, path: str, multi_line: bool = True) ->
 
 def feature_files(spark: SparkSession, folder: str, excluded: Iterable[str] = ()) -> dict[str, str]:
     """The wanted feature CSV files below a folder by stem; two files of one stem are refused."""
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select("path")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    listed = files.option("pathGlobFilter", "*.[cC][sS][vV]").load(folder).select("path")
     found: dict[str, str] = {}
     for path in sorted(row["path"] for row in listed.where("lower(path) LIKE '%.csv'").collect()):
         if is_wanted_feature(path, excluded):
@@ -127,17 +128,54 @@ def _header(archive: zipfile.ZipFile, member: str) -> list[str]:
         return next(csv.reader(io.TextIOWrapper(raw, encoding="utf-8-sig", newline="")), [])
 
 
-def _read_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Stream the records of each member as Arrow batches, every field as text, empty ones NULL.
+def _cut_at(raw: BinaryIO, last_end: Callable[[bytes], int]) -> Iterator[bytes]:
+    """A stream in blocks; ``last_end`` says behind which byte a block may end, 0 for nowhere."""
+    kept: list[bytes] = []
+    while block := raw.read(_BLOCK):
+        end = last_end(block)
+        if end:
+            yield b"".join([*kept, block[:end]])
+            kept = []
+        kept.append(block[end:])
+    if rest := b"".join(kept):
+        yield rest
+
+
+class _RecordEnds:
+    """Finds the last line break of each block that does not lie between quotes."""
+
+    def __init__(self) -> None:
+        self.quotes = 0
+
+    def __call__(self, block: bytes) -> int:
+        data = np.frombuffer(block, np.uint8)
+        quotes = np.cumsum(data == ord('"'), dtype=np.int64)
+        ends = np.flatnonzero(data == ord("\n"))
+        outside = ends[(quotes[ends] + self.quotes) % 2 == 0]
+        self.quotes += int(quotes[-1])
+        return int(outside[-1]) + 1 if len(outside) else 0
+
+
+def _inflate_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Whole records of each member as blocks of bytes, numbered from the one with the header."""
+    for batch in batches:
+        for path, member, stem, width in zip(*(batch.column(n).to_pylist() for n in ("archive", "member", "stem", "width"))):
+            with _open_archive(path) as stream, zipfile.ZipFile(stream) as archive, archive.open(member) as raw:
+                for number, block in enumerate(_cut_at(raw, _RecordEnds()) if width else ()):
+                    arrays = [pa.array([stem]), pa.array([width], pa.int32()), pa.array([number], pa.int64()), pa.array([block], pa.binary())]
+                    yield pa.RecordBatch.from_arrays(arrays, ["stem", "width", "number", "block"])
+
+
+def _parse_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The records of each block as Arrow batches, every field as text, empty ones NULL.
 
     The few records that lack fields are set aside by the reader and padded with NULL; one
     with too many fields is an error.
     """
     for batch in batches:
-        for path, member, stem, width in zip(*(batch.column(n).to_pylist() for n in ("archive", "member", "stem", "width"))):
+        for stem, width, number, block in zip(*(batch.column(n) for n in ("stem", "width", "number", "block"))):
+            stem, width, data = stem.as_py(), width.as_py(), block.as_buffer()
             names = [f"f{i}" for i in range(width)]
-            if not names:
-                continue
             short: list[str] = []
 
             def set_aside(row: pa_csv.InvalidRow) -> str:
@@ -146,26 +184,24 @@ def _read_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 short.append(row.text)
                 return "skip"
 
-            with _open_archive(path) as stream, zipfile.ZipFile(stream) as archive, archive.open(member) as raw:
-                reader = pa_csv.open_csv(
-                    pa.PythonFile(raw, "r"),
-                    pa_csv.ReadOptions(column_names=names, skip_rows_after_names=1, block_size=_BLOCK),
-                    pa_csv.ParseOptions(newlines_in_values=True, invalid_row_handler=set_aside),
-                    pa_csv.ConvertOptions(
-                        column_types=dict.fromkeys(names, pa.string()), null_values=[""], strings_can_be_null=True
-                    ),
-                )
-                for records in reader:
-                    rows = records.num_rows
-                    # Column after column becomes row after row.
-                    order = np.arange(rows * width).reshape(width, rows).T.ravel()
-                    values = pa.concat_arrays(records.columns).take(pa.array(order))
-                    offsets = pa.array(np.arange(0, rows * width + 1, width, dtype=np.int32))
-                    fields = pa.ListArray.from_arrays(offsets, values)
-                    yield pa.RecordBatch.from_arrays([pa.array([stem] * rows, pa.string()), fields], ["stem", "fields"])
-                    if short:
-                        yield _padded(stem, short, width)
-                        short.clear()
+            records = pa_csv.read_csv(
+                pa.BufferReader(data),
+                pa_csv.ReadOptions(
+                    column_names=names, skip_rows_after_names=0 if number.as_py() else 1, block_size=data.size + 1, use_threads=False
+                ),
+                pa_csv.ParseOptions(newlines_in_values=True, invalid_row_handler=set_aside),
+                pa_csv.ConvertOptions(
+                    column_types=dict.fromkeys(names, pa.string()), null_values=[""], strings_can_be_null=True
+                ),
+            ).combine_chunks()
+            for part in records.to_batches(max_chunksize=_ROWS_PER_BATCH):
+                rows = part.num_rows
+                # Column after column becomes row after row.
+                order = np.arange(rows * width).reshape(width, rows).T.ravel()
+                values = pa.concat_arrays(part.columns).take(pa.array(order))
+                offsets = pa.array(np.arange(0, rows * width + 1, width, dtype=np.int32))
+                fields = pa.ListArray.from_arrays(offsets, values)
+                yield pa.RecordBatch.from_arrays([pa.array([stem] * rows, pa.string()), fields], ["stem", "fields"])
             if short:
                 yield _padded(stem, short, width)
 
@@ -176,16 +212,14 @@ def _padded(stem: str, records: list[str], width: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, ["stem", "fields"])
 
 
-def _read_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Stream the lines of each member in small batches."""
+def _inflate_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Whole lines of each member as blocks of text, without the last line's break."""
     for batch in batches:
         for path, member in zip(batch.column("archive").to_pylist(), batch.column("member").to_pylist()):
-            with _open_archive(path) as stream, zipfile.ZipFile(stream) as archive:
-                with archive.open(member) as raw:
-                    text = io.TextIOWrapper(raw, encoding="utf-8")
-                    while lines := list(itertools.islice(text, _LINES_PER_BATCH)):
-                        values = pa.array([line.rstrip("\n") for line in lines], pa.string())
-                        yield pa.RecordBatch.from_arrays([values], ["value"])
+            with _open_archive(path) as stream, zipfile.ZipFile(stream) as archive, archive.open(member) as raw:
+                for block in _cut_at(raw, lambda block: block.rfind(b"\n") + 1):
+                    text = block.replace(b"\r\n", b"\n").replace(b"\r", b"\n").removesuffix(b"\n")
+                    yield pa.RecordBatch.from_arrays([pa.array([text], pa.binary()).cast(pa.string())], ["block"])
 
 
 def archive_members(spark: SparkSession, archives: Iterable[str], headers: bool = True) -> DataFrame:
@@ -202,8 +236,9 @@ def read_zipped_features(
 ) -> tuple[DataFrame, dict[str, list[str]]]:
     """Records of all wanted members as (stem, fields), and the header of each stem.
 
-    Only the member list comes to the driver. Members are streamed side by side, one
-    task each, since a compressed member cannot be split; nothing is held whole.
+    Only the member list comes to the driver. A compressed member cannot be split, so one
+    task each inflates them, side by side, and does no more than send blocks of whole records;
+    all tasks then parse these, and write what is made of them. Nothing is held whole.
     """
     wanted: dict[str, tuple[str, str, list[str]]] = {}
     archives = list(archives)
@@ -223,18 +258,24 @@ def read_zipped_features(
         raise ValueError(f"no eligible CSV members found in {', '.join(sorted(lacking))}")
     members = [(archive, member, stem, len(header)) for stem, (archive, member, header) in wanted.items()]
     listed = spark.createDataFrame(members, "archive string, member string, stem string, width int")
-    records = listed.repartitionByRange(len(members), "stem").mapInArrow(
-        _read_members, "stem string, fields array<string>"
+    blocks = listed.repartitionByRange(len(members), "stem").mapInArrow(
+        _inflate_members, "stem string, width int, number bigint, block binary"
     )
+    records = blocks.hint("rebalance").mapInArrow(_parse_blocks, "stem string, fields array<string>")
     return records, {stem: header for stem, (_, _, header) in wanted.items()}
 
 
 def read_zipped_lines(spark: SparkSession, archives: Iterable[str]) -> DataFrame:
-    """Lines of all CSV members of the archives, streamed side by side, one task each."""
+    """Lines of all CSV members of the archives.
+
+    One task for each member inflates it and sends blocks of lines; these are cut into lines,
+    and what follows is done, in all tasks.
+    """
     members = [tuple(row)[:2] for row in archive_members(spark, archives, headers=False).collect()]
     listed = spark.createDataFrame(members, "archive string, member string")
     spread = listed.repartitionByRange(max(len(members), 1), "archive", "member")
-    return spread.mapInArrow(_read_lines, "value string")
+    blocks = spread.mapInArrow(_inflate_lines, "block string").hint("rebalance")
+    return blocks.selectExpr("explode(split(block, '\\n', -1)) AS value")
 
 
 def convert_zipped_features(

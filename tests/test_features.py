@@ -1,5 +1,7 @@
+import io
 import zipfile
 
+import pyarrow as pa
 import pytest
 
 from addrloom.sources import features
@@ -71,3 +73,38 @@ def test_feature_names():
     assert features.is_wanted_feature("x/ADD_GB_BuiltAddress.csv")
     assert not features.is_wanted_feature("add_gb_builtaddress_altadd.csv", ("builtaddress",))
     assert not features.is_wanted_feature("lnk_gb_other.csv")
+
+
+def test_blocks_end_at_records(spark, tmp_path, monkeypatch):
+    """However a member is cut, quoted line breaks and short records come out whole."""
+    rows = [(i, "" if i % 5 == 0 else f'road {i}\n"{i}", x' * (i % 3 + 1)) for i in range(300)]
+    quoted = "".join("{},{}\r\n".format(i, '"' + t.replace('"', '""') + '"' if t else "") + f"{i}\n" for i, t in rows)
+    data = ("uprn,fulladdress\n" + quoted).encode()
+    for size in (1, 7, 64, 1000, 1 << 20):
+        monkeypatch.setattr(features, "_BLOCK", size)
+        blocks = list(features._cut_at(io.BytesIO(data), features._RecordEnds()))
+        assert b"".join(blocks) == data
+        assert all(b.endswith(b"\n") and b.count(b'"') % 2 == 0 for b in blocks)
+        lines = list(features._cut_at(io.BytesIO(data[:-1]), lambda b: b.rfind(b"\n") + 1))
+        assert b"".join(lines) == data[:-1] and all(b.endswith(b"\n") for b in lines[:-1])
+    monkeypatch.undo()
+    made = [
+        pa.RecordBatch.from_pydict({"stem": pa.array(["s"]), "width": pa.array([2], pa.int32()), "number": pa.array([n]), "block": pa.array([b])})
+        for n, b in enumerate(features._cut_at(io.BytesIO(data), features._RecordEnds()))
+    ]
+    got = [tuple(f) for b in features._parse_blocks(iter(made)) for f in b.column("fields").to_pylist()]
+    assert sorted(got, key=repr) == sorted([*((str(i), t or None) for i, t in rows), *((str(i), None) for i, _ in rows)], key=repr)
+
+
+def test_lines_of_members(spark, tmp_path):
+    text = "24,a\r\n\n21,b\r31,c\n"
+    first, second = archive(tmp_path / "a.zip", one=text, two="99,x"), archive(tmp_path / "b.zip", three="\n", four="")
+    lines = features.read_zipped_lines(spark, [first, second])
+    assert sorted(r["value"] for r in lines.collect()) == sorted(["24,a", "", "21,b", "31,c", "99,x", ""])
+
+
+def test_members_are_parsed_after_an_exchange(spark, tmp_path):
+    path = archive(tmp_path / "add_gb_builtaddress.zip", add_gb_builtaddress=BUILT)
+    records, _ = features.read_zipped_features(spark, [path])
+    for df in (records, features.read_zipped_lines(spark, [path])):
+        assert "REBALANCE" in df._jdf.queryExecution().executedPlan().toString().upper()
