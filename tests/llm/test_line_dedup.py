@@ -3,7 +3,7 @@ from collections import defaultdict
 
 import pytest
 
-from addrloom.llm.line_dedup import common_line_digests, drop_bitmaps, without_common_lines
+from addrloom.llm.line_dedup import _tested, common_line_digests, drop_bitmaps, without_common_lines
 
 ENDS = " \t\n\r\x0b\x0c"
 
@@ -46,6 +46,19 @@ def test_a_crowded_line_is_dealt_to_groups(table):
     assert common_line_digests(table([])).count() == 0
 
 
+@pytest.mark.parametrize("words", [1, 1 << 20])
+def test_texts_that_lose_no_line_stay_where_they_are(table, words):
+    rows = [*((i, f"shared\nown {i}") for i in range(12)), *((100 + i, f"alone {i}\n\nalso {i}") for i in range(300)), (None, "shared")]
+    made = without_common_lines(table(rows), min_documents=12, max_words=words)
+    got = {(r["doc_id"], r["n_dropped"], r["kept"]) for r in made.collect()}
+    assert got == {(i, 1, f"own {i}") for i in range(12)} | {(i, 0, t) for i, t in rows[12:-1]} | {(None, 1, "")}
+    hashed = table(rows).selectExpr("doc_id", "text", "xxhash64(text) AS text_hash")
+    meeting = _tested(hashed, drop_bitmaps(table(rows), min_documents=12), words).where("maybe").count()
+    assert meeting >= 13
+    if words > 1:
+        assert meeting < 13 + 300 // 4
+
+
 def test_no_python_in_the_plan(table, odd_rows):
     plan = common_line_digests(table(odd_rows))._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
