@@ -97,11 +97,11 @@ def measure(data: bytes | None, limits: RepetitionLimits) -> tuple:
             dup_line_chars += len(line.translate(None, _BLANK + _NOT_FIRST_BYTES))
         else:
             seen.add(line)
-    cover = ngram_coverage(words, [3, *sorted(limits.ngram_chars)])
+    cover = ngram_coverage(words, sorted({3, *limits.ngram_chars}))
     n_repeat_words = int(cover[3][0].sum())
     worst = 0.0
     within = True
-    if n_repeat_words:
+    if cover[min(cover)][1].any():  # what repeats at any length does so at the shortest
         chars = np.fromiter((len(w.translate(None, _NOT_FIRST_BYTES)) for w in words), np.int64, len(words))
         for n, most in limits.ngram_chars.items():
             share = int(chars[cover[n][1]].sum()) / word_chars
@@ -137,7 +137,11 @@ def repetition_measures(
 
 
 def keep_by_repetition(docs: DataFrame, text_col: str = "text", limits: RepetitionLimits | None = None) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with their columns as they are."""
+    """The rows of ``docs`` that the rules keep, with their columns as they are.
+
+    Rows with a null or empty text go, repeated rows fare alike. An empty
+    table gives an empty one.
+    """
     limits = limits or RepetitionLimits()
     judged = mapped(docs.select(whole_row(docs)), MEASURES, lambda data: measure(data, limits), ["row"], f"row.{text_col}")
     return judged.where("kept").select("row.*")

@@ -11,7 +11,7 @@ def split_words(text):
     return text.translate(str.maketrans(BLANK, " " * 6)).split(" ")
 
 
-def brute(text):
+def brute(text, limits=None):
     text = text or ""
     words = [w for w in split_words(text) if w]
     chars = sum(map(len, words))
@@ -34,11 +34,11 @@ def brute(text):
         return out
 
     repeated = len(cover(3, True))
-    limits = RepetitionLimits()
+    limits = limits or RepetitionLimits()
     fine = all(sum(len(words[i]) for i in cover(n, False)) <= most * chars for n, most in limits.ngram_chars.items())
     fine &= dups <= limits.line_share * lines and dup_chars <= limits.line_chars * chars
     symbols = sum(c in "#*$%&|<>" for c in text)
-    failed = len(words) < 50 or 100 * repeated > 50 * len(words)
+    failed = len(words) < limits.min_words or 100 * repeated > 50 * len(words)
     return len(words), chars, symbols, dups, repeated, failed, fine and symbols <= 0.5 * len(words) and not failed
 
 
@@ -48,6 +48,14 @@ def test_equals_brute_force(table, odd_rows):
     assert sorted(got, key=repr) == sorted(((i, *brute(t)) for i, t in rows), key=repr)
 
 
+@pytest.mark.parametrize("shares", [{2: 0.2, 6: 0.5}, {1: 0.9, 4: 0.1}, {9: 0.1, 2: 0.3}, {}])
+def test_ngrams_of_any_length_and_order(odd_rows, shares):
+    limits = RepetitionLimits(min_words=4, ngram_chars=shares)
+    pairs = " ".join(f"same pair w{i}" for i in range(40))
+    for text in [pairs, "a b a b", "one two three four five", *(t for _, t in odd_rows if t and len(t) < 20_000)]:
+        assert measure(text.encode(), limits)[:7] == brute(text, limits)
+
+
 def test_a_very_long_text_is_measured_whole():
     half = " ".join(f"w{i}" for i in range(200_000))
     assert measure(half.encode(), RepetitionLimits())[4] == 0
