@@ -112,17 +112,41 @@ def write_flatfile(
     if chunks == 1:
         return _written(sorted_output(df) if sort else df, compression, compression_level, lambda w: w.mode("overwrite").parquet(path))
 
+    df = df.selectExpr("*", f"{chunk_of('unique_id', chunks)} + 1 AS chunk")
+
+    def rows_of(now: list[int]) -> DataFrame:
+        return df if len(now) == chunks else df.where(F.col("chunk").isin(now))
+
+    return write_chunks(spark, rows_of, path, chunks, sort, compression, compression_level, overwrite, chunks_per_job)
+
+
+def write_chunks(
+    spark: SparkSession,
+    rows_of: Callable[[list[int]], DataFrame],
+    path: str,
+    chunks: int,
+    sort: bool = True,
+    compression: str = "zstd",
+    compression_level: int = 9,
+    overwrite: bool = False,
+    chunks_per_job: int | None = None,
+) -> int | None:
+    """As ``write_flatfile`` for rows that are planned for the chunks of each job alone.
+
+    ``rows_of`` gives the rows of some chunks, counted from 1, with their number as ``chunk``,
+    so that a plan can read only what these chunks need. It is not asked for finished ones.
+    """
+    if not overwrite and has_output(spark, path):
+        return None
     every = list(range(1, chunks + 1))
     missing = every if overwrite else unfinished_chunks(spark, path, chunks)
     fresh = missing == every
-    df = df.selectExpr("*", f"{chunk_of('unique_id', chunks)} + 1 AS chunk")
     at_once = chunks_per_job or len(every)
     rows = 0
     for first in range(0, len(missing), at_once):
         now = missing[first : first + at_once]
-        part = df if now == every else df.where(F.col("chunk").isin(now))
         # Without a sort files get an even size: small parts of a chunk are put together, large ones split.
-        part = sorted_output(part, ["chunk"]) if sort else part.hint("rebalance", "chunk")
+        part = sorted_output(rows_of(now), ["chunk"]) if sort else rows_of(now).hint("rebalance", "chunk")
         # What lies at the path goes before the first chunk of a fresh output, and else only the chunks written.
         mode = "static" if fresh and first == 0 else "dynamic"
 

@@ -8,6 +8,7 @@ import zipfile
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import PurePosixPath
 from typing import BinaryIO
+from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
@@ -53,17 +54,35 @@ def read_feature_csv(spark: SparkSession, path: str, multi_line: bool = True) ->
     """A feature CSV with every column as text; the plans cast what they use.
 
     Line breaks inside quotes are kept, as they are in ZIP members, at the price of one
-    task per file. Where the supply has none, ``multi_line=False`` reads a file in splits.
+    task per file. Where the supply has none, ``multi_line=False`` reads a file in splits;
+    :func:`files_with_broken_lines` tells which files have some.
     """
     return spark.read.csv(path, header=True, quote='"', escape='"', multiLine=multi_line)
 
 
+def files_with_broken_lines(spark: SparkSession, paths: Iterable[str]) -> set[str]:
+    """Files of CSV files or folders that may have a line break inside quotes.
+
+    A record that goes on in a further line has an odd number of quotes in its first one, as
+    quotes within a field are doubled. One scan of all files in splits counts such lines; a
+    file with a stray quote is listed too, which only costs it its splits. Carriage returns
+    count as line breaks, as they do for the reader.
+    """
+    lines = spark.read.text(list(paths))
+    odd = lines.where("(length(value) - length(replace(value, '\"'))) % 2 = 1")
+    return {unquote(row[0]) for row in odd.select("_metadata.file_path").distinct().collect()}
+
+
 def feature_files(spark: SparkSession, folder: str, excluded: Iterable[str] = ()) -> dict[str, str]:
-    """The wanted feature CSV files below a folder by stem; two files of one stem are refused."""
+    """The wanted feature CSV files below a folder by stem; two files of one stem are refused.
+
+    A folder that is itself named like a CSV file, as Spark writes them, is one file here.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     listed = files.option("pathGlobFilter", "*.[cC][sS][vV]").load(folder).select("path")
     found: dict[str, str] = {}
-    for path in sorted(row["path"] for row in listed.where("lower(path) LIKE '%.csv'").collect()):
+    paths = (_whole_csv(row["path"]) for row in listed.where("lower(path) LIKE '%.csv'").collect())
+    for path in sorted(set(paths)):
         if is_wanted_feature(path, excluded):
             stem = stem_of(path).lower()
             if stem in found:
@@ -74,6 +93,11 @@ def feature_files(spark: SparkSession, folder: str, excluded: Iterable[str] = ()
     return found
 
 
+def _whole_csv(path: str) -> str:
+    parent = path.rpartition("/")[0]
+    return parent if parent.lower().endswith(".csv") else path
+
+
 def convert_feature_folder(
     spark: SparkSession,
     folder: str,
@@ -82,13 +106,18 @@ def convert_feature_folder(
     overwrite: bool = False,
     **options,
 ) -> dict[str, DataFrame]:
-    """Store every wanted feature CSV below a folder as ``path/<stem>.parquet``; returned by stem."""
-    features = {}
-    for stem, file in feature_files(spark, folder, excluded).items():
-        place = f"{path.rstrip('/')}/{stem}.parquet"
-        convert_feature_csv(read_feature_csv(spark, file), place, overwrite=overwrite, **options)
-        features[stem] = spark.read.parquet(place)
-    return features
+    """Store every wanted feature CSV below a folder as ``path/<stem>.parquet``; returned by stem.
+
+    Only files with line breaks inside quotes are read whole by a task each, all others in splits.
+    """
+    files = feature_files(spark, folder, excluded)
+    places = {stem: f"{path.rstrip('/')}/{stem}.parquet" for stem in files}
+    new = [stem for stem, place in places.items() if overwrite or not has_output(spark, place)]
+    broken = files_with_broken_lines(spark, [files[stem] for stem in new]) if new else set()
+    for stem in new:
+        whole = any(file == files[stem] or file.startswith(f"{files[stem]}/") for file in broken)
+        convert_feature_csv(read_feature_csv(spark, files[stem], whole), places[stem], overwrite=overwrite, **options)
+    return {stem: spark.read.parquet(place) for stem, place in places.items()}
 
 
 def convert_feature_csv(

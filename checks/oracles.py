@@ -493,6 +493,7 @@ _FINAL: dict[str, str] = {
     "ngd_flatfile_all_sources": "SELECT * FROM flatfile_all",
     "ngd_flatfile_hot_keys": "SELECT * FROM flatfile_default",
     "ngd_flatfile_chunked": "SELECT * FROM flatfile_default",
+    "ngd_flatfile_by_key": "SELECT * FROM flatfile_default",
     "output_sorted": "SELECT * FROM flatfile_default",
     **{f"split_records_{name}": _read_back(name) for name in derived.RECORD_TABLES},
     "split_records_counts": _record_counts(),
@@ -526,6 +527,7 @@ _FINAL: dict[str, str] = {
     "abp_flatfile_all_statuses": _whole("full"),
     "abp_flatfile_hot_keys": _whole("live"),
     "abp_flatfile_from_raw": _whole("live"),
+    "abp_flatfile_by_key": _whole("live"),
     "variants_per_key": f"{_COUNTS} GROUP BY unique_id",
     "variant_statistics": "SELECT count(*) AS total_uprns, sum(variant_count)::BIGINT AS total_variants, "
     "avg(variant_count) AS mean_variants, median(variant_count) AS median_variants, "

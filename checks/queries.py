@@ -14,7 +14,7 @@ from addrloom.operators.skew import find_hot_keys
 from addrloom.operators.staging import staged, staging_folder
 from addrloom.plans import abp, inspection, ngd
 from addrloom.sinks.parquet import output_metadata, reopen_chunk, sorted_output, unfinished_chunks, write_flatfile
-from addrloom.sources import features, records, tables
+from addrloom.sources import features, keyed, records, tables
 from checks import derived
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -502,28 +502,22 @@ def csv_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features written as CSV folders, found, stored as Parquet and read with a condition."""
     folder = _new_folder(spark, "csv")
     for stem in derived.FILE_FEATURES:
-        written = f"{folder}/parts/{stem}"
-        derived.read(spark, sf_dir, stem).coalesce(1).write.csv(written, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-        _renamed(spark, written, f"{folder}/found/{stem}.csv")
+        rows = derived.read(spark, sf_dir, stem)
+        rows.write.csv(f"{folder}/found/{stem}.csv", header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     features.convert_feature_folder(spark, f"{folder}/found", f"{folder}/parquet", overwrite=True)
     kept = {stem: tables.read_table(spark, f"{folder}/parquet/{stem}.parquet", "CAST(uprn AS BIGINT) > 3") for stem in derived.FILE_FEATURES}
     return _of_features(kept)
 
 
-def _renamed(spark: SparkSession, folder: str, path: str) -> None:
-    """The one file that Spark wrote into a folder gets a name of its own."""
-    java = spark._jvm.org.apache.hadoop.fs
-    filesystem = java.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    (part,) = [f.getPath() for f in filesystem.listStatus(java.Path(folder)) if f.getPath().getName().startswith("part-")]
-    filesystem.mkdirs(java.Path(path).getParent())
-    filesystem.rename(part, java.Path(path))
+def _zipped(rows: DataFrame, folder: str) -> DataFrame:
+    """Lines (archive, member, place, line) as ZIP archives, in their order; lists what was written.
 
-
-def _zipped(rows: DataFrame, folder: str, first: str = "") -> DataFrame:
-    """Lines (archive, member, line) as ZIP archives, one task each; lists what was written."""
+    A task writes its archives one after another, each line as it comes.
+    """
 
     def write(batches):
         import zipfile
+        from contextlib import ExitStack
 
         import pyarrow as pa
         from pyarrow import fs
@@ -531,16 +525,29 @@ def _zipped(rows: DataFrame, folder: str, first: str = "") -> DataFrame:
         place, _, inner = folder.partition("://")
         filesystem, path = fs.FileSystem.from_uri(folder) if inner or place.startswith("file:") else (fs.LocalFileSystem(), folder)
         filesystem.create_dir(path, recursive=True)
-        lines: dict = {}
-        for batch in batches:
-            for archive, member, line in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                lines.setdefault((archive, member), []).append(line)
-        for (archive, member), own in lines.items():
-            with filesystem.open_output_stream(f"{path}/{archive}.zip") as stream, zipfile.ZipFile(stream, "w", zipfile.ZIP_DEFLATED) as file:
-                file.writestr(f"{member}.csv", "".join(f"{line}\n" for line in sorted(own, key=lambda x: not x.startswith("uprn"))))
-        yield pa.RecordBatch.from_pydict({"archive": pa.array([f"{folder}/{a}.zip" for a, _ in lines], pa.string())})
+        written, now, file, member = [], None, None, ExitStack()
+        with ExitStack() as open_archive:
+            for batch in batches:
+                for archive, name, line in zip(*(batch.column(n).to_pylist() for n in ("archive", "member", "line"))):
+                    if (archive, name) != now:
+                        member.close()
+                        if not written or archive != written[-1]:
+                            open_archive.close()
+                            stream = open_archive.enter_context(filesystem.open_output_stream(f"{path}/{archive}.zip"))
+                            file = open_archive.enter_context(zipfile.ZipFile(stream, "w", zipfile.ZIP_DEFLATED))
+                            written.append(archive)
+                        sink = member.enter_context(file.open(f"{name}.csv", "w", force_zip64=True))
+                        now = archive, name
+                    sink.write(f"{line}\n".encode())
+            member.close()
+        yield pa.RecordBatch.from_pydict({"archive": pa.array([f"{folder}/{a}.zip" for a in written], pa.string())})
+
+    ordered = rows.repartition("archive").sortWithinPartitions("archive", "member", "place")
+    return ordered.select("archive", "member", "line").mapInArrow(write, "archive string")
+
 
-    return rows.repartition("archive").select("archive", "member", "line").mapInArrow(write, "archive string")
+# Lines that an archive of the checks holds, so that their number follows the table.
+_LINES_PER_ARCHIVE = 20_000
 
 
 @query
@@ -552,20 +559,46 @@ def zipped_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = derived.read(spark, sf_dir, stem)
         line = " || ',' || ".join(f"coalesce('\"' || CAST({c} AS STRING) || '\"', '')" for c in ("uprn", "postcode", "fulladdress"))
         named = [f"'{stem}' AS archive", f"'{stem}' AS member"]
-        parts += [df.selectExpr(*named, f"{line} AS line"), spark.range(1).selectExpr(*named, "'uprn,postcode,fulladdress' AS line")]
+        parts += [
+            df.selectExpr(*named, "1 AS place", f"{line} AS line"),
+            spark.range(1).selectExpr(*named, "0 AS place", "'uprn,postcode,fulladdress' AS line"),
+        ]
     archives = [row["archive"] for row in _zipped(reduce(DataFrame.union, parts), folder).collect()]
     return _of_features(features.convert_zipped_features(spark, archives, f"{folder}/parquet"))
 
 
 @query
 def zipped_record_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mixed record lines, dealt to eight archives and read from them."""
+    """The mixed record lines, dealt to archives of two members each and read from them."""
     folder = _new_folder(spark, "zip")
-    dealt = _derived_lines(spark, sf_dir).selectExpr("'part' || pmod(xxhash64(value), 8) AS archive", "'records' AS member", "value AS line")
+    lines = _derived_lines(spark, sf_dir)
+    number = lines.count() // _LINES_PER_ARCHIVE + 1
+    dealt = lines.selectExpr(
+        f"'part' || pmod(xxhash64(value), {number}) AS archive", "'records' || pmod(hash(value), 2) AS member", "0 AS place", "value AS line"
+    )
     archives = [row["archive"] for row in _zipped(dealt, folder).collect()]
     return records.record_counts(features.read_zipped_lines(spark, archives))
 
 
+@query
+def ngd_flatfile_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features stored by key, then a flatfile of each chunk from its own folders."""
+    folder = _new_folder(spark, "keyed")
+    keyed.write_keyed(_features(spark, sf_dir), folder, chunks=3, buckets=8)
+    stored = keyed.read_keyed(spark, folder)
+    return reduce(DataFrame.unionByName, [ngd.ngd_flatfile(stored.chunk(chunk)) for chunk in range(stored.chunks)])
+
+
+@query
+def abp_flatfile_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The record tables of properties stored by key, then read as a whole."""
+    folder = _new_folder(spark, "keyed")
+    given = _tables(spark, sf_dir)
+    streets = {"street_descriptor": given.pop("street_descriptor")}
+    keyed.write_keyed(given, folder, chunks=2, buckets=8)
+    return abp.abp_flatfile(streets | keyed.read_keyed(spark, folder).whole())
+
+
 @query
 def written_flatfile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A flatfile written sorted, compressed and in chunks, then read as one."""

@@ -104,7 +104,10 @@ def test_a_finished_output_is_only_reported(spark, tmp_path):
     (tmp_path / "raw").mkdir()
     (tmp_path / "raw" / "part.csv").write_text(f"{LPI}\n{BLPU}\n")
     places = [str(tmp_path / name) for name in ("raw", "work", "out")]
-    first, built = jobs_of(spark, lambda: build_abp_from_folder(spark, *places))
+    plain = str(tmp_path / "plain")
+    first, built = jobs_of(spark, lambda: build_abp_from_folder(spark, *places, plain_tables=plain))
+    assert spark.read.parquet(f"{plain}/lpi").count() == spark.read.parquet(f"{plain}/blpu").count() == 1
+    assert spark.read.parquet(f"{plain}/organisation").isEmpty()
     again, reported = jobs_of(spark, lambda: build_abp_from_folder(spark, *places))
     assert again == first and built > 20 > 12 > reported
 

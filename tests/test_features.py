@@ -69,6 +69,39 @@ def test_archives_are_chosen_by_name():
     assert features.wanted_archives(["/d/b.zip", "/d/a.zip"], "ngd") == ["/d/a.zip", "/d/b.zip"]
 
 
+def test_only_files_with_broken_lines_are_read_whole(spark, tmp_path, monkeypatch):
+    found = tmp_path / "found here%20"
+    (found / "add_gb_historicaddress.csv").mkdir(parents=True)
+    plain = "uprn,fulladdress\n" + "".join(f'{i},"ROAD ""{i}"", X"\n' for i in range(5000))
+    (found / "add_gb_builtaddress.csv").write_text(plain)
+    (found / "add_gb_prebuildaddress.CSV").write_text('uprn,fulladdress\n1,"line one\nline ""two"""\n2,B\n')
+    (found / "add_gb_historicaddress.csv" / "part-0.csv").write_text("uprn,fulladdress\n8,C\n")
+    (found / "add_gb_historicaddress.csv" / "part-1.csv").write_text('uprn,fulladdress\n9,"D\nE"\n')
+    files = features.feature_files(spark, str(found))
+    assert {stem: path.rpartition("/")[2] for stem, path in files.items()} == {
+        "add_gb_builtaddress": "add_gb_builtaddress.csv",
+        "add_gb_historicaddress": "add_gb_historicaddress.csv",
+        "add_gb_prebuildaddress": "add_gb_prebuildaddress.CSV",
+    }
+    broken = features.files_with_broken_lines(spark, files.values())
+    assert sorted(path.rpartition("/")[2] for path in broken) == ["add_gb_prebuildaddress.CSV", "part-1.csv"]
+    asked, read = {}, features.read_feature_csv
+    monkeypatch.setattr(features, "read_feature_csv", lambda s, path, whole: asked.update({features.stem_of(path): whole}) or read(s, path, whole))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        stored = features.convert_feature_folder(spark, str(found), str(tmp_path / "out"))
+        assert read(spark, files["add_gb_builtaddress"], False).rdd.getNumPartitions() > 4
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert asked == {"add_gb_builtaddress": False, "add_gb_prebuildaddress": True, "add_gb_historicaddress": True}
+    assert stored["add_gb_builtaddress"].count() == 5000
+    assert stored["add_gb_builtaddress"].where("uprn = '4999'").first()["fulladdress"] == 'ROAD "4999", X'
+    assert sorted(map(tuple, stored["add_gb_prebuildaddress"].collect())) == [("1", 'line one\nline "two"'), ("2", "B")]
+    assert sorted(map(tuple, stored["add_gb_historicaddress"].collect())) == [("8", "C"), ("9", "D\nE")]
+    assert features.convert_feature_folder(spark, str(found), str(tmp_path / "out"))["add_gb_builtaddress"].count() == 5000
+
+
 def test_feature_names():
     assert features.is_wanted_feature("x/ADD_GB_BuiltAddress.csv")
     assert not features.is_wanted_feature("add_gb_builtaddress_altadd.csv", ("builtaddress",))
