@@ -9,16 +9,20 @@ from addrloom.operators.staging import staged
 
 
 def _large_star(links: DataFrame) -> DataFrame:
-    """Every larger neighbour of a node is linked to the smallest of the neighbourhood."""
+    """Every larger neighbour of a node is linked to the smallest of the neighbourhood.
+
+    What a node finds is written, here and below, so that the join has plain exchanges and
+    Spark can split a node with very many neighbours.
+    """
     both = links.union(links.select("low", "high")).toDF("node", "other")
-    least = both.groupBy("node").agg(F.min("other").alias("found"))
+    least = staged(both.groupBy("node").agg(F.min("other").alias("found")))
     moved = both.join(least, "node").where("other > node")
     return moved.select(F.col("other").alias("high"), F.least("node", "found").alias("low"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     """Every smaller neighbour of a node, and the node, is linked to the smallest one."""
-    least = links.groupBy("high").agg(F.min("low").alias("least"))
+    least = staged(links.groupBy("high").agg(F.min("low").alias("least")))
     moved = links.join(least, "high")
     return moved.select(
         F.explode(F.array(F.struct(F.col("high"), F.col("least").alias("low")), F.struct(F.col("low").alias("high"), F.col("least").alias("low")))).alias("link")
@@ -46,7 +50,7 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     )
     before = _state(now)
     while True:
-        now = staged(_clean(_small_star(_clean(_large_star(now)))))
+        now = staged(_clean(_small_star(staged(_clean(_large_star(now))))))
         after = _state(now)
         if after == before:
             break

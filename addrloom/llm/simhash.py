@@ -210,7 +210,9 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     """
     own = staged(fingerprints(docs, id_col, text_col))
     rooted = _rooted(own.groupBy("fp").agg(F.min("doc_id").alias("least")), tile)
-    classes = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
+    # Written, so that a class with very many fingerprints can be split in the join.
+    least = staged(rooted.groupBy("root").agg(F.min("least").alias("component_id")))
+    classes = rooted.join(least, "root").select("fp", "component_id")
     return own.join(classes, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )

@@ -16,31 +16,49 @@ from addrloom.operators.staging import staging_folder
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the repetition rules reject go."""
+    """Documents that the repetition rules reject go, those with a null or empty text among them.
+
+    This and the next three stages keep all columns, whatever their names; repeated rows are
+    judged alike and a null in another column changes nothing. An empty table stays empty.
+    """
     find_library(spark)
     return keep_by_repetition(docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the one with the largest doc_id stays."""
+    """Of equal texts the one with the largest doc_id stays, of rows that repeat it one.
+
+    A null text equals an empty one; a null doc_id is smaller than any.
+    """
     find_library(spark)
     return drop_exact_copies(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near duplicates the document with the smallest doc_id stays."""
+    """Of each class of near duplicates the document with the smallest doc_id stays.
+
+    Texts without words, null ones too, are one class. A null doc_id stays only if its class
+    has no other; of rows that repeat the smallest one stays.
+    """
     find_library(spark)
     return keep_class_representatives(docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are replaced in the texts; n_chars follows. No document goes."""
+    """Secrets are replaced in the texts; n_chars follows. No document goes.
+
+    A null text stays null and an empty one empty.
+    """
     find_library(spark)
     return redact_secrets(docs, length_col="n_chars" if "n_chars" in docs.columns else None)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces and their places in sequences."""
+    """Token pieces and their places in sequences.
+
+    A null or empty text is the end token alone; repeated rows and null ids are packed like
+    any other. An empty table gives no piece.
+    """
     find_library(spark)
     return packed_sequences(docs)
 
