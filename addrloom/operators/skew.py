@@ -44,11 +44,13 @@ def find_hot_keys(keys: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> HotKey
     """All values of a one-column DataFrame that are too frequent for one task.
 
     Runs one job now: an exact count per value, summed in the map tasks first, so that
-    a crowded value is a row per task.
+    a crowded value is a row per task. More groups than a shuffle has partitions would spread
+    a value no further, and each repeats the rows that it is joined to; so there are no more.
     """
     (key,) = keys.columns
+    most = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counted = keys.groupBy(key).count().where(F.col("count") > rows_per_task).collect()
-    groups = {row[0]: -(-row[1] // rows_per_task) for row in counted}
+    groups = {row[0]: min(-(-row[1] // rows_per_task), most) for row in counted}
     return HotKeys(groups, groups.pop(None, 1), rows_per_task)
 
 
