@@ -11,6 +11,10 @@ is replaced by the few cells it lies in, a limit by the few cells it covers, and
 comparison is an equi-join on cells that meets once at most. Cells keep only their best
 interval, so the join is a lookup: the cost per row is fixed by the calendar and not by the
 other rows of its key.
+
+Before that, a key with many spans is rid of those that cannot be an answer: where one span
+lies within another that has no worse candidate, every query it overlaps has the other one.
+What remains mostly fits an array again.
 """
 
 from __future__ import annotations
@@ -69,6 +73,28 @@ def _with_numbers(spans: DataFrame, key: str, hot: HotKeys) -> DataFrame:
     return lookup_join(spans, spans.groupBy(key).agg(F.count("*").alias("spans")), [key], hot, "inner")
 
 
+def _undominated(spans: DataFrame, key: str) -> DataFrame:
+    """Spans without those that lie within another one of their key with no worse candidate.
+
+    First among spans with the same start, then among those with the same end; what is left
+    is compared by cells of the start: a span asks for the best one that has begun and that
+    ends no earlier, and stays if that is itself. The first two groups hold at most a row per day.
+    """
+    before = (Window.unboundedPreceding, -1)
+    for same, order in (("start_day", F.desc("end_day")), ("end_day", F.asc("start_day"))):
+        wider = F.min("candidate").over(Window.partitionBy(key, same).orderBy(order).rowsBetween(*before))
+        spans = spans.withColumn("wider", wider).where("wider IS NULL OR candidate < wider").drop("wider")
+    # Of equal candidates the wider span comes first, so that of several one stays.
+    ranked = spans.selectExpr("*", "struct(candidate, start_day, -end_day AS width) AS rank")
+    lies = f"transform({_cells_of('start_day')}, c -> struct(c AS cell, false AS asks))"
+    covers = f"transform({_cells_below('(start_day + 1)')}, c -> struct(c AS cell, true AS asks))"
+    met = ranked.selectExpr("*", f"inline(concat({lies}, {covers}))")
+    so_far = Window.partitionBy(key, "cell").orderBy(F.desc("end_day"), "asks").rowsBetween(Window.unboundedPreceding, 0)
+    best = met.withColumn("best", F.min(F.expr("CASE WHEN NOT asks THEN rank END")).over(so_far)).where("asks")
+    grouped = best.groupBy(key, "start_day", "end_day").agg(F.min("best").alias("best"), F.first("candidate").alias("candidate"))
+    return grouped.where("best.start_day = start_day AND best.width = -end_day").drop("best")
+
+
 def best_overlapping(
     queries: DataFrame,
     intervals: DataFrame,
@@ -85,11 +111,15 @@ def best_overlapping(
     ``spread_from`` steer the work and not the result: keys of at most so many spans are
     searched as arrays, and cells of more than so many levels (about 2 to that power of
     queries) are spread for hot keys. Spans and answered rows are written once, as both
-    ways read them; where no key has many spans the second way is not planned.
+    ways read them; where no key has many spans left the second way is not planned.
     """
     best = F.min("candidate").alias("candidate")
     spans = staged(_with_numbers(intervals.groupBy(key, "start_day", "end_day").agg(best), key, hot))
     is_small = f"spans <= {small_key}"
+    if not spans.where(f"NOT ({is_small})").isEmpty():
+        left = _undominated(spans.where(f"NOT ({is_small})").drop("spans"), key)
+        columns = [key, "start_day", "end_day", "candidate", "spans"]
+        spans = spans.where(is_small).select(columns).unionByName(staged(_with_numbers(left, key, hot)).select(columns))
     # At most ``small_key`` structs of a key are collected; null ones are not.
     few = F.collect_list(F.expr(f"CASE WHEN {is_small} THEN struct(start_day, end_day, candidate) END"))
     directory = spans.groupBy(key).agg(F.first("spans").alias("spans"), F.min("candidate").alias("any_candidate"), few.alias("few"))

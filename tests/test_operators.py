@@ -160,3 +160,34 @@ def test_a_cluster_must_name_its_folder(spark, monkeypatch):
 def test_no_caps_on_hot_keys(spark):
     df = spark.range(30_000).selectExpr("id % 3000 AS k")
     assert len(find_hot_keys(df, rows_per_task=5).groups) == 3000
+
+
+def test_a_hot_key_has_no_more_groups_than_a_shuffle_has_partitions(spark):
+    df = spark.range(30_000).selectExpr("id % 3 AS k")
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert set(find_hot_keys(df, rows_per_task=5).groups.values()) == {most}
+
+
+@pytest.mark.parametrize("candidate", ["int", "struct<rank: int, text: string>"])
+def test_spans_within_a_better_one_are_left_out(spark, candidate):
+    from addrloom.operators import overlap
+
+    rng = random.Random(3)
+    spans = {(rng.randrange(2), rng.randrange(-3, 30) + 40, rng.randrange(30) + 40): rng.randrange(6) for _ in range(400)}
+    rows = [(*place, best if candidate == "int" else (best, None if best % 2 else "x")) for place, best in spans.items()]
+    df = spark.createDataFrame(rows, f"k int, start_day int, end_day int, candidate {candidate}")
+    left = {tuple(row) for row in overlap._undominated(df, "k").select("k", "start_day", "end_day").collect()}
+
+    def is_within(place, other):
+        return other != place and other[0] == place[0] and other[1] <= place[1] and other[2] >= place[2]
+
+    assert left == {p for p, best in spans.items() if not any(is_within(p, o) and other <= best for o, other in spans.items())}
+
+
+def test_many_spans_within_few_need_no_cells(spark, monkeypatch):
+    from addrloom.operators import overlap
+
+    monkeypatch.setattr(overlap, "_by_cells", lambda *_: pytest.fail("planned by cells"))
+    queries = spark.range(50).selectExpr("1L AS k", "CAST(700 + id AS INT) AS from_day", "CAST(720 + id AS INT) AS to_day")
+    intervals = spark.range(500).selectExpr("1L AS k", "CAST(id AS INT) AS start_day", "CAST(9000 - id % 7 AS INT) AS end_day", "id AS candidate")
+    assert {row["candidate"] for row in best_overlapping(queries, intervals, "k", NO_HOT_KEYS).collect()} == {0}
