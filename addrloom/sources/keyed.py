@@ -11,9 +11,11 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass
+from functools import reduce
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from addrloom.functions.ranks import chunk_of
@@ -24,6 +26,10 @@ KEY = "uprn"
 _CHUNK = "key_chunk"
 _LAYOUT = "layout"
 
+# Rows of all tables together that a bucket of a chunk holds on average at most, as one task
+# joins them. More buckets than asked for are made where there are more rows.
+ROWS_PER_BUCKET = 250_000
+
 
 @dataclass(frozen=True)
 class KeyedTables:
@@ -54,6 +60,13 @@ def _keyed(df: DataFrame, name: str) -> DataFrame:
     return df.selectExpr(f"CAST(`{found[0]}` AS bigint) AS {KEY}", *others)
 
 
+def _enough_buckets(tables: dict[str, DataFrame], chunks: int, buckets: int, rows_per_bucket: int) -> int:
+    """The buckets asked for, or as many as the rows of the tables need. Runs one job now."""
+    counted = [table.agg(F.count("*").alias("rows")) for table in tables.values()]
+    rows = reduce(DataFrame.union, counted).agg(F.sum("rows")).first()[0]
+    return max(buckets, -(-rows // (chunks * rows_per_bucket)))
+
+
 def write_keyed(
     tables: dict[str, DataFrame],
     path: str,
@@ -62,12 +75,15 @@ def write_keyed(
     compression: str = "zstd",
     compression_level: int = 9,
     overwrite: bool = False,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> bool:
     """Store tables by ``uprn`` below ``path``; False where that was done and ``overwrite`` is unset.
 
     One exchange per table brings the rows of a bucket together; small buckets share a task
-    and a crowded one is split. A NULL key has a chunk and a bucket, too. Choose ``buckets``
-    so that a bucket of a chunk fits a task. The layout is written last and marks the end.
+    and a crowded one is split. A NULL key has a chunk and a bucket, too. There are at least
+    ``buckets``, and more where a bucket of a chunk would hold more than ``rows_per_bucket``
+    rows, so that a task's share does not grow with the tables. The layout is written last
+    and marks the end.
     """
     if not tables:
         raise ValueError("no tables to store")
@@ -75,9 +91,10 @@ def write_keyed(
     root = path.rstrip("/")
     if not overwrite and has_output(spark, f"{root}/{_LAYOUT}"):
         return False
+    keyed = {name: _keyed(table, name) for name, table in tables.items()}
+    buckets = _enough_buckets(keyed, chunks, buckets, rows_per_bucket)
     described = []
-    for name, table in tables.items():
-        rows = _keyed(table, name)
+    for name, rows in keyed.items():
         dealt = rows.selectExpr("*", f"{chunk_of(KEY, chunks)} AS {_CHUNK}")
         # The writer's own rule for a row's bucket, so that a task has whole buckets.
         together = dealt.selectExpr("*", f"pmod(hash({KEY}), {buckets}) AS key_bucket").hint("rebalance", "key_bucket")

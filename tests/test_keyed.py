@@ -58,6 +58,16 @@ def test_tables_come_back_whole_and_by_chunk(spark, tmp_path):
         stored.chunk(3)
 
 
+def test_buckets_grow_in_number_and_not_in_size(spark, tmp_path):
+    given = {"classification": codes(spark), "delivery_point": mail(spark)}
+    for asked, rows_per_bucket, made in ((4, 1000, 4), (4, 50, 9), (12, 50, 12)):
+        path = str(tmp_path / f"keyed-{asked}-{rows_per_bucket}")
+        write_keyed(given, path, chunks=2, buckets=asked, rows_per_bucket=rows_per_bucket)
+        stored = read_keyed(spark, path)
+        assert stored.buckets == made
+        assert {name: rows_of(df) for name, df in stored.whole().items()} == {name: rows_of(df) for name, df in given.items()}
+
+
 def test_text_keys_empty_tables_and_tables_without_a_key(spark, tmp_path):
     path = str(tmp_path / "keyed")
     text = spark.createDataFrame([("2", "b"), (None, "c")], "UPRN string, `odd name` string")
