@@ -67,9 +67,9 @@ def schema_columns(schema: str) -> dict[str, str]:
     return {name: kind for name, kind in pairs}
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """All ``*.csv`` files below a folder as text lines."""
-    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
+def read_lines(spark: SparkSession, path: str, names: str = "*.csv") -> DataFrame:
+    """All files below a folder with such names as text lines; ``*.csv.gz`` are unpacked as they are read."""
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", names)
     return reader.text(path)
 
 

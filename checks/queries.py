@@ -217,18 +217,23 @@ def _derived_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+# Lines of a packed file, which one task reads.
+_LINES_PER_FILE = 1_000_000
+
+
 @lru_cache(maxsize=8)
 def _raw_folder(application: str, sf_dir: str) -> str:
-    """The lines as CSV files in the shared folder, written once per application."""
+    """The lines as packed CSV files in the shared folder, written once per application."""
     spark = SparkSession.active()
     path = f"{staging_folder(spark).rstrip('/')}/raw-{uuid4().hex}"
     as_they_are = {"sep": "\x1f", "quote": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    _derived_lines(spark, sf_dir).write.options(**as_they_are).csv(path)
+    packed = {"compression": "gzip", "maxRecordsPerFile": _LINES_PER_FILE}
+    _derived_lines(spark, sf_dir).write.options(**as_they_are, **packed).csv(path)
     return path
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return records.read_lines(spark, _raw_folder(spark.sparkContext.applicationId, sf_dir))
+    return records.read_lines(spark, _raw_folder(spark.sparkContext.applicationId, sf_dir), "*.csv.gz")
 
 
 @lru_cache(maxsize=8)

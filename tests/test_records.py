@@ -1,4 +1,5 @@
 import datetime
+from pathlib import Path
 
 import pytest
 
@@ -166,3 +167,36 @@ def test_types_are_written_without_a_sort(spark, tmp_path):
     assert spark.conf.get(name) == before
     for rid in (24, 21, 31):
         assert len(list((tmp_path / "t" / f"rid={rid}").glob("*.parquet"))) == 1
+
+
+def test_packed_lines_are_read_by_name(spark, tmp_path):
+    spark.createDataFrame([(i, LPI) for i in range(9)], "i int, value string").select("value").write.option("compression", "gzip").text(str(tmp_path / "lines"))
+    for number, file in enumerate((tmp_path / "lines").glob("*.txt.gz")):
+        (tmp_path / f"{number}.csv.gz").write_bytes(file.read_bytes())
+    assert [r["value"] for r in records.read_lines(spark, str(tmp_path), "*.csv.gz").collect()] == [LPI] * 9
+    assert records.read_lines(spark, str(tmp_path)).isEmpty()
+
+
+def test_the_checks_pack_their_raw_lines(spark, tmp_path):
+    from checks import queries
+
+    (tmp_path / "tables").mkdir()
+    texts = {
+        "supplier": "1L AS s_suppkey, 'S' AS s_name, 1 AS s_nationkey",
+        "customer": "1L AS c_custkey, 'A' AS c_mktsegment, 1 AS c_nationkey",
+        "orders": "id AS o_orderkey, id AS o_custkey, 'F' AS o_orderstatus, DATE '2001-01-01' AS o_orderdate, 'HIGH' AS o_orderpriority",
+        "events": "id AS event_id, id AS user_id, 'view' AS event_type",
+        "lineitem": "id AS l_orderkey, id AS l_partkey, id AS l_suppkey, 1 AS l_linenumber, 'A' AS l_returnflag, 'O' AS l_linestatus, DATE '2001-01-01' AS l_shipdate",
+        "nation": "'N' AS n_name",
+        "region": "1 AS r_regionkey",
+    }
+    spark.range(1000).createOrReplaceTempView("thousand")
+    for name, columns in texts.items():
+        spark.sql(f"SELECT {columns} FROM thousand").write.parquet(str(tmp_path / "tables" / f"{name}.parquet"))
+    folder = queries._raw_folder(spark.sparkContext.applicationId, str(tmp_path / "tables"))
+    read = queries._lines(spark, str(tmp_path / "tables"))
+    lines = queries._derived_lines(spark, str(tmp_path / "tables"))
+    # A byte order mark at the start of a file is not part of its text.
+    assert sorted(r["value"].lstrip("\ufeff") for r in read.collect()) == sorted(r["value"].lstrip("\ufeff") for r in lines.collect())
+    packed = sum(f.stat().st_size for f in Path(folder).glob("*.csv*"))
+    assert packed < read.selectExpr("sum(octet_length(value))").first()[0] / 3
