@@ -94,7 +94,7 @@ def build_ngd_by_chunk(
         raise ValueError(f"the tables at {work} have {stored.chunks} chunks, not {chunks}")
 
     def rows_of(now: list[int]) -> DataFrame:
-        flat = ngd_flatfile(stored.chunk(*[chunk - 1 for chunk in now]), excluded)
+        flat = ngd_flatfile(stored.chunk(*[chunk - 1 for chunk in now]), excluded, rows_per_task=None)
         return flat.selectExpr("*", f"{chunk_of('unique_id', chunks)} + 1 AS chunk")
 
     write_chunks(spark, rows_of, output, chunks, overwrite=overwrite, chunks_per_job=chunks_per_job, **options)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from addrloom.functions import ranks
 from addrloom.functions.text import comma_joined, floor_word, listed, literal, strip_postcode
 from addrloom.operators.ranking import best_per_key
-from addrloom.operators.skew import NO_HOT_KEYS, HotKeys, find_hot_keys, lookup_join
+from addrloom.operators.skew import NO_HOT_KEYS, HotKeys, find_hot_keys, lookup_join, tasks_needed
 
 # File stems of the supply and the order in which the four core
 # files are trusted for a property's metadata.
@@ -42,6 +42,11 @@ WELSH_NAMES = ["wel", "cym", "welsh", "cymraeg"]
 CUSTOM_LEVEL_FILE = "CUSTOM_LEVEL"
 CUSTOM_LEVEL_TYPE = "Custom Level"
 
+# Rows of the sources that one task enriches and deduplicates; each may give four variants.
+ROWS_PER_TASK = 250_000
+# A property with more rows than this is spread, at the price of one more exchange of all rows.
+HOT_ROWS = 500_000
+
 # The common row of all sources, and the part of it that lookups may fill in.
 METADATA = {
     "classificationcode": "string",
@@ -211,15 +216,18 @@ def _empty_like(sources: dict[str, DataFrame], columns: dict[str, str]) -> DataF
     return spark.createDataFrame([], ", ".join(f"{name} {kind}" for name, kind in columns.items()))
 
 
-def enrich(addresses: DataFrame, lookup: DataFrame, hot: HotKeys = NO_HOT_KEYS) -> DataFrame:
-    """Fill missing metadata from ``property_lookup``; the authority always comes from it."""
+def enrich(addresses: DataFrame, lookup: DataFrame, hot: HotKeys = NO_HOT_KEYS, tasks: int = 0) -> DataFrame:
+    """Fill missing metadata from ``property_lookup``; the authority always comes from it.
+
+    ``tasks`` is as in :func:`lookup_join`.
+    """
     filled = [*METADATA, "lowertierlocalauthoritygsscode"]
     renamed = lookup.selectExpr("uprn", *[f"{name} AS found_{name}" for name in filled])
     bare = addresses.drop("lowertierlocalauthoritygsscode")
     values = {name: name for name in COLUMNS}
     values |= {name: f"coalesce({name}, found_{name})" for name in METADATA}
     values["lowertierlocalauthoritygsscode"] = "found_lowertierlocalauthoritygsscode"
-    return _common_row(lookup_join(bare, renamed, ["uprn"], hot), **values)
+    return _common_row(lookup_join(bare, renamed, ["uprn"], hot, tasks=tasks), **values)
 
 
 def floor_level_variants(df: DataFrame) -> DataFrame:
@@ -310,11 +318,13 @@ def ngd_flatfile(
     excluded: Iterable[str] = DEFAULT_EXCLUDED,
     feature_type_ranks: dict[str, int] = ranks.FEATURE_TYPE_RANKS,
     hot: HotKeys | None = None,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Deduplicated address variants from feature DataFrames keyed by file stem.
 
     An excluded core file still serves the metadata lookup. Unless ``hot`` is given, one job
-    counts the rows per property now.
+    counts the rows per property now. The rows counted are dealt to tasks of ``rows_per_task``;
+    None leaves them where they are, for features stored by key, whose buckets are tasks already.
     """
     known = {*CORE_PRIORITY, *ALTERNATE_FEATURE_TYPES, ROYAL_MAIL}
     used = {stem: df for stem, df in sources.items() if stem in known - excluded_stems(excluded)}
@@ -322,6 +332,7 @@ def ngd_flatfile(
     addresses = source_addresses(sources, excluded)
     if hot is None:
         keys = [df.selectExpr("CAST(uprn AS bigint) AS uprn") for df in used.values()]
-        hot = find_hot_keys(reduce(DataFrame.union, keys))
-    enriched = enrich(addresses, property_lookup(sources), hot)
+        hot = find_hot_keys(reduce(DataFrame.union, keys), HOT_ROWS)
+    tasks = tasks_needed(addresses.sparkSession, hot.rows, rows_per_task) if rows_per_task else 0
+    enriched = enrich(addresses, property_lookup(sources), hot, tasks)
     return dedup_ngd(floor_level_variants(enriched), feature_type_ranks)

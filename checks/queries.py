@@ -185,11 +185,14 @@ def ngd_flatfile_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def ngd_flatfile_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One chunk after another is built and written; in one job a task could hold a part of each."""
     chunks = 3
     features = _features(spark, sf_dir)
     parts = [
-        ngd.ngd_flatfile(
-            {name: df.where(ranks.in_chunk("uprn", chunks, chunk)) for name, df in features.items()}
+        staged(
+            ngd.ngd_flatfile(
+                {name: df.where(ranks.in_chunk("uprn", chunks, chunk)) for name, df in features.items()}
+            )
         )
         for chunk in range(chunks)
     ]
@@ -591,7 +594,7 @@ def ngd_flatfile_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = _new_folder(spark, "keyed")
     keyed.write_keyed(_features(spark, sf_dir), folder, chunks=3, buckets=8)
     stored = keyed.read_keyed(spark, folder)
-    return reduce(DataFrame.unionByName, [ngd.ngd_flatfile(stored.chunk(chunk)) for chunk in range(stored.chunks)])
+    return reduce(DataFrame.unionByName, [ngd.ngd_flatfile(stored.chunk(chunk), rows_per_task=None) for chunk in range(stored.chunks)])
 
 
 @query

@@ -23,6 +23,15 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture
+def many_partitions(spark):
+    """A shuffle has 40 partitions."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 @pytest.fixture(scope="session")
 def value(spark):
     """Evaluate one SQL expression over named string columns."""

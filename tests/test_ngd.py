@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from addrloom.functions import ranks
-from addrloom.operators.skew import HotKeys
+from addrloom.operators.skew import HotKeys, lookup_join
 from addrloom.plans import ngd
 from addrloom.sinks.parquet import output_metadata, write_flatfile
 from addrloom.sources.features import convert_feature_csv, read_feature_csv
@@ -164,6 +164,34 @@ def test_hot_keys_change_nothing(sources):
     assert rows_of(ngd.ngd_flatfile(sources, excluded=(), hot=hot)) == expected()
 
 
+def test_the_rows_of_a_task_do_not_grow_with_the_sources(spark, many_partitions):
+    texts = {name: f"CAST(NULL AS string) AS {name}" for name in CORE}
+    texts |= {"uprn": "CAST(id AS string) AS uprn", "fulladdress": "id || ' QUAY STREET' AS fulladdress"}
+    many = {ngd.BUILT: spark.range(20_000).selectExpr(*texts.values()).withColumn("description", F.lit("Built Address"))}
+    flat = ngd.ngd_flatfile(many, rows_per_task=1000)
+    assert flat.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] < 2000
+    assert rows_of(flat) == rows_of(ngd.ngd_flatfile(many, rows_per_task=None))
+
+
+def test_a_crowded_property_is_spread_before_it_fills_a_task(sources, monkeypatch):
+    found = []
+    monkeypatch.setattr(ngd, "HOT_ROWS", 2)
+    monkeypatch.setattr(ngd, "lookup_join", lambda *given, **named: found.append(given[3]) or lookup_join(*given, **named))
+    assert rows_of(ngd.ngd_flatfile(sources, excluded=())) == expected()
+    assert found[0].groups[7001] > 1
+
+
+def test_the_chunks_query_builds_one_chunk_after_another(spark, sources, monkeypatch):
+    from checks import queries
+
+    monkeypatch.setattr(queries, "_features", lambda *_: sources)
+    chunked = queries.QUERIES["ngd_flatfile_chunked"](spark, "")
+    assert rows_of(chunked) == expected(historic=False)
+    # What is left is reading them: no task joins or sorts rows of several chunks.
+    plan = chunked._jdf.queryExecution().executedPlan().toString()
+    assert not any(step in plan for step in ("Join", "Sort", "Window", "Exchange"))
+
+
 @pytest.mark.parametrize("sort", [True, False])
 def test_chunks_together_are_the_whole(spark, sources, tmp_path, sort):
     flatfile = ngd.ngd_flatfile(sources, excluded=())

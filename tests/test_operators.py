@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from addrloom.operators import staging
 from addrloom.operators.overlap import best_overlapping, day_or_first, day_or_open
 from addrloom.operators.ranking import best_per_key
-from addrloom.operators.skew import NO_HOT_KEYS, HotKeys, find_hot_keys, lookup_join
+from addrloom.operators.skew import NO_HOT_KEYS, HotKeys, find_hot_keys, lookup_join, tasks_needed
 
 
 def test_best_per_key_breaks_ties_by_the_rest(spark):
@@ -32,6 +32,24 @@ def test_find_hot_keys_lists_null_apart(spark):
     assert find_hot_keys(df.where("k IS NULL"), rows_per_task=10).null_groups == 2
 
 
+def test_find_hot_keys_counts_the_rows(spark):
+    df = spark.createDataFrame([(7,)] * 25 + [(None,)] * 11 + [(1,), (2,)], "k bigint")
+    assert find_hot_keys(df, rows_per_task=10).rows == find_hot_keys(df).rows == 38
+    assert find_hot_keys(df.where("false")).rows == 0
+
+
+@pytest.mark.parametrize("hot", [NO_HOT_KEYS, HotKeys({7: 3}, null_groups=2)])
+def test_lookup_join_deals_rows_to_the_tasks_needed(spark, many_partitions, hot):
+    big = spark.range(20_000).selectExpr("CASE WHEN id % 50 = 0 THEN 7 ELSE id END AS k", "id AS v")
+    lookup = spark.range(0, 20_000, 3).selectExpr("id AS k", "-id AS other")
+    tasks = tasks_needed(spark, 20_000, 1000)
+    assert tasks == 20 and tasks_needed(spark, 20_000, 1) == 40
+    assert tasks_needed(spark, 20_000, 20_000) == tasks_needed(spark, 0, 1000) == 0
+    joined = lookup_join(big, lookup.hint("merge"), ["k"], hot, tasks=tasks)
+    assert joined.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] < 2000
+    assert sorted(joined.collect(), key=repr) == sorted(lookup_join(big, lookup, ["k"], NO_HOT_KEYS).collect(), key=repr)
+
+
 def test_hot_keys_are_found_among_many_keys(spark):
     df = spark.range(600_000).selectExpr("CASE WHEN id % 4 = 0 THEN -1 ELSE id END AS k")
     hot = find_hot_keys(df, rows_per_task=100_000)
